@@ -54,13 +54,15 @@ def equal_width_edges(lo: float, hi: float):
 
 
 def auto_bins(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
-    """numpy's 'auto' rule: the smaller of the Freedman–Diaconis and
-    Sturges widths (Sturges alone when the IQR is 0)."""
+    """numpy's 'auto' rule: the smaller of the Sturges width and the
+    Freedman–Diaconis width, the latter held at least at half the
+    square-root-rule width (so a zero IQR cannot create endless bins)."""
     if n == 0 or lo is None:
         return 1
-    sturges = (hi - lo) / (math.log2(n) + 1.0)
+    ptp = hi - lo
+    sturges = ptp / (math.log2(n) + 1.0)
     fd = 2.0 * (q3 - q1) * n ** (-1.0 / 3.0)
-    width = min(fd, sturges) if fd else sturges
+    width = min(max(fd, ptp / math.sqrt(n) / 2), sturges)
     first, last = equal_width_edges(lo, hi)
     return max(1, int(math.ceil((last - first) / width))) if width else 1
 

@@ -331,7 +331,8 @@ def _hist_sql(prefix, src, cols, bins_expr):
 def _auto_bins_sql(c):
     sturges = f"((hi_{c} - lo_{c}) / (log2(n_{c}) + 1.0))"
     fd = f"(2.0 * (q3_{c} - q1_{c}) * pow(n_{c}, -1.0 / 3.0))"
-    width = f"(CASE WHEN {fd} <> 0 THEN least({fd}, {sturges}) ELSE {sturges} END)"
+    sqrt_half = f"((hi_{c} - lo_{c}) / sqrt(n_{c}) / 2)"
+    width = f"least(greatest({fd}, {sqrt_half}), {sturges})"
     span = f"(CASE WHEN lo_{c} = hi_{c} THEN 1.0 ELSE hi_{c} - lo_{c} END)"
     return (f"(CASE WHEN {width} > 0 THEN greatest(1, CAST(ceil({span} / {width}) AS INTEGER)) "
             f"ELSE 1 END)")
