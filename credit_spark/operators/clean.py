@@ -2,11 +2,12 @@
 
 Plan shape (see ``clean``): one shuffle for the exact full-row dedupe
 (hash aggregate with map-side combine, so a hot group of copies collapses
-before the exchange), then narrow projections. The fitted statistics come
-from two single-pass aggregates (medians + modes; then quartiles of the
-filled columns) whose one-row results are bounded by the number of
-columns; they are inlined into the final projection as literals, so the
-big table is never joined or re-shuffled for them.
+before the exchange), then narrow projections. The fitted statistics
+(medians and modes; then quartiles of the filled columns) come from
+aggregates whose results are bounded by the number of columns (exact
+quantiles stay distributed, see ``quantiles``); they are inlined into the
+final projection as literals, so the big table is never joined or
+re-shuffled for them.
 """
 
 from __future__ import annotations
@@ -113,29 +114,42 @@ class CleaningStats:
         return q1 - IQR_FENCE * iqr, q3 + IQR_FENCE * iqr
 
 
-def _quantile(c, probs, approx: bool):
-    if approx:
-        return F.percentile_approx(c, probs, 10000)
-    return F.percentile(c, probs)
+def modes(df: DataFrame, cols) -> dict:
+    """Most frequent non-missing value per column, ties → smallest value.
+
+    Distributed: (column, value) counts with partial aggregation, then one
+    ``min_by`` per column over (−count, value); only one row per column
+    reaches the driver, however many distinct values there are."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                    for c in cols])
+    counts = (df.select(F.explode(arr).alias("_e")).select("_e.*")
+                .where(F.col("value").isNotNull())
+                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    best = counts.groupBy("column").agg(
+        F.min_by("value", F.struct((-F.col("n")).alias("neg"), F.col("value"))).alias("mode"))
+    out = {c: None for c in cols}
+    out.update({r["column"]: r["mode"] for r in best.collect()})
+    return out
 
 
 def fit_fill(df: DataFrame, approx: bool = False) -> CleaningStats:
-    """Medians of every numeric feature and modes (ties → smallest value)
-    of every categorical feature that can still be missing: one aggregate
-    job, one row back."""
+    """Medians of every numeric feature (exact, distributed; see
+    ``quantiles``) and modes of every categorical feature that can still be
+    missing."""
+    from .quantiles import quantiles
     nums = numeric_columns(df)
     # Title-cased columns can no longer be missing: no mode needed.
     cats = [c for c in category_columns(df) if c not in TITLE_CASED]
-    aggs = [(_quantile(F.col(c), 0.5, approx) if approx else F.median(c)).alias(f"m_{i}")
-            for i, c in enumerate(nums)]
-    aggs += [F.mode(c, True).alias(f"o_{i}") for i, c in enumerate(cats)]
-    if not aggs:
-        return CleaningStats()
-    row = df.agg(*aggs).first()
-    return CleaningStats(
-        medians={c: row[f"m_{i}"] for i, c in enumerate(nums)},
-        modes={c: row[f"o_{i}"] for i, c in enumerate(cats)},
-    )
+    if approx:
+        row = df.agg(*[F.percentile_approx(c, 0.5, 10000).alias(f"m{i}")
+                       for i, c in enumerate(nums)]).first() if nums else {}
+        med = {c: row[f"m{i}"] for i, c in enumerate(nums)}
+    else:
+        med = {c: v[0] for c, v in quantiles(df, nums, [0.5]).items()}
+    return CleaningStats(medians=med, modes=modes(df, cats))
 
 
 def fill(df: DataFrame, stats: CleaningStats) -> DataFrame:
@@ -151,16 +165,21 @@ def fill(df: DataFrame, stats: CleaningStats) -> DataFrame:
 
 
 def fit_quartiles(df: DataFrame, cols, approx: bool = False) -> tuple[dict, dict]:
-    """Q1 and Q3 (linear interpolation) of each column: one aggregate."""
+    """Q1 and Q3 (linear interpolation) of each column."""
+    from .quantiles import quantiles
     cols = list(cols)
     if not cols:
         return {}, {}
-    row = df.agg(*[_quantile(F.col(c), [0.25, 0.75], approx).alias(f"q_{i}")
-                   for i, c in enumerate(cols)]).first()
+    if approx:
+        row = df.agg(*[F.percentile_approx(c, [0.25, 0.75], 10000).alias(f"q{i}")
+                       for i, c in enumerate(cols)]).first()
+        qs = {c: row[f"q{i}"] for i, c in enumerate(cols)}
+    else:
+        qs = quantiles(df, cols, [0.25, 0.75])
     q1, q3 = {}, {}
-    for i, c in enumerate(cols):
-        v = row[f"q_{i}"]
-        q1[c], q3[c] = (float(v[0]), float(v[1])) if v is not None else (None, None)
+    for c in cols:
+        v = qs.get(c)
+        q1[c], q3[c] = (float(v[0]), float(v[1])) if v and v[0] is not None else (None, None)
     return q1, q3
 
 

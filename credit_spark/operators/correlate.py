@@ -9,6 +9,9 @@ Two passes, both plain aggregates:
    come from pass 1); a pair with a column that has missing values also
    gets the pair-complete count, sums and sums of squares.
 
+When every column is complete, pass 2 is instead one Spark ML
+``Correlation`` job over the centred columns (a p×p Gramian per task).
+
 Centring by the column mean is the two-pass covariance algorithm, so the
 sums do not cancel catastrophically. SUMs keep generated code small (the
 same statistics as ``corr`` aggregates would need 5 buffers each), and the
@@ -42,11 +45,35 @@ def _column_moments(df: DataFrame, cols) -> dict:
             for i, c in enumerate(cols)}
 
 
+def _gram_correlations(df: DataFrame, cols, mom) -> dict:
+    """Pearson matrix of complete columns in one job: Spark ML's
+    ``Correlation`` aggregates a p×p Gramian per task (tree aggregate, no
+    generated code); only the p×p result reaches the driver. Columns are
+    centred by their mean first, which keeps the Gramian well conditioned."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    cen = df.select(*[(F.col(c).cast("double") - F.lit(float(mom[c]["mean"]))).alias(f"_c{i}")
+                      for i, c in enumerate(cols)])
+    vec = VectorAssembler(inputCols=[f"_c{i}" for i in range(len(cols))], outputCol="_v").transform(cen)
+    mat = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    out = {}
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            v = float(mat[i, j])
+            out[(a, b)] = None if (math.isnan(v) or mom[a]["flat"] or mom[b]["flat"]) else v
+    return out
+
+
 def pair_values(df: DataFrame, pairs) -> dict:
-    """{(a, b): r} for the pairs (eager: two aggregate jobs + chunks)."""
+    """{(a, b): r} for the pairs (eager: one moments job, then either one
+    Gramian job when all columns are complete, or SUM aggregates in chunks)."""
     pairs = list(dict.fromkeys(pairs))
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     mom = _column_moments(df, cols)
+    usable = [c for c in cols if not mom[c]["flat"]]
+    if len(usable) > 1 and all(mom[c]["count"] == mom[c]["n"] for c in usable):
+        g = _gram_correlations(df, usable, mom)
+        return {(a, b): g.get((a, b)) for a, b in pairs}
     cen = {c: F.col(c).cast("double") - F.lit(float(mom[c]["mean"] or 0.0)) for c in cols}
     out = {}
     for start in range(0, len(pairs), PAIRS_PER_JOB):

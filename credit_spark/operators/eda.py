@@ -33,15 +33,17 @@ def _ranges(df: DataFrame, cols, with_quartiles: bool = False) -> dict:
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}"),
                  F.stddev_samp(x).alias(f"sd{i}")]
-        if with_quartiles:
-            aggs.append(F.percentile(x, [0.25, 0.75]).alias(f"q{i}"))
     row = df.agg(*aggs).first()
+    qs = {}
+    if with_quartiles:
+        from .quantiles import quantiles
+        qs = quantiles(df, cols, [0.25, 0.75])
     out = {}
     for i, c in enumerate(cols):
         d = {"lo": row[f"lo{i}"], "hi": row[f"hi{i}"], "n": row[f"n{i}"], "sd": row[f"sd{i}"]}
         if with_quartiles:
-            q = row[f"q{i}"]
-            d["q1"], d["q3"] = (q[0], q[1]) if q else (None, None)
+            q = qs.get(c)
+            d["q1"], d["q3"] = (q[0], q[1]) if q and q[0] is not None else (None, None)
         out[c] = d
     return out
 

@@ -55,19 +55,22 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols) -> DataFrame:
-    """count, mean, sample std, min, exact 25/50/75 % and max per column
-    (the three percentiles share one value→count map per column)."""
-    out = long_agg(df, cols, {
+    """count, mean, sample std, min, exact 25/50/75 % and max per column."""
+    from .quantiles import quantiles
+    cols = list(cols)
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75])
+    base = long_agg(df, cols, {
         "count": lambda c: F.count(c).cast("long"),
         "mean": lambda c: F.avg(c),
         "std": lambda c: F.stddev_samp(c),
         "min": lambda c: F.min(c).cast("double"),
-        "q": lambda c: F.percentile(c, [0.25, 0.5, 0.75]),
         "max": lambda c: F.max(c).cast("double"),
     })
-    return out.select("column", "count", "mean", "std", "min",
-                      F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                      F.col("q")[2].alias("p75"), "max")
+    q = {i: F.create_map(*[F.lit(x) for c in cols for x in (c, (qs[c] or [None] * 3)[i])])
+         for i in range(3)}
+    return base.select("column", "count", "mean", "std", "min",
+                       *[F.element_at(q[i], F.col("column")).cast("double").alias(n)
+                         for i, n in enumerate(("p25", "p50", "p75"))], "max")
 
 
 def type_name(dt: T.DataType) -> str:
