@@ -68,12 +68,30 @@ def main():
               "dedupe_report", "category_values"):
         timed(q, lambda q=q: noop(QUERIES[q](spark, SF_DIR)))
 
+    # The same tabular queries as SQL in DuckDB on the same files: a
+    # single-node reference point (no models).
+    duck = {}
+    try:
+        import duckdb
+        from credit_spark.plans.registry import ORACLE
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW orders AS SELECT * FROM '{SF_DIR}/orders.parquet'")
+        for q in ("risk_summary", "clean_applicants", "featurize", "correlation_matrix",
+                  "describe_numeric", "null_counts", "histograms", "ratio_histograms",
+                  "density_curve", "validate_applicants", "recommendations",
+                  "classification_metrics", "dedupe_report", "category_values"):
+            t = time.time()
+            con.execute(ORACLE[q]).fetchall()
+            duck[q] = round(time.time() - t, 3)
+    except Exception as e:  # noqa: BLE001
+        duck["error"] = str(e)[:200]
+
     sf = re.search(r"sf([0-9.]+)", SF_DIR)
     rows = spark.read.parquet(p.cleaned).count()
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_total", "value": total, "unit": "sec", "queries": times,
                       "sf": float(sf.group(1)) if sf else SF_DIR, "cpus": int(CPUS),
-                      "applicants": rows, "model_settings": "quick"}))
+                      "applicants": rows, "model_settings": "quick", "duckdb_sql": duck}))
     spark.stop()
 
 

@@ -105,6 +105,7 @@ class CleaningStats:
     modes: dict = field(default_factory=dict)
     q1: dict = field(default_factory=dict)
     q3: dict = field(default_factory=dict)
+    sizes: dict = field(default_factory=dict, repr=False)
 
     def bounds(self, c):
         q1, q3 = self.q1.get(c), self.q3.get(c)
@@ -147,9 +148,25 @@ def fit_fill(df: DataFrame, approx: bool = False) -> CleaningStats:
         row = df.agg(*[F.percentile_approx(c, 0.5, 10000).alias(f"m{i}")
                        for i, c in enumerate(nums)]).first() if nums else {}
         med = {c: row[f"m{i}"] for i, c in enumerate(nums)}
+        sizes = {}
     else:
-        med = {c: v[0] for c, v in quantiles(df, nums, [0.5]).items()}
-    return CleaningStats(medians=med, modes=modes(df, cats))
+        from .quantiles import column_sizes
+        sizes = column_sizes(df, nums) if nums else {}
+        med = {c: v[0] for c, v in quantiles(df, nums, [0.5], sizes=sizes).items()}
+    return CleaningStats(medians=med, modes=modes(df, cats), sizes=sizes)
+
+
+def filled_sizes(stats: CleaningStats) -> dict:
+    """Sizes of the columns after filling, derived without a scan: every
+    row has a value, the median lies within [min, max] and adds at most
+    one distinct value."""
+    out = {}
+    for c, s in stats.sizes.items():
+        if stats.medians.get(c) is None:
+            continue
+        out[c] = {"n": s["rows"], "min": s["min"], "max": s["max"],
+                  "distinct": s["distinct"] + 1, "rows": s["rows"]}
+    return out
 
 
 def fill(df: DataFrame, stats: CleaningStats) -> DataFrame:
@@ -164,7 +181,8 @@ def fill(df: DataFrame, stats: CleaningStats) -> DataFrame:
     return df.withColumns(rep) if rep else df
 
 
-def fit_quartiles(df: DataFrame, cols, approx: bool = False) -> tuple[dict, dict]:
+def fit_quartiles(df: DataFrame, cols, approx: bool = False, sizes: dict | None = None
+                  ) -> tuple[dict, dict]:
     """Q1 and Q3 (linear interpolation) of each column."""
     from .quantiles import quantiles
     cols = list(cols)
@@ -175,7 +193,7 @@ def fit_quartiles(df: DataFrame, cols, approx: bool = False) -> tuple[dict, dict
                        for i, c in enumerate(cols)]).first()
         qs = {c: row[f"q{i}"] for i, c in enumerate(cols)}
     else:
-        qs = quantiles(df, cols, [0.25, 0.75])
+        qs = quantiles(df, cols, [0.25, 0.75], sizes=sizes)
     q1, q3 = {}, {}
     for c in cols:
         v = qs.get(c)
@@ -202,7 +220,9 @@ def fit_cleaner(text_df: DataFrame, approx: bool = False, with_quartiles: bool =
     """Fit fill values, then quartiles of the filled numeric columns."""
     stats = fit_fill(text_df, approx)
     if with_quartiles:
-        stats.q1, stats.q3 = fit_quartiles(fill(text_df, stats), numeric_columns(text_df), approx)
+        nums = numeric_columns(text_df)
+        stats.q1, stats.q3 = fit_quartiles(fill(text_df, stats), nums, approx,
+                                           filled_sizes(stats) or None)
     return stats
 
 

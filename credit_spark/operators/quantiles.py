@@ -109,19 +109,26 @@ def _refine(df: DataFrame, targets: dict, stats: dict) -> dict:
     return result
 
 
-def quantiles(df: DataFrame, cols, probs, map_limit: int = MAP_LIMIT) -> dict:
-    """{column: [q(p) for p in probs]} (None for a column without values)."""
-    cols, probs = list(cols), list(probs)
-    if not cols:
-        return {}
-    aggs = []
+def column_sizes(df: DataFrame, cols) -> dict:
+    """count, min, max and approximate distinct count of each column."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
                  F.approx_count_distinct(x).alias(f"d{i}")]
     row = df.agg(*aggs).first()
-    stats = {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
-                 "distinct": row[f"d{i}"]} for i, c in enumerate(cols)}
+    return {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
+                "distinct": row[f"d{i}"], "rows": row["rows"]} for i, c in enumerate(cols)}
+
+
+def quantiles(df: DataFrame, cols, probs, map_limit: int = MAP_LIMIT, sizes: dict | None = None
+              ) -> dict:
+    """{column: [q(p) for p in probs]} (None for a column without values).
+    ``sizes``: the ``column_sizes`` of these columns when already known."""
+    cols, probs = list(cols), list(probs)
+    if not cols:
+        return {}
+    stats = sizes if sizes is not None and all(c in sizes for c in cols) else column_sizes(df, cols)
     out = {c: [None] * len(probs) for c in cols if not stats[c]["n"]}
     small = [c for c in cols if stats[c]["n"] and stats[c]["distinct"] <= map_limit]
     large = [c for c in cols if stats[c]["n"] and stats[c]["distinct"] > map_limit]
