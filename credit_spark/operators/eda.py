@@ -144,11 +144,35 @@ def density_curve(df: DataFrame, cols, grid: int = DENSITY_GRID,
 # Deterministic samples and splits
 # ---------------------------------------------------------------------------
 
+# Integer mixing constants of the sampling key (modulus 2^31 - 1, a prime).
+MIX_P = 2147483647
+MIX_STEPS = ((48271, 0), (1, 1013904223), (69621, 12345), (1, 2654435761))
+
+
 def hash_key(key: str = ID, seed: int = SEED):
     """A per-row pseudo-random key that depends only on the id and seed,
     so samples and splits are identical on re-execution (e.g. after an
-    executor is lost) and under any partitioning."""
-    return F.xxhash64(F.col(key), F.lit(seed))
+    executor is lost) and under any partitioning.
+
+    Multiplications and squarings modulo 2^31 − 1 on BIGINT: every
+    intermediate stays below 2^63, so it cannot overflow, runs inside
+    whole-stage codegen and gives the same value in any SQL engine."""
+    p = F.lit(MIX_P)
+    h = F.pmod(F.pmod(F.col(key).cast("long"), p) + F.lit(seed), p)
+    h = F.pmod(h * F.lit(MIX_STEPS[0][0]), p)
+    h = F.pmod(h * h + F.lit(MIX_STEPS[1][1]), p)
+    h = F.pmod(h * F.lit(MIX_STEPS[2][0]) + F.lit(MIX_STEPS[2][1]), p)
+    return F.pmod(h * h + F.lit(MIX_STEPS[3][1]), p)
+
+
+def hash_key_sql(key: str = ID, seed: int = SEED) -> str:
+    """The same key as SQL text."""
+    p = MIX_P
+    h = f"((({key} % {p}) + {seed}) % {p})"
+    h = f"(({h} * {MIX_STEPS[0][0]}) % {p})"
+    h = f"(({h} * {h} + {MIX_STEPS[1][1]}) % {p})"
+    h = f"(({h} * {MIX_STEPS[2][0]} + {MIX_STEPS[2][1]}) % {p})"
+    return f"(({h} * {h} + {MIX_STEPS[3][1]}) % {p})"
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_SIZE, key: str = ID, seed: int = SEED) -> DataFrame:

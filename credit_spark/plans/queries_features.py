@@ -380,31 +380,52 @@ def density_curve(spark, sf_dir):
     return rounded(D.density_curve(_feat_df(spark, sf_dir), RATIO_FEATURES))
 
 
-@register("sample_rows")
+_H = D.hash_key_sql("applicant_id")
+_FEAT_OUT = list(RAW_COLUMNS) + list(DERIVED)
+_FEAT_DOUBLES = set(NUMERIC) | {TARGET_AMOUNT} | set(DERIVED)
+
+
+def _sel(cols, doubles):
+    return ", ".join(f"round({c}, 6) AS {c}" if c in doubles else c for c in cols)
+
+
+_SAMPLE = (FEAT.rstrip("\n") + f",\n_sample AS (SELECT * FROM feat ORDER BY {_H}, applicant_id "
+           f"LIMIT {D.SAMPLE_SIZE})\n")
+
+
+@register("sample_rows", _SAMPLE + f"SELECT {_sel(_FEAT_OUT, _FEAT_DOUBLES)} FROM _sample")
 def sample_rows(spark, sf_dir):
     """min(10000, n) applicants, seeded, without replacement."""
     return rounded(D.sample_rows(_feat_df(spark, sf_dir)))
 
 
-@register("pair_data")
+@register("pair_data", _SAMPLE + f"SELECT {_sel([ID, *PAIR_FEATURES, TARGET_CLASS], _FEAT_DOUBLES)} "
+          "FROM _sample")
 def pair_data(spark, sf_dir):
     return rounded(D.pair_data(_feat_df(spark, sf_dir), PAIR_FEATURES, TARGET_CLASS))
 
 
-@register("scatter_data")
+@register("scatter_data", _SAMPLE + " UNION ALL ".join(
+    f"SELECT applicant_id, '{a}' AS feature, '{b}' AS ratio, round(CAST({a} AS DOUBLE), 6) AS x, "
+    f"round(CAST({b} AS DOUBLE), 6) AS y, {TARGET_CLASS} AS class FROM _sample"
+    for a in SCATTER_FEATURES for b in RATIO_FEATURES))
 def scatter_data(spark, sf_dir):
     return rounded(D.scatter_data(_feat_df(spark, sf_dir), SCATTER_FEATURES, RATIO_FEATURES,
                                   TARGET_CLASS))
 
 
-@register("stratified_split")
+_SPLIT_SQL = f"CASE WHEN ({_H}) % {SP.BUCKETS} < {int(round(0.2 * SP.BUCKETS))} THEN 'test' ELSE 'train' END"
+
+
+@register("stratified_split", MODEL + f"SELECT applicant_id, {TARGET_CLASS} AS class, "
+          f"{_SPLIT_SQL} AS split FROM model")
 def stratified_split(spark, sf_dir):
     m, _ = _model_df(spark, sf_dir)
     return SP.stratified_split(m.select(ID, TARGET_CLASS), TARGET_CLASS).select(
         ID, F.col(TARGET_CLASS).alias("class"), "split")
 
 
-@register("random_split")
+@register("random_split", MODEL + f"SELECT applicant_id, {_SPLIT_SQL} AS split FROM model")
 def random_split(spark, sf_dir):
     m, _ = _model_df(spark, sf_dir)
     return SP.random_split(m.select(ID, TARGET_CLASS)).select(ID, "split")

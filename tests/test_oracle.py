@@ -45,7 +45,7 @@ def test_query_matches_oracle(spark, duck, name):
 def test_every_query_has_a_callable_and_most_an_oracle():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 70 and len(o) >= 55
+    assert len(q) >= 80 and len(o) >= 70
 
 
 def test_entry_runs(spark):
