@@ -165,8 +165,7 @@ def cap_outliers_iqr(spark, sf_dir):
     f"{O.r6(f'lo_{c}')} AS lower, {O.r6(f'hi_{c}')} AS upper FROM _q"
     for c in RAW_COLUMNS if c in NUMERIC))
 def iqr_bounds(spark, sf_dir):
-    t = S.text(spark, sf_dir)
-    stats = C.fit_cleaner(t)
+    stats = S.clean_stats(spark, sf_dir)
     out = C.stats_table(spark, stats).where(F.col("q1").isNotNull())
     return rounded(out.select("column", "q1", "q3", "lower", "upper"))
 
@@ -189,8 +188,7 @@ def clean_applicants(spark, sf_dir):
     f"SELECT '{c}' AS column, {O.r6(f'm_{c}')} AS median, {O.r6(f'q1_{c}')} AS q1, "
     f"{O.r6(f'q3_{c}')} AS q3 FROM _q, _med" for c in RAW_COLUMNS if c in NUMERIC))
 def column_stats(spark, sf_dir):
-    t = S.text(spark, sf_dir)
-    stats = C.fit_cleaner(t)
+    stats = S.clean_stats(spark, sf_dir)
     out = C.stats_table(spark, stats).where(F.col("median").isNotNull() | F.col("q1").isNotNull())
     return rounded(out.select("column", "median", "q1", "q3"))
 
