@@ -31,42 +31,55 @@ def main():
     from credit_spark.plans import stages as S
 
     spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2)
-    times = {}
-
-    def timed(name, fn):
-        t = time.time()
-        out = fn()
-        times[name] = round(time.time() - t, 3)
-        return out
 
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
 
-    # Warm-up: JVM, code paths, file listing.
-    QUERIES["row_count"](spark, SF_DIR).collect()
-
-    timed("risk_summary", lambda: QUERIES["risk_summary"](spark, SF_DIR).collect())
-    p = PL.paths(spark)
-    timed("clean", lambda: PL.step_clean(spark, SF_DIR, p))
-    fz = timed("featurize", lambda: PL.step_featurize(spark, p))
-    timed("correlation_matrix", lambda: PL.step_correlate(spark, p).collect())
-    sel = timed("select_features", lambda: PL.step_select(spark, p))
-    model = timed("fit_models", lambda: PL.step_fit(spark, p, fz, sel, TR.TrainSettings.quick()))
-    timed("score", lambda: PL.step_score(spark, SF_DIR, model, p))
-
-    def stream():
-        inp = SC.score_input(S.filled(spark, SF_DIR))
-        src, out, ck = (scratch_path(spark, n) for n in ("b-in", "b-out", "b-ck"))
-        inp.write.parquet(src)
-        t = time.time()
-        start_scoring(spark, model, src, out, ck, inp.schema).awaitTermination()
-        return time.time() - t
-    times["stream_score"] = round(stream(), 3)
-
-    for q in ("describe_numeric", "null_counts", "histograms", "ratio_histograms",
-              "density_curve", "validate_applicants", "recommendations", "classification_metrics",
-              "dedupe_report", "category_values"):
-        timed(q, lambda q=q: noop(QUERIES[q](spark, SF_DIR)))
+    def run_all(sf_dir, times):
+        """Every timed step on one data folder; returns the paths used."""
+        def timed(name, fn):
+            t = time.time()
+            out = fn()
+            times[name] = round(time.time() - t, 3)
+            return out
+
+        timed("risk_summary", lambda: QUERIES["risk_summary"](spark, sf_dir).collect())
+        p = PL.paths(spark)
+        timed("clean", lambda: PL.step_clean(spark, sf_dir, p))
+        fz = timed("featurize", lambda: PL.step_featurize(spark, p))
+        timed("correlation_matrix", lambda: PL.step_correlate(spark, p).collect())
+        sel = timed("select_features", lambda: PL.step_select(spark, p))
+        model = timed("fit_models", lambda: PL.step_fit(spark, p, fz, sel, TR.TrainSettings.quick()))
+        timed("score", lambda: PL.step_score(spark, sf_dir, model, p))
+
+        def stream():
+            inp = SC.score_input(S.filled(spark, sf_dir))
+            src, out, ck = (scratch_path(spark, n) for n in ("b-in", "b-out", "b-ck"))
+            inp.write.parquet(src)
+            t = time.time()
+            start_scoring(spark, model, src, out, ck, inp.schema).awaitTermination()
+            return time.time() - t
+        times["stream_score"] = round(stream(), 3)
+
+        for q in ("describe_numeric", "null_counts", "histograms", "ratio_histograms",
+                  "density_curve", "validate_applicants", "recommendations",
+                  "classification_metrics", "dedupe_report", "category_values"):
+            timed(q, lambda q=q: noop(QUERIES[q](spark, sf_dir)))
+        return p
+
+    # Warm-up: one full pass over the smallest data folder next to the
+    # measured one, so the timings below are of a warm JVM (JIT-compiled
+    # operators, loaded classes), as on a long-running cluster. Its
+    # timings are reported separately and not counted.
+    warm_dir = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
+    warm = {}
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(SF_DIR):
+        run_all(warm_dir, warm)
+    else:
+        QUERIES["row_count"](spark, SF_DIR).collect()
+
+    times = {}
+    p = run_all(SF_DIR, times)
 
     # The same tabular queries as SQL in DuckDB on the same files: a
     # single-node reference point (no models).
@@ -91,7 +104,8 @@ def main():
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_total", "value": total, "unit": "sec", "queries": times,
                       "sf": float(sf.group(1)) if sf else SF_DIR, "cpus": int(CPUS),
-                      "applicants": rows, "model_settings": "quick", "duckdb_sql": duck}))
+                      "applicants": rows, "model_settings": "quick", "duckdb_sql": duck,
+                      "warmup_sec": round(sum(warm.values()), 3)}))
     spark.stop()
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..schema import CATEGORICAL, SCALED, TARGET_AMOUNT, TARGET_CLASS
 
-MAX_LITERAL_CODES = 100_000
+MAX_LITERAL_CODES = 10_000
 MISSING_TEXT = "nan"
 
 
@@ -27,8 +27,14 @@ def _as_text(c):
 
 @dataclass
 class LabelCodes:
-    """column → sorted distinct values (code = position)."""
+    """column → sorted distinct values (code = position). A column with more
+    distinct values than fit a literal has a (value, code) Parquet table in
+    the shared folder instead (``tables``: column → path)."""
     classes: dict = field(default_factory=dict)
+    tables: dict = field(default_factory=dict)
+
+    def columns(self):
+        return list(self.classes) + [c for c in self.tables if c not in self.classes]
 
     def code_map(self, c):
         return F.create_map(*[F.lit(x) for i, v in enumerate(self.classes[c]) for x in (v, i)])
@@ -43,8 +49,11 @@ class LabelCodes:
 
 def fit_label_codes(df: DataFrame, cols, as_text: bool = True,
                     max_codes: int = MAX_LITERAL_CODES) -> LabelCodes:
-    """Distinct values of each column in one job (partial aggregation per
-    task), size-checked before anything is collected."""
+    """Distinct values of each column (partial aggregation per task), sized
+    per column before anything is collected: a column with at most
+    ``max_codes`` values gets literal codes, a larger one a distributed
+    code table written to the shared folder (``code_table``)."""
+    from ..session import scratch_path
     cols = [c for c in cols if c in df.columns]
     parts = []
     for c in cols:
@@ -55,15 +64,34 @@ def fit_label_codes(df: DataFrame, cols, as_text: bool = True,
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    rows = u.limit(max_codes * len(cols) + 1).collect()
-    if len(rows) > max_codes * len(cols):
-        raise ValueError("too many distinct values for literal codes; use code_table()")
-    classes = {c: [] for c in cols}
+    # Common case, one job: every distinct value fits under the bound, so
+    # the bounded fetch returns all of them. Otherwise size each column
+    # first and fetch only the columns that fit.
+    cap = max_codes * len(cols)
+    rows = u.limit(cap + 1).collect()
+    if len(rows) <= cap:
+        sizes = {}
+        for r in rows:
+            sizes[r["column"]] = sizes.get(r["column"], 0) + 1
+    else:
+        sizes = {r["column"]: r["n"] for r in u.groupBy("column").agg(
+            F.count(F.lit(1)).alias("n")).collect()}
+    small = [c for c in cols if sizes.get(c, 0) <= max_codes]
+    large = [c for c in cols if c not in small]
+    if len(rows) > cap and small:
+        rows = u.where(F.col("column").isin(*small)).collect()
+    classes = {c: [] for c in small}
     for r in rows:
-        classes[r["column"]].append(r["value"])
+        if r["column"] in classes:
+            classes[r["column"]].append(r["value"])
     for c in classes:
         classes[c] = sorted(v for v in classes[c] if v is not None)
-    return LabelCodes(classes)
+    tables = {}
+    for c in large:
+        path = scratch_path(df.sparkSession, f"codes-{c}")
+        code_table(df, c, as_text=as_text).write.mode("overwrite").parquet(path)
+        tables[c] = path
+    return LabelCodes(classes, tables)
 
 
 def encode(df: DataFrame, codes: LabelCodes, unseen: int | None = None,
@@ -79,17 +107,27 @@ def encode(df: DataFrame, codes: LabelCodes, unseen: int | None = None,
         if unseen is not None:
             e = F.coalesce(e, F.lit(unseen))
         rep[c] = e.cast("int")
-    return df.withColumns(rep) if rep else df
+    out = df.withColumns(rep) if rep else df
+    for c, path in codes.tables.items():
+        if c in out.columns:
+            out = encode_by_join(out, c, df.sparkSession.read.parquet(path), unseen, as_text)
+    return out
 
 
 def decode(df: DataFrame, codes: LabelCodes, col: str, out: str | None = None) -> DataFrame:
     """Code → value; an unknown code becomes its own text."""
+    if col in codes.tables:
+        t = (df.sparkSession.read.parquet(codes.tables[col])
+               .select(F.col("code").alias("_dc"), F.col("value").alias("_dv")))
+        j = df.join(t, F.col(col).cast("int") == F.col("_dc"), "left")
+        return j.withColumn(out or col, F.coalesce(F.col("_dv"), F.col(col).cast("string"))
+                            ).drop("_dc", "_dv")
     e = F.coalesce(F.element_at(codes.value_map(col), F.col(col).cast("int")),
                    F.col(col).cast("string"))
     return df.withColumn(out or col, e)
 
 
-def code_table(df: DataFrame, col: str) -> DataFrame:
+def code_table(df: DataFrame, col: str, as_text: bool = True) -> DataFrame:
     """(value, code) for a column with many distinct values, without a
     single-partition window: distinct values are range-partitioned, ranked
     inside each partition, written to the shared folder, and offset by the
@@ -97,7 +135,9 @@ def code_table(df: DataFrame, col: str) -> DataFrame:
     the driver)."""
     from .clean import materialize
     w = Window.partitionBy("_p").orderBy("value")
-    ranked = (df.select(_as_text(col).alias("value")).distinct()
+    v = _as_text(col) if as_text else F.col(col).cast("string")
+    ranked = (df.select(v.alias("value")).distinct()
+                .where(F.col("value").isNotNull())
                 .repartitionByRange("value")
                 .withColumn("_p", F.spark_partition_id())
                 .withColumn("_r", F.row_number().over(w)))
@@ -112,12 +152,13 @@ def code_table(df: DataFrame, col: str) -> DataFrame:
                          .cast("int").alias("code"))
 
 
-def encode_by_join(df: DataFrame, col: str, codes: DataFrame, unseen: int | None = None
-                   ) -> DataFrame:
+def encode_by_join(df: DataFrame, col: str, codes: DataFrame, unseen: int | None = None,
+                   as_text: bool = True) -> DataFrame:
     """Encode through a (value, code) table with a shuffle join; used when
     the distinct set is too large to inline. AQE splits a hot value."""
     c = codes.withColumnRenamed("value", "_v").withColumnRenamed("code", "_code")
-    j = df.join(c, _as_text(col) == F.col("_v"), "left")
+    v = _as_text(col) if as_text else F.col(col).cast("string")
+    j = df.join(c, v == F.col("_v"), "left")
     e = F.col("_code") if unseen is None else F.coalesce(F.col("_code"), F.lit(unseen))
     return j.withColumn(col, e.cast("int")).drop("_v", "_code")
 

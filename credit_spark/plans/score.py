@@ -82,6 +82,7 @@ class ScoringModel:
         spark = SparkSession.getActiveSession()
         meta = {
             "codes": self.featurizer.codes.classes,
+            "code_tables": sorted(self.featurizer.codes.tables),
             "target_codes": self.featurizer.target_codes.classes,
             "scaler": [self.featurizer.scaler.mean, self.featurizer.scaler.std],
             "target_scaler": [self.featurizer.target_scaler.mean, self.featurizer.target_scaler.std],
@@ -91,6 +92,8 @@ class ScoringModel:
         }
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/meta")
+        for c, src in self.featurizer.codes.tables.items():
+            spark.read.parquet(src).write.mode("overwrite").parquet(f"{path}/codes/{c}")
         self.classifier.write().overwrite().save(f"{path}/classifier")
         self.regressor.write().overwrite().save(f"{path}/regressor")
 
@@ -99,7 +102,9 @@ class ScoringModel:
         from pyspark.ml import classification as MC
         from pyspark.ml import regression as MR
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        fz = E.Featurizer(E.LabelCodes(meta["codes"]), E.LabelCodes(meta["target_codes"]),
+        fz = E.Featurizer(E.LabelCodes(meta["codes"], {c: f"{path}/codes/{c}"
+                                                       for c in meta.get("code_tables", [])}),
+                          E.LabelCodes(meta["target_codes"]),
                           E.ScalerStats(*meta["scaler"]), E.ScalerStats(*meta["target_scaler"]))
         clf = getattr(MC, meta["classifier"]).load(f"{path}/classifier")
         reg = getattr(MR, meta["regressor"]).load(f"{path}/regressor")

@@ -40,6 +40,7 @@ class TrainSettings:
     boost_depth: int = 6
     boost_step: float = 0.3
     seed: int = SEED
+    ovr_parallelism: int = 3
 
     @staticmethod
     def quick() -> "TrainSettings":
@@ -56,9 +57,12 @@ def classifiers(s: TrainSettings, n_train: int) -> dict:
                                        standardization=False),
         "random_forest": RandomForestClassifier(numTrees=s.trees, maxDepth=s.forest_depth,
                                                 featureSubsetStrategy="sqrt", seed=s.seed),
+        # The per-class binary fits are independent Spark jobs; running
+        # them concurrently keeps the cluster busy between boosting rounds.
         "boosted_trees": OneVsRest(classifier=GBTClassifier(maxIter=s.boost_rounds,
                                                             maxDepth=s.boost_depth,
-                                                            stepSize=s.boost_step, seed=s.seed)),
+                                                            stepSize=s.boost_step, seed=s.seed),
+                                   parallelism=s.ovr_parallelism),
     }
 
 

@@ -30,6 +30,23 @@ def test_code_table_matches_literal_codes(spark):
     assert joined == 499
 
 
+
+def test_large_distinct_set_falls_back_to_code_table(spark):
+    """Past the literal bound a column gets a distributed code table; the
+    codes, unseen handling and decoding equal the literal ones."""
+    df = spark.range(0, 300).select(
+        F.format_string("v%04d", (F.col("id") * 37) % 300).alias("s"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("t"))
+    lit = E.fit_label_codes(df, ["s", "t"])
+    big = E.fit_label_codes(df, ["s", "t"], max_codes=50)
+    assert list(big.tables) == ["s"] and big.classes == {"t": ["a", "b"]}
+    new = df.union(spark.createDataFrame([("zzz", "c")], "s string, t string"))
+    a = {r.k: (r.s, r.t) for r in E.encode(new.withColumn("k", F.col("s")), lit, unseen=0).collect()}
+    b = {r.k: (r.s, r.t) for r in E.encode(new.withColumn("k", F.col("s")), big, unseen=0).collect()}
+    assert a == b and a["zzz"] == (0, 0)
+    back = E.decode(E.encode(df.withColumn("orig", F.col("s")), big), big, "s")
+    assert back.where("s <> orig").count() == 0
+
 def test_scale_invert(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (10.0,), (None,)], "x double")
     st = E.fit_scaler(df, ["x"])
