@@ -55,15 +55,14 @@ def fit_label_codes(df: DataFrame, cols, as_text: bool = True,
     code table written to the shared folder (``code_table``)."""
     from ..session import scratch_path
     cols = [c for c in cols if c in df.columns]
-    parts = []
-    for c in cols:
-        v = _as_text(c) if as_text else F.col(c).cast("string")
-        parts.append(df.select(F.lit(c).alias("column"), v.alias("value")).distinct())
-    if not parts:
+    if not cols:
         return LabelCodes()
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    # One scan and one shuffle for all columns: the long (column, value)
+    # form feeds the partial aggregation of the distinct directly.
+    arr = F.array(*[F.struct(F.lit(c).alias("column"),
+                             (_as_text(c) if as_text else F.col(c).cast("string")).alias("value"))
+                    for c in cols])
+    u = df.select(F.explode(arr).alias("_e")).select("_e.*").distinct()
     # Common case, one job: every distinct value fits under the bound, so
     # the bounded fetch returns all of them. Otherwise size each column
     # first and fetch only the columns that fit.

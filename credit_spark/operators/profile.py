@@ -39,15 +39,12 @@ def class_distribution(df: DataFrame, label: str = "emi_eligibility") -> DataFra
 
 
 def category_values(df: DataFrame, cols) -> DataFrame:
-    """(column, value) distinct pairs. Each column is reduced to its
-    distinct values with a partial (map-side) aggregate before any rows
-    move, so a hot value costs one row per task."""
-    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-             .distinct() for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(column, value) distinct pairs in one scan and one shuffle: the long
+    (column, value) form feeds a partial (map-side) distinct before any
+    rows move, so a hot value costs one row per task."""
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                    for c in cols])
+    return df.select(F.explode(arr).alias("_e")).select("_e.*").distinct()
 
 
 def row_count(df: DataFrame) -> DataFrame:
