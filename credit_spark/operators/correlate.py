@@ -64,12 +64,14 @@ def _gram_correlations(df: DataFrame, cols, mom) -> dict:
     return out
 
 
-def pair_values(df: DataFrame, pairs) -> dict:
-    """{(a, b): r} for the pairs (eager: one moments job, then either one
-    Gramian job when all columns are complete, or SUM aggregates in chunks)."""
+def pair_values(df: DataFrame, pairs, mom: dict | None = None) -> dict:
+    """{(a, b): r} for the pairs (eager: one moments job unless ``mom``
+    already holds them, then either one Gramian job when all columns are
+    complete, or SUM aggregates in chunks)."""
     pairs = list(dict.fromkeys(pairs))
     cols = list(dict.fromkeys(c for p in pairs for c in p))
-    mom = _column_moments(df, cols)
+    if mom is None or not all(c in mom for c in cols):
+        mom = _column_moments(df, cols)
     usable = [c for c in cols if not mom[c]["flat"]]
     if len(usable) > 1 and all(mom[c]["count"] == mom[c]["n"] for c in usable):
         g = _gram_correlations(df, usable, mom)
@@ -145,9 +147,9 @@ def target_correlation(df: DataFrame, cols, target: str) -> DataFrame:
 # Selection
 # ---------------------------------------------------------------------------
 
-def _collect_pairs(df, pairs) -> dict:
+def _collect_pairs(df, pairs, mom: dict | None = None) -> dict:
     out = {}
-    for (a, b), r in pair_values(df, pairs).items():
+    for (a, b), r in pair_values(df, pairs, mom).items():
         out[(a, b)] = r
         out[(b, a)] = r
     return out
@@ -185,8 +187,15 @@ def select_features(df: DataFrame, cols, exclude=()) -> dict:
     """
     cols = [c for c in cols if c not in exclude]
     feats = [c for c in cols if c not in (TARGET_CLASS, TARGET_AMOUNT)]
-    tr = _collect_pairs(df, [(c, TARGET_CLASS) for c in cols if c != TARGET_CLASS]
-                        + [(c, TARGET_AMOUNT) for c in cols if c not in (TARGET_AMOUNT, TARGET_CLASS)])
+    mom = _column_moments(df, cols)
+    if all(mom[c]["count"] == mom[c]["n"] for c in cols):
+        # Complete columns: one Gramian job gives every pair at the cost of
+        # a few, so target and candidate pairs come from the same pass.
+        tr = _collect_pairs(df, upper_pairs(cols), mom)
+    else:
+        tr = _collect_pairs(df, [(c, TARGET_CLASS) for c in cols if c != TARGET_CLASS]
+                            + [(c, TARGET_AMOUNT) for c in cols
+                               if c not in (TARGET_AMOUNT, TARGET_CLASS)], mom)
     r_cls = {c: tr.get((c, TARGET_CLASS)) for c in cols if c != TARGET_CLASS}
     r_amt = {c: tr.get((c, TARGET_AMOUNT)) for c in cols if c != TARGET_AMOUNT}
     clf = candidates([c for c in cols if c != TARGET_CLASS], r_cls)
@@ -195,7 +204,9 @@ def select_features(df: DataFrame, cols, exclude=()) -> dict:
         reg.append(TARGET_CLASS)
     need = sorted(set(clf) | set(reg))
     pr = dict(tr)
-    pr.update(_collect_pairs(df, [p for p in upper_pairs(need) if p not in pr]))
+    todo = [p for p in upper_pairs(need) if p not in pr]
+    if todo:
+        pr.update(_collect_pairs(df, todo, mom))
     return {"classification": prune(clf, pr), "regression": prune(reg, pr),
             "classification_candidates": clf, "regression_candidates": reg,
             "r_class": r_cls, "r_amount": r_amt, "features": feats}
