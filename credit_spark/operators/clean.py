@@ -217,13 +217,31 @@ def log_scale(df: DataFrame, cols=SKEWED) -> DataFrame:
 
 def fit_cleaner(text_df: DataFrame, approx: bool = False, with_quartiles: bool = True
                 ) -> CleaningStats:
-    """Fit fill values, then quartiles of the filled numeric columns."""
-    stats = fit_fill(text_df, approx)
-    if with_quartiles:
-        nums = numeric_columns(text_df)
-        stats.q1, stats.q3 = fit_quartiles(fill(text_df, stats), nums, approx,
-                                           filled_sizes(stats) or None)
-    return stats
+    """Fill values and the quartiles of the filled numeric columns.
+
+    Exact (default): three passes over the table, one sizing aggregate,
+    one for the medians together with the quartiles the columns will have
+    once filled (``median_and_filled_quartiles``: filling only adds copies
+    of the median, so no pass over the filled table is needed) and one for
+    the modes. ``approx=True``: fill, then approximate quartiles of the
+    filled columns."""
+    if approx or not with_quartiles:
+        stats = fit_fill(text_df, approx)
+        if with_quartiles:
+            nums = numeric_columns(text_df)
+            stats.q1, stats.q3 = fit_quartiles(fill(text_df, stats), nums, approx,
+                                               filled_sizes(stats) or None)
+        return stats
+    from .quantiles import column_sizes, median_and_filled_quartiles
+    nums = numeric_columns(text_df)
+    cats = [c for c in category_columns(text_df) if c not in TITLE_CASED]
+    sizes = column_sizes(text_df, nums) if nums else {}
+    mq = median_and_filled_quartiles(text_df, nums, sizes) if nums else {}
+    med, q1, q3 = {}, {}, {}
+    for c in nums:
+        m, (a, b) = mq.get(c, (None, (None, None)))
+        med[c], q1[c], q3[c] = m, a, b
+    return CleaningStats(medians=med, modes=modes(text_df, cats), q1=q1, q3=q3, sizes=sizes)
 
 
 def apply_cleaner(text_df: DataFrame, stats: CleaningStats, do_cap: bool = True,

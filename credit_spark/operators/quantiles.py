@@ -150,3 +150,104 @@ def quantiles(df: DataFrame, cols, probs, map_limit: int = MAP_LIMIT, sizes: dic
             n = stats[c]["n"]
             out[c] = [_interpolate(p, n, lambda k, c=c: vals[(c, k)]) for p in probs]
     return out
+
+
+# ---------------------------------------------------------------------------
+# Order statistics at given ranks
+# ---------------------------------------------------------------------------
+
+def interpolate_like_percentile(p: float, n: int, value_at) -> float:
+    """Linear interpolation between order statistics exactly as Spark's
+    ``percentile`` computes it (equal neighbours return the value)."""
+    pos = float(n - 1) * p
+    lo, hi = math.floor(pos), math.ceil(pos)
+    a = float(value_at(lo))
+    if lo == hi:
+        return a
+    b = float(value_at(hi))
+    if a == b:
+        return a
+    return (hi - pos) * a + (pos - lo) * b
+
+
+def order_statistics(df: DataFrame, ranks: dict, sizes: dict, map_limit: int = MAP_LIMIT
+                     ) -> dict:
+    """{column: {rank: value}}: exact 0-based order statistics of the
+    non-missing values.
+
+    Columns with at most ``map_limit`` distinct values, all in one pass:
+    (column, value) counts with partial aggregation (a hot value is one row
+    per task), then a running count per column over its sorted distinct
+    values (one task per column, at most ``map_limit`` rows), and only the
+    rows that hold a wanted rank reach the driver. Other columns: histogram
+    refinement (``_refine``)."""
+    from pyspark.sql import Window
+    ranks = {c: sorted(set(r)) for c, r in ranks.items() if r and sizes[c]["n"]}
+    out = {c: {} for c in ranks}
+    small = [c for c in ranks if sizes[c]["distinct"] <= map_limit]
+    large = [c for c in ranks if c not in small]
+    if small:
+        arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                        for c in small])
+        counts = (df.select(F.explode(arr).alias("_e")).select("_e.*")
+                    .where(F.col("value").isNotNull())
+                    .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+        w = (Window.partitionBy("column").orderBy("value")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        want = F.element_at(F.create_map(*[x for c in small for x in (
+            F.lit(c), F.array(*[F.lit(j) for j in ranks[c]]))]), F.col("column"))
+        hits = (counts.withColumn("cum", F.sum("n").over(w))
+                      .where(F.exists(want, lambda j: (j >= F.col("cum") - F.col("n"))
+                                      & (j < F.col("cum"))))
+                      .select("column", "value", "n", "cum").collect())
+        for r in hits:
+            first, last = r["cum"] - r["n"], r["cum"]
+            for j in ranks[r["column"]]:
+                if first <= j < last:
+                    out[r["column"]][j] = float(r["value"])
+    if large:
+        vals = _refine(df, {(c, j): None for c in large for j in ranks[c]}, sizes)
+        for (c, j), v in vals.items():
+            out[c][j] = float(v)
+    return out
+
+
+def _ranks_of(p: float, n: int):
+    pos = float(n - 1) * p
+    return [math.floor(pos), math.ceil(pos)]
+
+
+def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0.75),
+                                map_limit: int = MAP_LIMIT) -> dict:
+    """Median of each column and the quartiles the column will have after
+    its missing values are filled with that median, from one pass.
+
+    Filling adds k copies of the median m to the n values X. In sorted
+    order they sit after every value below m, so the filled column's value
+    at rank r is X(r) when X(r) < m, X(r−k) when X(r−k) > m, and m
+    otherwise. Only ranks of X are needed, all known from n and k before
+    the pass. Returns {column: (median, [q(p) for p in probs])}."""
+    cols = [c for c in cols if sizes[c]["n"]]
+    want = {}
+    for c in cols:
+        n, k = sizes[c]["n"], sizes[c]["rows"] - sizes[c]["n"]
+        r = set(_ranks_of(0.5, n))
+        for p in probs:
+            for j in _ranks_of(p, n + k):
+                r.update(x for x in (j, j - k) if 0 <= x < n)
+        want[c] = r
+    stats = order_statistics(df, want, sizes, map_limit)
+    out = {}
+    for c in cols:
+        n, k = sizes[c]["n"], sizes[c]["rows"] - sizes[c]["n"]
+        x = stats[c]
+        m = interpolate_like_percentile(0.5, n, lambda j: x[j])
+
+        def filled_at(r, x=x, m=m, n=n, k=k):
+            if r < n and x[r] < m:
+                return x[r]
+            if 0 <= r - k < n and x[r - k] > m:
+                return x[r - k]
+            return m
+        out[c] = (m, [interpolate_like_percentile(p, n + k, filled_at) for p in probs])
+    return out

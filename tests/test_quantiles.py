@@ -31,3 +31,34 @@ def test_refinement_is_exact(spark, small_limits):
 def test_modes_distributed(spark):
     df = spark.createDataFrame([("x",), ("y",), ("y",), ("x",), (None,), ("z",)], "s string")
     assert C.modes(df, ["s"]) == {"s": "x"}
+
+
+@pytest.mark.parametrize("map_limit", [None, 0])
+def test_filled_quartiles_from_one_pass(spark, small_limits, map_limit):
+    """Median and the quartiles after filling with it equal numpy on the
+    filled column: many missing values (quartile ranks inside the block of
+    copies), a hot value, and both the counts path and refinement."""
+    rng = np.random.default_rng(11)
+    n = 3000
+    a = np.round(rng.lognormal(2, 1, n), 2)
+    a[:900] = 5.0
+    rows = []
+    for i in range(n):
+        x = None if i % 5 == 0 else float(a[i])          # 20 % missing
+        y = None if i % 3 else float(a[(i * 7) % n])      # 67 % missing
+        rows.append((x, y, None))
+    df = spark.createDataFrame(rows, "x double, y double, z double").repartition(4)
+    sizes = Q.column_sizes(df, ["x", "y", "z"])
+    kw = {} if map_limit is None else {"map_limit": map_limit}
+    if kw:
+        stats = Q.order_statistics(df, {c: range(sizes[c]["n"]) for c in ("x", "y")}, sizes, **kw)
+        assert all(stats[c][j] == sorted(r[i] for r in rows if r[i] is not None)[j]
+                   for i, c in enumerate(("x", "y")) for j in (0, 17, sizes[c]["n"] - 1))
+    got = Q.median_and_filled_quartiles(df, ["x", "y", "z"], sizes, **kw)
+    assert "z" not in got
+    for i, c in enumerate(("x", "y")):
+        vals = np.array([r[i] for r in rows if r[i] is not None])
+        m = np.median(vals)
+        filled = np.array([r[i] if r[i] is not None else m for r in rows])
+        assert got[c][0] == pytest.approx(m, rel=1e-12)
+        assert np.allclose(got[c][1], np.percentile(filled, [25, 75]), rtol=1e-12, atol=0)
