@@ -3,12 +3,15 @@ stay distributed on any column.
 
 Spark's exact ``percentile`` keeps a value→count map per column and merges
 all maps in one task: fine when a column has a bounded number of distinct
-values (amounts, scores, counts), impossible when almost every value is
-distinct. So each column is first sized with HyperLogLog
-(``approx_count_distinct``):
+values, impossible when almost every value is distinct, and even bounded
+maps of many columns meet in that one task. So each column is first sized
+with HyperLogLog (``approx_count_distinct``):
 
-* at most ``MAP_LIMIT`` distinct values → the built-in ``percentile`` (one
-  pass for all such columns);
+* at most ``MAP_LIMIT`` distinct values → ``order_statistics``: one pass of
+  (column, value) counts with partial aggregation, then a running count
+  over each column's sorted distinct values (one task per column), and
+  only the rows holding a wanted rank reach the driver; interpolated
+  exactly as ``percentile`` does;
 * more → histogram refinement: every round, one aggregate counts the rows
   of each target's current bracket in ``BINS`` equal-width bins (and keeps
   each bin's real min and max), then the bracket becomes the bin that holds
@@ -133,10 +136,15 @@ def quantiles(df: DataFrame, cols, probs, map_limit: int = MAP_LIMIT, sizes: dic
     small = [c for c in cols if stats[c]["n"] and stats[c]["distinct"] <= map_limit]
     large = [c for c in cols if stats[c]["n"] and stats[c]["distinct"] > map_limit]
     if small:
-        r = df.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(f"q{i}")
-                     for i, c in enumerate(small)]).first()
-        for i, c in enumerate(small):
-            out[c] = [float(v) for v in r[f"q{i}"]]
+        # Exact order statistics from distributed value counts (one task
+        # per column sorts its distinct values), interpolated as Spark's
+        # ``percentile`` does; ``percentile`` itself would merge every
+        # column's value map in a single task.
+        ranks = {c: {j for p in probs for j in _ranks_of(p, stats[c]["n"])} for c in small}
+        got = order_statistics(df, ranks, stats, map_limit)
+        for c in small:
+            out[c] = [interpolate_like_percentile(p, stats[c]["n"], lambda j, c=c: got[c][j])
+                      for p in probs]
     if large:
         targets = {}
         for c in large:
