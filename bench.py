@@ -45,12 +45,12 @@ def main():
 
         timed("risk_summary", lambda: QUERIES["risk_summary"](spark, sf_dir).collect())
         p = PL.paths(spark)
-        timed("clean", lambda: PL.step_clean(spark, sf_dir, p))
+        stats = timed("clean", lambda: PL.step_clean(spark, sf_dir, p))
         fz = timed("featurize", lambda: PL.step_featurize(spark, p))
         timed("correlation_matrix", lambda: PL.step_correlate(spark, p).collect())
         sel = timed("select_features", lambda: PL.step_select(spark, p))
         model = timed("fit_models", lambda: PL.step_fit(spark, p, fz, sel, TR.TrainSettings.quick()))
-        timed("score", lambda: PL.step_score(spark, sf_dir, model, p))
+        timed("score", lambda: PL.step_score(spark, sf_dir, model, p, stats))
 
         def stream():
             inp = SC.score_input(S.filled(spark, sf_dir))

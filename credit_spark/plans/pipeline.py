@@ -27,16 +27,21 @@ class Paths:
     cleaned: str
     model_table: str
     scores: str
+    text: str = ""          # deduplicated, repaired (unfilled) applicants
 
 
 def paths(spark: SparkSession) -> Paths:
     return Paths(scratch_path(spark, "cleaned"), scratch_path(spark, "model-table"),
-                 scratch_path(spark, "scores"))
+                 scratch_path(spark, "scores"), scratch_path(spark, "clean-text"))
 
 
 def step_clean(spark: SparkSession, sf_dir: str, p: Paths):
-    cleaned, stats = C.clean(load_applicants(spark, sf_dir), return_stats=True)
-    cleaned.write.mode("overwrite").parquet(p.cleaned)
+    """Dedupe and repair once into ``p.text``, fit on it, write the cleaned
+    table; returns the fitted statistics (reused by ``step_score``)."""
+    C.clean_text(C.dedupe(load_applicants(spark, sf_dir))).write.mode("overwrite").parquet(p.text)
+    text = spark.read.parquet(p.text)
+    stats = C.fit_cleaner(text)
+    C.apply_cleaner(text, stats).write.mode("overwrite").parquet(p.cleaned)
     return stats
 
 
@@ -63,8 +68,18 @@ def step_fit(spark: SparkSession, p: Paths, fz: E.Featurizer, sel: dict,
                            res.best_regressor)
 
 
-def step_score(spark: SparkSession, sf_dir: str, model: SC.ScoringModel, p: Paths) -> None:
-    """Scores the repaired, filled applicants (raw money scale)."""
-    text = C.stage_text(load_applicants(spark, sf_dir))
-    inp = SC.score_input(C.fill(text, C.fit_fill(text)))
+def step_score(spark: SparkSession, sf_dir: str, model: SC.ScoringModel, p: Paths,
+               stats: C.CleaningStats | None = None) -> None:
+    """Scores the repaired, filled applicants (raw money scale). With the
+    statistics of ``step_clean`` the repaired table it wrote is read back
+    and filled with the same medians and modes (the fill values of the
+    cleaning fit are those of ``fit_fill`` on the same table), so nothing
+    is deduplicated or fitted twice."""
+    if stats is not None and p.text:
+        text = spark.read.parquet(p.text)
+        fill_stats = C.CleaningStats(medians=stats.medians, modes=stats.modes)
+    else:
+        text = C.stage_text(load_applicants(spark, sf_dir))
+        fill_stats = C.fit_fill(text)
+    inp = SC.score_input(C.fill(text, fill_stats))
     model.transform(inp).write.mode("overwrite").parquet(p.scores)
