@@ -140,7 +140,6 @@ def fit_fill(df: DataFrame, approx: bool = False) -> CleaningStats:
     """Medians of every numeric feature (exact, distributed; see
     ``quantiles``) and modes of every categorical feature that can still be
     missing."""
-    from .quantiles import quantiles
     nums = numeric_columns(df)
     # Title-cased columns can no longer be missing: no mode needed.
     cats = [c for c in category_columns(df) if c not in TITLE_CASED]
@@ -149,11 +148,16 @@ def fit_fill(df: DataFrame, approx: bool = False) -> CleaningStats:
                        for i, c in enumerate(nums)]).first() if nums else {}
         med = {c: row[f"m{i}"] for i, c in enumerate(nums)}
         sizes = {}
-    else:
-        from .quantiles import column_sizes
-        sizes = column_sizes(df, nums) if nums else {}
-        med = {c: v[0] for c, v in quantiles(df, nums, [0.5], sizes=sizes).items()}
-    return CleaningStats(medians=med, modes=modes(df, cats), sizes=sizes)
+        return CleaningStats(medians=med, modes=modes(df, cats), sizes=sizes)
+    # Exact: a sizing pass, then one pass for the medians and the modes.
+    from .quantiles import (_ranks_of, column_sizes, interpolate_like_percentile,
+                            order_statistics_and_modes)
+    sizes = column_sizes(df, nums) if nums else {}
+    want = {c: _ranks_of(0.5, sizes[c]["n"]) for c in nums if sizes[c]["n"]}
+    stats, mode = order_statistics_and_modes(df, want, sizes, mode_cols=cats)
+    med = {c: interpolate_like_percentile(0.5, sizes[c]["n"], lambda j, c=c: stats[c][j])
+           if c in stats else None for c in nums}
+    return CleaningStats(medians=med, modes=mode, sizes=sizes)
 
 
 def filled_sizes(stats: CleaningStats) -> dict:
@@ -219,11 +223,10 @@ def fit_cleaner(text_df: DataFrame, approx: bool = False, with_quartiles: bool =
                 ) -> CleaningStats:
     """Fill values and the quartiles of the filled numeric columns.
 
-    Exact (default): three passes over the table, one sizing aggregate,
-    one for the medians together with the quartiles the columns will have
-    once filled (``median_and_filled_quartiles``: filling only adds copies
-    of the median, so no pass over the filled table is needed) and one for
-    the modes. ``approx=True``: fill, then approximate quartiles of the
+    Exact (default): two passes over the table, one sizing aggregate, and
+    one for the medians, the quartiles the columns will have once filled
+    (``median_and_filled_quartiles``: filling only adds copies of the
+    median, so no pass over the filled table is needed) and the modes. ``approx=True``: fill, then approximate quartiles of the
     filled columns."""
     if approx or not with_quartiles:
         stats = fit_fill(text_df, approx)
@@ -236,12 +239,12 @@ def fit_cleaner(text_df: DataFrame, approx: bool = False, with_quartiles: bool =
     nums = numeric_columns(text_df)
     cats = [c for c in category_columns(text_df) if c not in TITLE_CASED]
     sizes = column_sizes(text_df, nums) if nums else {}
-    mq = median_and_filled_quartiles(text_df, nums, sizes) if nums else {}
+    mq, mode = median_and_filled_quartiles(text_df, nums, sizes, mode_cols=cats)
     med, q1, q3 = {}, {}, {}
     for c in nums:
         m, (a, b) = mq.get(c, (None, (None, None)))
         med[c], q1[c], q3[c] = m, a, b
-    return CleaningStats(medians=med, modes=modes(text_df, cats), q1=q1, q3=q3, sizes=sizes)
+    return CleaningStats(medians=med, modes=mode, q1=q1, q3=q3, sizes=sizes)
 
 
 def apply_cleaner(text_df: DataFrame, stats: CleaningStats, do_cap: bool = True,

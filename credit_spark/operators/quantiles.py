@@ -41,14 +41,6 @@ COLLECT_LIMIT = 200_000
 MAX_ROUNDS = 12
 
 
-def _interpolate(p: float, n: int, value_at) -> float:
-    pos = (n - 1) * p
-    lo, hi = math.floor(pos), math.ceil(pos)
-    if lo == hi:
-        return float(value_at(lo))
-    return (hi - pos) * value_at(lo) + (pos - lo) * value_at(hi)
-
-
 def _refine(df: DataFrame, targets: dict, stats: dict) -> dict:
     """targets: (col, rank) → None; returns (col, rank) → value."""
     # bracket per target: [lo, hi] inclusive, rows below lo, rows inside
@@ -156,7 +148,8 @@ def quantiles(df: DataFrame, cols, probs, map_limit: int = MAP_LIMIT, sizes: dic
         vals = _refine(df, targets, stats)
         for c in large:
             n = stats[c]["n"]
-            out[c] = [_interpolate(p, n, lambda k, c=c: vals[(c, k)]) for p in probs]
+            out[c] = [interpolate_like_percentile(p, n, lambda k, c=c: vals[(c, k)])
+                      for p in probs]
     return out
 
 
@@ -181,43 +174,80 @@ def interpolate_like_percentile(p: float, n: int, value_at) -> float:
 def order_statistics(df: DataFrame, ranks: dict, sizes: dict, map_limit: int = MAP_LIMIT
                      ) -> dict:
     """{column: {rank: value}}: exact 0-based order statistics of the
-    non-missing values.
+    non-missing values (see ``order_statistics_and_modes``)."""
+    return order_statistics_and_modes(df, ranks, sizes, map_limit)[0]
+
 
-    Columns with at most ``map_limit`` distinct values, all in one pass:
-    (column, value) counts with partial aggregation (a hot value is one row
-    per task), then a running count per column over its sorted distinct
-    values (one task per column, at most ``map_limit`` rows), and only the
-    rows that hold a wanted rank reach the driver. Other columns: histogram
-    refinement (``_refine``)."""
+def order_statistics_and_modes(df: DataFrame, ranks: dict, sizes: dict,
+                               map_limit: int = MAP_LIMIT, mode_cols=()) -> tuple[dict, dict]:
+    """Exact 0-based order statistics of the non-missing values of numeric
+    columns, and the modes (most frequent value, ties → smallest) of
+    ``mode_cols``, from one pass.
+
+    Numeric columns with at most ``map_limit`` distinct values and the mode
+    columns share one (column, value) count with partial aggregation (a
+    hot value is one row per task). From it, a running count per numeric
+    column over its sorted distinct values (one task per column, at most
+    ``map_limit`` rows) keeps only the rows holding a wanted rank, and a
+    ``min_by`` over (−count, value) gives each mode; both read the same
+    shuffle (Spark reuses the exchange), and only those rows reach the
+    driver. Other numeric columns: histogram refinement (``_refine``).
+    Returns ({column: {rank: value}}, {column: mode})."""
     from pyspark.sql import Window
     ranks = {c: sorted(set(r)) for c, r in ranks.items() if r and sizes[c]["n"]}
+    mode_cols = list(mode_cols)
     out = {c: {} for c in ranks}
+    modes = {c: None for c in mode_cols}
     small = [c for c in ranks if sizes[c]["distinct"] <= map_limit]
     large = [c for c in ranks if c not in small]
-    if small:
-        arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                        for c in small])
-        counts = (df.select(F.explode(arr).alias("_e")).select("_e.*")
-                    .where(F.col("value").isNotNull())
-                    .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-        w = (Window.partitionBy("column").orderBy("value")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        want = F.element_at(F.create_map(*[x for c in small for x in (
-            F.lit(c), F.array(*[F.lit(j) for j in ranks[c]]))]), F.col("column"))
-        hits = (counts.withColumn("cum", F.sum("n").over(w))
+    if small or mode_cols:
+        no_d, no_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+        items = ([F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("d"),
+                           no_s.alias("s")) for c in small]
+                 + [F.struct(F.lit(c).alias("column"), no_d.alias("d"),
+                             F.col(c).cast("string").alias("s")) for c in mode_cols])
+        counts = (df.select(F.explode(F.array(*items)).alias("_e")).select("_e.*")
+                    .where(F.col("d").isNotNull() | F.col("s").isNotNull())
+                    .groupBy("column", "d", "s").agg(F.count(F.lit(1)).alias("n")))
+        parts = []
+        if small:
+            w = (Window.partitionBy("column").orderBy("d")
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            want = F.element_at(F.create_map(*[x for c in small for x in (
+                F.lit(c), F.array(*[F.lit(j) for j in ranks[c]]))]), F.col("column"))
+            # No filter on the count's grouping columns in either branch:
+            # Catalyst would push it below the shuffle, and the two
+            # branches would no longer share one exchange (and one scan).
+            # A window partition holds the rows of one column only.
+            parts.append(
+                counts.withColumn("cum", F.sum("n").over(w))
                       .where(F.exists(want, lambda j: (j >= F.col("cum") - F.col("n"))
                                       & (j < F.col("cum"))))
-                      .select("column", "value", "n", "cum").collect())
-        for r in hits:
+                      .select("column", "d", "s", "n", "cum"))
+        if mode_cols:
+            parts.append(
+                counts.groupBy("column")
+                      .agg(F.min_by("s", F.when(F.col("s").isNotNull(), F.struct(
+                          (-F.col("n")).alias("neg"), F.col("s")))).alias("s"))
+                      .where(F.col("s").isNotNull())
+                      .select("column", no_d.alias("d"), "s", F.lit(None).cast("long").alias("n"),
+                              F.lit(None).cast("long").alias("cum")))
+        res = parts[0]
+        for p in parts[1:]:
+            res = res.unionByName(p)
+        for r in res.collect():
+            if r["d"] is None:
+                modes[r["column"]] = r["s"]
+                continue
             first, last = r["cum"] - r["n"], r["cum"]
             for j in ranks[r["column"]]:
                 if first <= j < last:
-                    out[r["column"]][j] = float(r["value"])
+                    out[r["column"]][j] = float(r["d"])
     if large:
         vals = _refine(df, {(c, j): None for c in large for j in ranks[c]}, sizes)
         for (c, j), v in vals.items():
             out[c][j] = float(v)
-    return out
+    return out, modes
 
 
 def _ranks_of(p: float, n: int):
@@ -226,7 +256,7 @@ def _ranks_of(p: float, n: int):
 
 
 def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0.75),
-                                map_limit: int = MAP_LIMIT) -> dict:
+                                map_limit: int = MAP_LIMIT, mode_cols=None):
     """Median of each column and the quartiles the column will have after
     its missing values are filled with that median, from one pass.
 
@@ -234,7 +264,9 @@ def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0
     order they sit after every value below m, so the filled column's value
     at rank r is X(r) when X(r) < m, X(r−k) when X(r−k) > m, and m
     otherwise. Only ranks of X are needed, all known from n and k before
-    the pass. Returns {column: (median, [q(p) for p in probs])}."""
+    the pass. Returns {column: (median, [q(p) for p in probs])}; with
+    ``mode_cols`` also the modes of those columns from the same pass:
+    (that dict, {column: mode})."""
     cols = [c for c in cols if sizes[c]["n"]]
     want = {}
     for c in cols:
@@ -244,7 +276,7 @@ def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0
             for j in _ranks_of(p, n + k):
                 r.update(x for x in (j, j - k) if 0 <= x < n)
         want[c] = r
-    stats = order_statistics(df, want, sizes, map_limit)
+    stats, modes = order_statistics_and_modes(df, want, sizes, map_limit, mode_cols or ())
     out = {}
     for c in cols:
         n, k = sizes[c]["n"], sizes[c]["rows"] - sizes[c]["n"]
@@ -258,4 +290,4 @@ def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0
                 return x[r - k]
             return m
         out[c] = (m, [interpolate_like_percentile(p, n + k, filled_at) for p in probs])
-    return out
+    return out if mode_cols is None else (out, modes)
