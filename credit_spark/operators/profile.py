@@ -52,22 +52,34 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols) -> DataFrame:
-    """count, mean, sample std, min, exact 25/50/75 % and max per column."""
+    """count, mean, sample std, min, exact 25/50/75 % and max per column.
+
+    Two passes: one aggregate gives the moments together with the sizes
+    the exact quantiles need (count, min, max, HyperLogLog), then one
+    quantile pass; the result (one row per column) is built from both."""
     from .quantiles import quantiles
     cols = list(cols)
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75])
-    base = long_agg(df, cols, {
-        "count": lambda c: F.count(c).cast("long"),
-        "mean": lambda c: F.avg(c),
-        "std": lambda c: F.stddev_samp(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    })
-    q = {i: F.create_map(*[F.lit(x) for c in cols for x in (c, (qs[c] or [None] * 3)[i])])
-         for i in range(3)}
-    return base.select("column", "count", "mean", "std", "min",
-                       *[F.element_at(q[i], F.col("column")).cast("double").alias(n)
-                         for i, n in enumerate(("p25", "p50", "p75"))], "max")
+    if not cols:
+        return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mu{i}"),
+                 F.stddev_samp(x).alias(f"sd{i}"), F.min(x).alias(f"lo{i}"),
+                 F.max(x).alias(f"hi{i}"), F.approx_count_distinct(x).alias(f"d{i}")]
+    r = df.agg(*aggs).first()
+    sizes = {c: {"n": r[f"n{i}"], "min": r[f"lo{i}"], "max": r[f"hi{i}"], "distinct": r[f"d{i}"],
+                 "rows": r["rows"]} for i, c in enumerate(cols)}
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], sizes=sizes)
+    rows = []
+    for i, c in enumerate(cols):
+        q = qs.get(c) or [None] * 3
+        rows.append((c, r[f"n{i}"], r[f"mu{i}"], r[f"sd{i}"], r[f"lo{i}"], *q, r[f"hi{i}"]))
+    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
+
+
+DESCRIBE_SCHEMA = ("column string, count bigint, mean double, std double, min double, "
+                   "p25 double, p50 double, p75 double, max double")
 
 
 def type_name(dt: T.DataType) -> str:
