@@ -28,16 +28,22 @@ def _long(df: DataFrame, cols) -> DataFrame:
 
 
 def _ranges(df: DataFrame, cols, with_quartiles: bool = False) -> dict:
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}"),
                  F.stddev_samp(x).alias(f"sd{i}")]
+        if with_quartiles:
+            aggs.append(F.approx_count_distinct(x).alias(f"d{i}"))
     row = df.agg(*aggs).first()
     qs = {}
     if with_quartiles:
+        # The same aggregate sized the columns, so the quantiles take one
+        # more pass only.
         from .quantiles import quantiles
-        qs = quantiles(df, cols, [0.25, 0.75])
+        sizes = {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
+                     "distinct": row[f"d{i}"], "rows": row["rows"]} for i, c in enumerate(cols)}
+        qs = quantiles(df, cols, [0.25, 0.75], sizes=sizes)
     out = {}
     for i, c in enumerate(cols):
         d = {"lo": row[f"lo{i}"], "hi": row[f"hi{i}"], "n": row[f"n{i}"], "sd": row[f"sd{i}"]}
