@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_count
+from . import bpe, decontaminate, line_dedup, simhash, sql, token_count
 from .common import table
 
 # Folder of the public tokenizer files (a parameter of a deployment).
@@ -38,8 +38,35 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside benchmark windows."""
+    out = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    hit = decontaminate.n_hit()
+    return out.select("row.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (hit > 0).alias("contaminated"))
+
+
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and near-duplicate groups of all documents."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all documents keep when shared lines go."""
+    out = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_token_counts": op2_token_counts,
+    "op3_decontaminate": op3_decontaminate,
+    "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_line_dedup": op8_line_dedup,
+}
+ORACLE = {
+    "op3_decontaminate": sql.DECONTAMINATE,
+    "op8_line_dedup": sql.LINE_DEDUP,
 }
-ORACLE: dict[str, str] = {}
