@@ -7,12 +7,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, simhash, sql, token_count
+from . import (bpe, chat, decontaminate, line_dedup, pii, quality, secret_scan, shards, simhash, sql,
+               token_count)
 from .common import table
 
 # Folder of the public tokenizer files (a parameter of a deployment).
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 TOKEN_LIMIT = 512
+SHARDS = 16
 
 
 def tokenizer_path(name: str) -> str:
@@ -47,6 +49,37 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (hit > 0).alias("contaminated"))
 
 
+def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations from the perspective of each participant."""
+    out = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("masks", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return out.withColumn("masks", F.array_join(spans, ","))
+
+
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards along the curve, row counts at most one apart."""
+    out = shards.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "curve_index")
+
+
+def _joined(spans):
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(text, ",")
+
+
+def _count(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return out.select("doc_id", *[_count("spans", k) for k in secret_scan.KINDS[:3]],
+                      F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and near-duplicate groups of all documents."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -59,14 +92,27 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {
-    "op1_bpe_codec": op1_bpe_codec,
-    "op2_token_counts": op2_token_counts,
-    "op3_decontaminate": op3_decontaminate,
-    "op7_simhash_dedup": op7_simhash_dedup,
-    "op8_line_dedup": op8_line_dedup,
-}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    out = quality.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
+
+
+def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    out = pii.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["disguised"])
+    return out.select("doc_id", *[_count(base, k) for k in pii.KINDS],
+                      F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe_codec, op2_token_counts, op3_decontaminate, op4_chat_rotation, op5_hilbert_shards, op6_secret_scan,
+    op7_simhash_dedup, op8_line_dedup, op9_quality_rules, op10_pii_scan)}
 ORACLE = {
     "op3_decontaminate": sql.DECONTAMINATE,
+    "op4_chat_rotation": sql.chat_rotation(),
     "op8_line_dedup": sql.LINE_DEDUP,
+    "op9_quality_rules": sql.quality_rules(),
 }
