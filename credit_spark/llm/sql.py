@@ -122,7 +122,8 @@ c AS MATERIALIZED (
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     CAST(coalesce(n_word_lines, 0) AS BIGINT) AS n_word_lines,
     length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
-    length(text) - length(replace(text, '!', '')) AS n_exclaims, len(list_distinct(w)) AS n_distinct
+    length(text) - length(replace(text, '!', '')) AS n_exclaims, len(list_distinct(w)) AS n_distinct,
+    len(regexp_extract_all(text, '[#*$%&|<>]+')) AS n_symbol_runs
   FROM d JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
 v AS MATERIALIZED (SELECT *, {votes} AS votes FROM c),
 pat AS MATERIALIZED (
