@@ -57,12 +57,14 @@ def drop_shared_lines(docs: DataFrame, text_col: str = "text", min_chars: int =
     hashed = stored(keyed.select(
         "doc", F.transform("keys", lambda k: F.when(long_enough(k), _hash(k))).alias("lines"),
         F.transform(F.array_distinct(F.filter("keys", long_enough)), _hash).alias("distinct")), "line-hashes")
-    # Stored, so that its size is known to the join: small, it is broadcast;
-    # large, it is shuffled anew, and a hot line's rows can be split.
+    # The small sides of both joins are stored, so that their size is known:
+    # small, they are broadcast; large, they are shuffled for the join alone,
+    # and the rows of a hot line or text can be split.
     shared = stored(hashed.select(F.explode("distinct").alias("key")).groupBy("key")
                     .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("key"), "shared-lines")
-    dropped = (hashed.select("doc", F.posexplode("lines").alias("at", "key")).where(F.col("key").isNotNull())
-               .join(shared, "key").groupBy("doc").agg(F.collect_set("at").alias("drop")))
+    dropped = stored(hashed.select("doc", F.posexplode("lines").alias("at", "key")).where(F.col("key").isNotNull())
+                     .join(shared, "key").groupBy("doc").agg(F.collect_set("at").alias("drop")),
+                     "dropped-lines")
     # The lines stand in a column of their own, so that they are split once.
     joined = base.withColumn("doc", _hash(F.col("text"))).join(dropped, "doc", "left") \
         .withColumn("split", F.split("text", "\n"))
