@@ -171,8 +171,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
         F.shiftleft(F.lit(k).cast("long"), 56).bitwiseOR(
             F.shiftleft(bits(*one), two[1]).bitwiseOR(bits(*two)))
         for k, (one, two) in enumerate(kinds)])).alias("key"))
-    large = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
-             .select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("parts")))
+    # Stored, so that the join knows its size; it is mostly empty.
+    large = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
+                   .select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("parts")), "large-buckets")
     part = F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1))).cast("int")
     met = (keyed.join(large, "key", "left").withColumn("part", part)
            .withColumn("with", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
