@@ -92,7 +92,9 @@ def quantised(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataF
     for k in range(len(dims)):
         lo, hi = bounds[f"lo{k}"] or 0, bounds[f"hi{k}"] or 0
         scaled = F.floor((F.col(f"_q{k}") - lo).cast("decimal(20,0)") * (1 << bits) / (hi - lo + 1))
-        steps[f"_q{k}"] = F.coalesce(scaled.cast("int"), F.lit(0))
+        # Kept in range also where a source gives other rows when it is read again.
+        inside = F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), scaled))
+        steps[f"_q{k}"] = F.when(F.col(f"_q{k}").isNull(), 0).otherwise(inside.cast("int"))
     return placed.withColumns(steps)
 
 
