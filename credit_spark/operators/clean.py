@@ -75,6 +75,7 @@ def clean_text(df: DataFrame) -> DataFrame:
                 e = e.cast("double")  # digits only: the text rule is a no-op
             else:
                 e = X.numeric_value(e, dtypes[c])
+            e = M.nullify_nonfinite(e)      # NaN and infinities count as missing
             if c in INTEGER:
                 e = M.round_half_even(e)
         out[c] = e.alias(c)
@@ -84,6 +85,19 @@ def clean_text(df: DataFrame) -> DataFrame:
     return df.select(*[out[c] for c in df.columns])
 
 
+def typed_inputs(df: DataFrame) -> DataFrame:
+    """Inputs as they were entered, with numbers parsed: nothing filled,
+    rounded, mapped or re-cased; missing stays missing."""
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
+
+    def typed(c):
+        e = X.na_to_null(F.col(c)) if isinstance(dtypes[c], T.StringType) else F.col(c)
+        if c not in NUMERIC:
+            return e
+        return M.nullify_nonfinite(X.extract_age(e).cast("double") if c == "age" else X.numeric_value(e, dtypes[c]))
+    return df.select(*[typed(c).alias(c) for c in df.columns])
+
+
 def numeric_columns(df: DataFrame, exclude=(ID,) + TARGETS):
     """Numeric feature columns present (ids and targets excluded by name)."""
     return [f.name for f in df.schema.fields
@@ -149,12 +163,11 @@ def fit_fill(df: DataFrame, approx: bool = False) -> CleaningStats:
         med = {c: row[f"m{i}"] for i, c in enumerate(nums)}
         sizes = {}
         return CleaningStats(medians=med, modes=modes(df, cats), sizes=sizes)
-    # Exact: a sizing pass, then one pass for the medians and the modes.
-    from .quantiles import (_ranks_of, column_sizes, interpolate_like_percentile,
-                            order_statistics_and_modes)
+    # Exact: a sizing pass, the rounds for the medians, and a pass for the modes.
+    from .quantiles import _ranks_of, column_sizes, interpolate_like_percentile, order_statistics
     sizes = column_sizes(df, nums) if nums else {}
     want = {c: _ranks_of(0.5, sizes[c]["n"]) for c in nums if sizes[c]["n"]}
-    stats, mode = order_statistics_and_modes(df, want, sizes, mode_cols=cats)
+    stats, mode = order_statistics(df, want, sizes), modes(df, cats)
     med = {c: interpolate_like_percentile(0.5, sizes[c]["n"], lambda j, c=c: stats[c][j])
            if c in stats else None for c in nums}
     return CleaningStats(medians=med, modes=mode, sizes=sizes)
@@ -162,14 +175,13 @@ def fit_fill(df: DataFrame, approx: bool = False) -> CleaningStats:
 
 def filled_sizes(stats: CleaningStats) -> dict:
     """Sizes of the columns after filling, derived without a scan: every
-    row has a value, the median lies within [min, max] and adds at most
-    one distinct value."""
+    row has a value, and the median lies within [min, max]."""
     out = {}
     for c, s in stats.sizes.items():
         if stats.medians.get(c) is None:
             continue
         out[c] = {"n": s["rows"], "min": s["min"], "max": s["max"],
-                  "distinct": s["distinct"] + 1, "rows": s["rows"]}
+                  "rows": s["rows"]}
     return out
 
 
@@ -223,10 +235,10 @@ def fit_cleaner(text_df: DataFrame, approx: bool = False, with_quartiles: bool =
                 ) -> CleaningStats:
     """Fill values and the quartiles of the filled numeric columns.
 
-    Exact (default): two passes over the table, one sizing aggregate, and
-    one for the medians, the quartiles the columns will have once filled
-    (``median_and_filled_quartiles``: filling only adds copies of the
-    median, so no pass over the filled table is needed) and the modes. ``approx=True``: fill, then approximate quartiles of the
+    Exact (default): one sizing aggregate, the rounds of the order
+    statistics (``median_and_filled_quartiles``: filling only adds copies of
+    the median, so no pass over the filled table is needed), and a count
+    for the modes. ``approx=True``: fill, then approximate quartiles of the
     filled columns."""
     if approx or not with_quartiles:
         stats = fit_fill(text_df, approx)
@@ -239,7 +251,7 @@ def fit_cleaner(text_df: DataFrame, approx: bool = False, with_quartiles: bool =
     nums = numeric_columns(text_df)
     cats = [c for c in category_columns(text_df) if c not in TITLE_CASED]
     sizes = column_sizes(text_df, nums) if nums else {}
-    mq, mode = median_and_filled_quartiles(text_df, nums, sizes, mode_cols=cats)
+    mq, mode = median_and_filled_quartiles(text_df, nums, sizes), modes(text_df, cats)
     med, q1, q3 = {}, {}, {}
     for c in nums:
         m, (a, b) = mq.get(c, (None, (None, None)))

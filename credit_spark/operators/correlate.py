@@ -138,9 +138,10 @@ def correlation_matrix(df: DataFrame, cols) -> DataFrame:
 
 
 def target_correlation(df: DataFrame, cols, target: str) -> DataFrame:
-    """(feature, r) of every column with the target, descending."""
-    c = correlations(df, [(f, target) for f in cols if f != target])
-    return c.select(F.col("a").alias("feature"), "r").orderBy(F.col("r").desc_nulls_last())
+    """(feature, r) of every column with the target, descending; the target's own row is 1."""
+    c = correlations(df, [(f, target) for f in cols if f != target]).select(F.col("a").alias("feature"), "r")
+    own = df.sparkSession.range(1).select(F.lit(target).alias("feature"), F.lit(1.0).alias("r"))
+    return c.unionByName(own).orderBy(F.col("r").desc_nulls_last())
 
 
 # ---------------------------------------------------------------------------

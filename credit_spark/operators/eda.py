@@ -33,16 +33,13 @@ def _ranges(df: DataFrame, cols, with_quartiles: bool = False) -> dict:
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}"),
                  F.stddev_samp(x).alias(f"sd{i}")]
-        if with_quartiles:
-            aggs.append(F.approx_count_distinct(x).alias(f"d{i}"))
     row = df.agg(*aggs).first()
     qs = {}
     if with_quartiles:
-        # The same aggregate sized the columns, so the quantiles take one
-        # more pass only.
+        # The same aggregate sized the columns for the quantiles.
         from .quantiles import quantiles
         sizes = {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
-                     "distinct": row[f"d{i}"], "rows": row["rows"]} for i, c in enumerate(cols)}
+                     "rows": row["rows"]} for i, c in enumerate(cols)}
         qs = quantiles(df, cols, [0.25, 0.75], sizes=sizes)
     out = {}
     for i, c in enumerate(cols):
@@ -183,8 +180,16 @@ def hash_key_sql(key: str = ID, seed: int = SEED) -> str:
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_SIZE, key: str = ID, seed: int = SEED) -> DataFrame:
     """min(n, rows) rows without replacement: the n smallest hash keys
-    (top-k per task, then a merge of k rows per task)."""
-    return df.orderBy(hash_key(key, seed), F.col(key)).limit(n)
+    (top-k per task, then a merge of k rows per task). A hash threshold that
+    about n rows pass goes first, so that the merge reads about n rows,
+    however many tasks there are; it is widened if fewer pass."""
+    h = hash_key(key, seed)
+    rows = df.count()
+    share = min(1.0, (n + 10 * math.sqrt(n)) / max(rows, 1))
+    while share < 1.0 and df.where(h < int(share * MIX_P)).count() < min(n, rows):
+        share = min(1.0, 2 * share)
+    near = df if share >= 1.0 else df.where(h < int(share * MIX_P))
+    return near.orderBy(h, F.col(key)).limit(n)
 
 
 def pair_data(df: DataFrame, cols, label: str, n: int = SAMPLE_SIZE) -> DataFrame:

@@ -44,7 +44,16 @@ class LabelCodes:
 
     def table(self, spark) -> DataFrame:
         rows = [(c, v, i) for c, vs in self.classes.items() for i, v in enumerate(vs)]
-        return spark.createDataFrame(rows, "column string, value string, code int")
+        out = spark.createDataFrame(rows, "column string, value string, code int")
+        for c, path in self.tables.items():
+            if c not in self.classes:
+                out = out.unionByName(spark.read.parquet(path).select(F.lit(c).alias("column"), "value", "code"))
+        return out
+
+    def renamed(self, col: str, name: str) -> "LabelCodes":
+        """The codes of one column under another name."""
+        return LabelCodes({name: self.classes[col]} if col in self.classes else {},
+                          {name: self.tables[col]} if col in self.tables else {})
 
 
 def fit_label_codes(df: DataFrame, cols, as_text: bool = True,

@@ -2,27 +2,20 @@
 stay distributed on any column.
 
 Spark's exact ``percentile`` keeps a value→count map per column and merges
-all maps in one task: fine when a column has a bounded number of distinct
-values, impossible when almost every value is distinct, and even bounded
-maps of many columns meet in that one task. So each column is first sized
-with HyperLogLog (``approx_count_distinct``):
-
-* at most ``MAP_LIMIT`` distinct values → ``order_statistics``: one pass of
-  (column, value) counts with partial aggregation, then a running count
-  over each column's sorted distinct values (one task per column), and
-  only the rows holding a wanted rank reach the driver; interpolated
-  exactly as ``percentile`` does;
-* more → histogram refinement: every round, one aggregate counts the rows
-  of each target's current bracket in ``BINS`` equal-width bins (and keeps
-  each bin's real min and max), then the bracket becomes the bin that holds
-  the target rank. Bins are monotone in the value, so the rows below the
-  new bracket are exactly the rows of the earlier bins: the result stays
-  exact. When a bracket holds at most ``COLLECT_LIMIT`` rows (or one
-  value), its distinct values with their counts are fetched and the rank is
-  read off. Each round shrinks a bracket by up to ``BINS``× in rows and in
-  width, so a few rounds suffice for any double data, and nothing larger
-  than ``BINS`` rows per target or ``COLLECT_LIMIT`` values ever reaches one
-  task or the driver.
+all maps in one task, which no column of mostly distinct values survives.
+Here every wanted rank has a bracket of values that holds it, at first the
+column's minimum and maximum. Each round is one aggregate: the rows inside a
+bracket are counted in ``BINS`` equal-width bins, with each bin's real
+minimum and maximum, and the bracket becomes the bin that holds the rank.
+Bins are monotone in the value, so the rows below the new bracket are
+exactly the rows of the earlier bins, and the result is exact. A round ends
+when every bracket holds one value. The smallest value of a bracket is in
+its first bin and the largest in its last one, so every round shrinks every
+bracket; there is no limit on rounds, on distinct values or on rows.
+
+A round shuffles at most (tasks × brackets × ``BINS``) small rows. The
+running count over a bracket's bins sees ``BINS`` rows, and one row for each
+bracket and rank reaches the driver.
 
 The interpolation is the one of Spark's ``percentile`` and DuckDB's
 ``quantile_cont``: position (n−1)·p between the floor and ceil ranks.
@@ -32,125 +25,78 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAP_LIMIT = 2_000_000
 BINS = 1024
-COLLECT_LIMIT = 200_000
-MAX_ROUNDS = 12
 
 
-def _refine(df: DataFrame, targets: dict, stats: dict) -> dict:
-    """targets: (col, rank) → None; returns (col, rank) → value."""
-    # bracket per target: [lo, hi] inclusive, rows below lo, rows inside
-    state = {t: {"lo": stats[t[0]]["min"], "hi": stats[t[0]]["max"], "below": 0,
-                 "inside": stats[t[0]]["n"]} for t in targets}
+def _bin(x, lo: float, hi: float):
+    """Bin number of ``x`` in [lo, hi]; hi is always in the last bin."""
+    half = 0.5 if math.isinf(hi - lo) else 1.0      # the difference must not overflow
+    step = (x * half - F.lit(lo * half)) / F.lit(hi * half - lo * half) * BINS
+    return F.when(x >= F.lit(hi), BINS - 1).otherwise(F.least(F.lit(BINS - 1), F.floor(step))).cast("int")
+
+
+def _refine(df: DataFrame, targets, sizes: dict) -> dict:
+    """(column, rank) targets → {(column, rank): value}."""
+    state = {t: (sizes[t[0]]["min"], sizes[t[0]]["max"], 0) for t in targets}     # lo, hi, rows below
     result = {}
-    for _ in range(MAX_ROUNDS):
-        open_t = []
+    while True:
+        for t, (lo, hi, _) in state.items():
+            if lo == hi:
+                result[t] = lo
+        # Targets with the same bracket share its histogram.
+        brackets: dict = {}
         for t, s in state.items():
-            if t in result:
-                continue
-            if s["lo"] == s["hi"]:
-                result[t] = s["lo"]
-            elif s["inside"] <= COLLECT_LIMIT:
-                open_t.append((t, "collect"))
-            else:
-                open_t.append((t, "bin"))
-        if not open_t:
-            break
-        # Targets in the same column and bracket share one histogram.
-        groups = {}
-        for t, mode in open_t:
-            s = state[t]
-            groups.setdefault((t[0], s["lo"], s["hi"], mode), []).append(t)
-        keys = list(groups)
-        items = []
-        for gi, (c, lo, hi, mode) in enumerate(keys):
+            if t not in result:
+                brackets.setdefault((t[0], *s), []).append(t)
+        if not brackets:
+            return result
+        items, wanted = [], []
+        for g, ((c, lo, hi, below), own) in enumerate(brackets.items()):
             x = F.col(c).cast("double")
-            inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-            if mode == "bin":
-                b = F.least(F.lit(BINS - 1), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * BINS))
-                key = b.cast("double")
-            else:
-                key = x
-            items.append(F.when(inside, F.struct(F.lit(gi).alias("g"), key.alias("k"), x.alias("x"))))
-        rows = (df.select(F.explode(F.array(*items)).alias("_e")).where(F.col("_e").isNotNull())
-                  .groupBy("_e.g", "_e.k")
-                  .agg(F.count(F.lit(1)).alias("n"), F.min("_e.x").alias("mn"), F.max("_e.x").alias("mx"))
-                  .collect())
-        per = {}
-        for r in rows:
-            per.setdefault(r["g"], []).append((r["k"], r["n"], r["mn"], r["mx"]))
-        for gi, key in enumerate(keys):
-            c, lo, hi, mode = key
-            cells = sorted(per.get(gi, []))
-            for t in groups[key]:
-                s = state[t]
-                want = t[1] - s["below"]  # rank inside the bracket, 0-based
-                acc = 0
-                for k, n, mn, mx in cells:
-                    if acc + n > want:
-                        if mode == "collect":
-                            result[t] = mn
-                        else:
-                            s.update(lo=mn, hi=mx, below=s["below"] + acc, inside=n)
-                        break
-                    acc += n
-    missing = [t for t in targets if t not in result]
-    if missing:
-        raise RuntimeError(f"quantile refinement did not converge for {missing}")
-    return result
+            items.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(
+                F.lit(g).alias("g"), _bin(x, lo, hi).alias("k"), x.alias("x"))))
+            wanted.append(F.array(*[F.lit(t[1] - below).cast("long") for t in own]))
+        cells = (df.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("_e"))
+                 .groupBy("_e.g", "_e.k")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("_e.x").alias("mn"), F.max("_e.x").alias("mx")))
+        upto = Window.partitionBy("g").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranks = F.get(F.array(*wanted), F.col("g"))
+        hits = (cells.withColumn("last", F.sum("n").over(upto))
+                .where(F.exists(ranks, lambda j: (j >= F.col("last") - F.col("n")) & (j < F.col("last")))).collect())
+        owners = list(brackets.items())
+        for r in hits:
+            (_, _, _, below), own = owners[r["g"]]
+            first = r["last"] - r["n"]
+            for t in own:
+                if first <= t[1] - below < r["last"]:
+                    state[t] = (r["mn"], r["mx"], below + first)
 
 
 def column_sizes(df: DataFrame, cols) -> dict:
-    """count, min, max and approximate distinct count of each column."""
+    """rows, count, min and max of each column."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.approx_count_distinct(x).alias(f"d{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     row = df.agg(*aggs).first()
     return {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
-                "distinct": row[f"d{i}"], "rows": row["rows"]} for i, c in enumerate(cols)}
+                "rows": row["rows"]} for i, c in enumerate(cols)}
 
 
-def quantiles(df: DataFrame, cols, probs, map_limit: int = MAP_LIMIT, sizes: dict | None = None
-              ) -> dict:
+def quantiles(df: DataFrame, cols, probs, sizes: dict | None = None) -> dict:
     """{column: [q(p) for p in probs]} (None for a column without values).
     ``sizes``: the ``column_sizes`` of these columns when already known."""
     cols, probs = list(cols), list(probs)
     if not cols:
         return {}
     stats = sizes if sizes is not None and all(c in sizes for c in cols) else column_sizes(df, cols)
-    out = {c: [None] * len(probs) for c in cols if not stats[c]["n"]}
-    small = [c for c in cols if stats[c]["n"] and stats[c]["distinct"] <= map_limit]
-    large = [c for c in cols if stats[c]["n"] and stats[c]["distinct"] > map_limit]
-    if small:
-        # Exact order statistics from distributed value counts (one task
-        # per column sorts its distinct values), interpolated as Spark's
-        # ``percentile`` does; ``percentile`` itself would merge every
-        # column's value map in a single task.
-        ranks = {c: {j for p in probs for j in _ranks_of(p, stats[c]["n"])} for c in small}
-        got = order_statistics(df, ranks, stats, map_limit)
-        for c in small:
-            out[c] = [interpolate_like_percentile(p, stats[c]["n"], lambda j, c=c: got[c][j])
-                      for p in probs]
-    if large:
-        targets = {}
-        for c in large:
-            n = stats[c]["n"]
-            for p in probs:
-                pos = (n - 1) * p
-                targets[(c, math.floor(pos))] = None
-                targets[(c, math.ceil(pos))] = None
-        vals = _refine(df, targets, stats)
-        for c in large:
-            n = stats[c]["n"]
-            out[c] = [interpolate_like_percentile(p, n, lambda k, c=c: vals[(c, k)])
-                      for p in probs]
-    return out
+    full = [c for c in cols if stats[c]["n"]]
+    got = order_statistics(df, {c: {j for p in probs for j in _ranks_of(p, stats[c]["n"])} for c in full}, stats)
+    return {c: [interpolate_like_percentile(p, stats[c]["n"], lambda j, c=c: got[c][j]) for p in probs]
+            if c in got else [None] * len(probs) for c in cols}
 
 
 # ---------------------------------------------------------------------------
@@ -171,83 +117,14 @@ def interpolate_like_percentile(p: float, n: int, value_at) -> float:
     return (hi - pos) * a + (pos - lo) * b
 
 
-def order_statistics(df: DataFrame, ranks: dict, sizes: dict, map_limit: int = MAP_LIMIT
-                     ) -> dict:
+def order_statistics(df: DataFrame, ranks: dict, sizes: dict) -> dict:
     """{column: {rank: value}}: exact 0-based order statistics of the
-    non-missing values (see ``order_statistics_and_modes``)."""
-    return order_statistics_and_modes(df, ranks, sizes, map_limit)[0]
-
-
-def order_statistics_and_modes(df: DataFrame, ranks: dict, sizes: dict,
-                               map_limit: int = MAP_LIMIT, mode_cols=()) -> tuple[dict, dict]:
-    """Exact 0-based order statistics of the non-missing values of numeric
-    columns, and the modes (most frequent value, ties → smallest) of
-    ``mode_cols``, from one pass.
-
-    Numeric columns with at most ``map_limit`` distinct values and the mode
-    columns share one (column, value) count with partial aggregation (a
-    hot value is one row per task). From it, a running count per numeric
-    column over its sorted distinct values (one task per column, at most
-    ``map_limit`` rows) keeps only the rows holding a wanted rank, and a
-    ``min_by`` over (−count, value) gives each mode; both read the same
-    shuffle (Spark reuses the exchange), and only those rows reach the
-    driver. Other numeric columns: histogram refinement (``_refine``).
-    Returns ({column: {rank: value}}, {column: mode})."""
-    from pyspark.sql import Window
-    ranks = {c: sorted(set(r)) for c, r in ranks.items() if r and sizes[c]["n"]}
-    mode_cols = list(mode_cols)
+    non-missing values of numeric columns."""
+    ranks = {c: set(r) for c, r in ranks.items() if r and sizes[c]["n"]}
     out = {c: {} for c in ranks}
-    modes = {c: None for c in mode_cols}
-    small = [c for c in ranks if sizes[c]["distinct"] <= map_limit]
-    large = [c for c in ranks if c not in small]
-    if small or mode_cols:
-        no_d, no_s = F.lit(None).cast("double"), F.lit(None).cast("string")
-        items = ([F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("d"),
-                           no_s.alias("s")) for c in small]
-                 + [F.struct(F.lit(c).alias("column"), no_d.alias("d"),
-                             F.col(c).cast("string").alias("s")) for c in mode_cols])
-        counts = (df.select(F.explode(F.array(*items)).alias("_e")).select("_e.*")
-                    .where(F.col("d").isNotNull() | F.col("s").isNotNull())
-                    .groupBy("column", "d", "s").agg(F.count(F.lit(1)).alias("n")))
-        parts = []
-        if small:
-            w = (Window.partitionBy("column").orderBy("d")
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            want = F.element_at(F.create_map(*[x for c in small for x in (
-                F.lit(c), F.array(*[F.lit(j) for j in ranks[c]]))]), F.col("column"))
-            # No filter on the count's grouping columns in either branch:
-            # Catalyst would push it below the shuffle, and the two
-            # branches would no longer share one exchange (and one scan).
-            # A window partition holds the rows of one column only.
-            parts.append(
-                counts.withColumn("cum", F.sum("n").over(w))
-                      .where(F.exists(want, lambda j: (j >= F.col("cum") - F.col("n"))
-                                      & (j < F.col("cum"))))
-                      .select("column", "d", "s", "n", "cum"))
-        if mode_cols:
-            parts.append(
-                counts.groupBy("column")
-                      .agg(F.min_by("s", F.when(F.col("s").isNotNull(), F.struct(
-                          (-F.col("n")).alias("neg"), F.col("s")))).alias("s"))
-                      .where(F.col("s").isNotNull())
-                      .select("column", no_d.alias("d"), "s", F.lit(None).cast("long").alias("n"),
-                              F.lit(None).cast("long").alias("cum")))
-        res = parts[0]
-        for p in parts[1:]:
-            res = res.unionByName(p)
-        for r in res.collect():
-            if r["d"] is None:
-                modes[r["column"]] = r["s"]
-                continue
-            first, last = r["cum"] - r["n"], r["cum"]
-            for j in ranks[r["column"]]:
-                if first <= j < last:
-                    out[r["column"]][j] = float(r["d"])
-    if large:
-        vals = _refine(df, {(c, j): None for c in large for j in ranks[c]}, sizes)
-        for (c, j), v in vals.items():
-            out[c][j] = float(v)
-    return out, modes
+    for (c, j), v in _refine(df, [(c, j) for c in ranks for j in sorted(ranks[c])], sizes).items():
+        out[c][j] = float(v)
+    return out
 
 
 def _ranks_of(p: float, n: int):
@@ -255,8 +132,7 @@ def _ranks_of(p: float, n: int):
     return [math.floor(pos), math.ceil(pos)]
 
 
-def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0.75),
-                                map_limit: int = MAP_LIMIT, mode_cols=None):
+def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0.75)) -> dict:
     """Median of each column and the quartiles the column will have after
     its missing values are filled with that median, from one pass.
 
@@ -264,9 +140,7 @@ def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0
     order they sit after every value below m, so the filled column's value
     at rank r is X(r) when X(r) < m, X(r−k) when X(r−k) > m, and m
     otherwise. Only ranks of X are needed, all known from n and k before
-    the pass. Returns {column: (median, [q(p) for p in probs])}; with
-    ``mode_cols`` also the modes of those columns from the same pass:
-    (that dict, {column: mode})."""
+    the pass. Returns {column: (median, [q(p) for p in probs])}."""
     cols = [c for c in cols if sizes[c]["n"]]
     want = {}
     for c in cols:
@@ -276,7 +150,7 @@ def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0
             for j in _ranks_of(p, n + k):
                 r.update(x for x in (j, j - k) if 0 <= x < n)
         want[c] = r
-    stats, modes = order_statistics_and_modes(df, want, sizes, map_limit, mode_cols or ())
+    stats = order_statistics(df, want, sizes)
     out = {}
     for c in cols:
         n, k = sizes[c]["n"], sizes[c]["rows"] - sizes[c]["n"]
@@ -290,4 +164,4 @@ def median_and_filled_quartiles(df: DataFrame, cols, sizes: dict, probs=(0.25, 0
                 return x[r - k]
             return m
         out[c] = (m, [interpolate_like_percentile(p, n + k, filled_at) for p in probs])
-    return out if mode_cols is None else (out, modes)
+    return out

@@ -98,6 +98,19 @@ def text_ctes():
             f"_text AS (SELECT {', '.join(sel)} FROM _dedup)\n")
 
 
+def typed_inputs():
+    """Raw inputs as entered, with numbers parsed."""
+    sel = []
+    for c in RAW_COLS:
+        e = na_to_null(c) if c in RAW_STRING else c
+        if c == "age":
+            e = extract_age(e)
+        elif c in NUMERIC:
+            e = numeric_text(e) if c in RAW_STRING else f"CAST({e} AS DOUBLE)"
+        sel.append(f"{e} AS {c}")
+    return ", ".join(sel)
+
+
 def mode_sql(col, src):
     return (f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} "
             f"ORDER BY count(*) DESC, {col} ASC LIMIT 1)")

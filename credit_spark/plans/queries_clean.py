@@ -10,7 +10,7 @@ from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import profile as P
 from ..operators import recommend as R
-from ..schema import (CATEGORICAL, DOMAINS, FEATURES, ID, INTEGER, NUMERIC, RANGES, RAW_COLUMNS,
+from ..schema import (CATEGORICAL, DOMAINS, FEATURES, ID, INTEGER, NUMERIC, RANGES, RAW_COLUMNS, RAW_SCHEMA,
                       SKEWED, TARGET_AMOUNT, TARGET_CLASS, TITLE_CASED, cleaned_schema)
 from ..session import scratch_path
 from ..sources import applicants as A
@@ -40,10 +40,25 @@ DOUBLES_CLEAN = set(NUMERIC) | {TARGET_AMOUNT}
 @register("scan_applicants", APP + f"SELECT {_cols(CLEAN_COLS, {'years_of_employment', 'monthly_rent', 'school_fees', 'college_fees', 'travel_expenses', 'groceries_utilities', 'other_monthly_expenses', 'current_emi_amount', 'credit_score', 'emergency_fund', 'requested_amount', TARGET_AMOUNT})} FROM applicants")
 def scan_applicants(spark, sf_dir):
     """Raw applicants written as CSV to the shared folder, then scanned
-    back with an explicit schema (dirty numbers stay STRING)."""
+    back by header name (numbers stay STRING, as written), and cast."""
     path = scratch_path(spark, "applicants-csv")
     A.write_csv(S.raw(spark, sf_dir), path)
-    return rounded(A.read_applicants_csv(spark, path))
+    back = A.read_applicants_csv(spark, path)
+    return rounded(back.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields]))
+
+
+@register("clean_csv_numbers", TEXT + f"SELECT {_cols(CLEAN_COLS, DOUBLES_CLEAN)} FROM (SELECT * REPLACE ("
+          "CASE applicant_id % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 720.0 WHEN 3 THEN 105.0 "
+          "ELSE NULL END AS credit_score) FROM _text)")
+def clean_csv_numbers(spark, sf_dir):
+    """Dirty numbers in a CSV column (``nan``, ``inf``, ``720.0.0``,
+    ``10.05``, ``NA``), read back by header name and repaired."""
+    dirty = F.element_at(F.array(*map(F.lit, ("nan", "inf", "720.0.0", "10.05", "NA"))),
+                         (F.col(ID) % 5 + 1).cast("int"))
+    path = scratch_path(spark, "dirty-csv")
+    raw = S.raw(spark, sf_dir).withColumn("credit_score", dirty)
+    A.write_csv(raw.select(*reversed(raw.columns)), path)
+    return rounded(C.clean_text(C.dedupe(A.read_applicants_csv(spark, path))).select(*RAW_COLUMNS))
 
 
 # ---------------------------------------------------------------------------
@@ -311,18 +326,28 @@ def _validate_sql():
             vals = ", ".join(O.q(v) for v in DOMAINS[c])
             checks.append(f"CASE WHEN {c} IS NULL OR {c} NOT IN ({vals}) THEN '{c}' END")
     arr = "list_filter([" + ", ".join(checks) + "], lambda x: x IS NOT NULL)"
-    return (FILLED + f"SELECT applicant_id, array_to_string({arr}, ',') AS violations, "
-            f"CAST(len({arr}) AS INTEGER) AS n_violations, len({arr}) = 0 AS valid FROM _filled")
+    return (TEXT.rstrip("\n") + f",\n_in AS (SELECT {O.typed_inputs()} FROM _dedup)\n"
+            f"SELECT applicant_id, array_to_string({arr}, ',') AS violations, "
+            f"CAST(len({arr}) AS INTEGER) AS n_violations, len({arr}) = 0 AS valid FROM _in")
 
 
 @register("validate_applicants", _validate_sql())
 def validate_applicants(spark, sf_dir):
+    """What was entered, checked before anything is filled or re-cased."""
     from ..operators.validate import validate
-    v = validate(S.filled(spark, sf_dir))
+    v = validate(C.typed_inputs(C.dedupe(S.raw(spark, sf_dir))))
     return v.select(ID, F.array_join("violations", ",").alias("violations"),
                     F.size("violations").alias("n_violations"), "valid")
 
 
+@register("valid_applicants", _validate_sql().replace("SELECT applicant_id, array", "SELECT applicant_id FROM (SELECT applicant_id, array")
+          + ") WHERE valid")
+def valid_applicants(spark, sf_dir):
+    """Ids of the applicants without a violation."""
+    from ..operators.validate import split_valid
+    return split_valid(C.typed_inputs(C.dedupe(S.raw(spark, sf_dir))))[0].select(ID)
+
+
 # ---------------------------------------------------------------------------
 # Flagship: risk summary
 # ---------------------------------------------------------------------------

@@ -258,7 +258,8 @@ def _target_corr_sql():
            f"_ce AS (SELECT cleaned.*, _kc.code AS {_CLS_NUM} FROM cleaned LEFT JOIN _kc "
            f"ON cleaned.{TARGET_CLASS} = _kc.v)\n")
     inner = _pairs_inner("_ce", [(c, _CLS_NUM) for c in _EDA_NUM])
-    return pre + f"SELECT a AS feature, round(r, 6) AS r FROM ({inner}) ORDER BY r DESC"
+    return (pre + f"SELECT a AS feature, round(r, 6) AS r FROM ({inner}) "
+            f"UNION ALL SELECT '{_CLS_NUM}', 1.0")
 
 
 @register("target_correlation", _target_corr_sql())
@@ -267,7 +268,7 @@ def target_correlation(spark, sf_dir):
     descending."""
     c = S.cleaned(spark, sf_dir)
     codes = E.fit_label_codes(c, [TARGET_CLASS], as_text=False)
-    num = E.LabelCodes({_CLS_NUM: codes.classes[TARGET_CLASS]})
+    num = codes.renamed(TARGET_CLASS, _CLS_NUM)
     ce = E.encode(c.withColumn(_CLS_NUM, F.col(TARGET_CLASS)), num, as_text=False)
     return rounded(K.target_correlation(ce, _EDA_NUM, _CLS_NUM))
 
@@ -414,11 +415,17 @@ def scatter_data(spark, sf_dir):
                                   TARGET_CLASS))
 
 
+# The rank-th least hash of each class; rows up to it are the test rows.
+_STRATA_SQL = (MODEL.rstrip("\n") + f""",
+_h AS (SELECT applicant_id, {TARGET_CLASS} AS class, {_H} AS h FROM model),
+_cut AS (SELECT class, list_sort(list(h))[CAST(floor(0.2 * count(*) + 0.5) AS BIGINT)] AS cut FROM _h GROUP BY class)
+SELECT applicant_id, class, CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS split
+FROM _h LEFT JOIN _cut ON _h.class IS NOT DISTINCT FROM _cut.class""".replace("SELECT applicant_id, class,", "SELECT applicant_id, _h.class AS class,"))
+
 _SPLIT_SQL = f"CASE WHEN ({_H}) % {SP.BUCKETS} < {int(round(0.2 * SP.BUCKETS))} THEN 'test' ELSE 'train' END"
 
 
-@register("stratified_split", MODEL + f"SELECT applicant_id, {TARGET_CLASS} AS class, "
-          f"{_SPLIT_SQL} AS split FROM model")
+@register("stratified_split", _STRATA_SQL)
 def stratified_split(spark, sf_dir):
     m, _ = _model_df(spark, sf_dir)
     return SP.stratified_split(m.select(ID, TARGET_CLASS), TARGET_CLASS).select(
@@ -427,8 +434,7 @@ def stratified_split(spark, sf_dir):
 
 @register("random_split", MODEL + f"SELECT applicant_id, {_SPLIT_SQL} AS split FROM model")
 def random_split(spark, sf_dir):
-    m, _ = _model_df(spark, sf_dir)
-    return SP.random_split(m.select(ID, TARGET_CLASS)).select(ID, "split")
+    return SP.random_split(_feat_df(spark, sf_dir).select(ID)).select(ID, "split")
 
 
 # ---------------------------------------------------------------------------

@@ -23,8 +23,8 @@ _FITS: dict = {}
 
 
 def _fit(spark, sf_dir) -> SC.FitResult:
-    """One fit per (session, data folder), reused by the model queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """One fit per session and state of the source files, reused by the model queries."""
+    key = S.source_key(spark, sf_dir)
     if key not in _FITS:
         _FITS[key] = SC.fit(S.raw(spark, sf_dir), TR.TrainSettings.quick())
     return _FITS[key]
@@ -72,8 +72,7 @@ def run_log(spark, sf_dir):
     fr = _fit(spark, sf_dir)
     runs = spark.read.parquet(TR.runs_path(spark))
     return runs.where(F.col("run_id") == fr.training.run_id).select(
-        "task", "model", "kind", "name",
-        F.when(F.col("kind") == "param", F.col("value")).otherwise(F.lit("<value>")).alias("value_or_kind"))
+        "task", "model", "kind", "name", "value")
 
 
 def _score_features_sql():

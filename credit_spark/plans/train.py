@@ -119,8 +119,20 @@ def predict_class(model, df: DataFrame, features: str = "features",
 
 
 def _assemble(df: DataFrame, cols, out="features") -> DataFrame:
-    va = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip")
-    return va.transform(df)
+    """Missing features count as 0, as in scoring; no row is left out."""
+    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(filled)
+
+
+def row_counts(df: DataFrame, cols) -> dict:
+    """Rows of each side of a split, and those with a missing feature; for the run log."""
+    gap = F.lit(False)
+    for c in cols:
+        gap = gap | F.col(c).isNull()
+    got = {r["split"]: r for r in df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(gap).alias("gaps")).collect()}
+    return {f"{side}_{k}": got[side][c] if side in got else 0 for side in ("train", "test")
+            for k, c in (("rows", "n"), ("rows_with_missing", "gaps"))}
 
 
 def runs_path(spark: SparkSession) -> str:
@@ -130,7 +142,8 @@ def runs_path(spark: SparkSession) -> str:
 def log_run(spark: SparkSession, run_id: str, task: str, model: str, params: dict,
             metrics: dict, train: DataFrame, cols) -> None:
     """Append one fit to the runs table: params, metrics, signature, example."""
-    sig = json.dumps({"inputs": [{"name": c, "type": "double"} for c in cols],
+    types = dict(train.dtypes)
+    sig = json.dumps({"inputs": [{"name": c, "type": types[c]} for c in cols],
                       "output": {"type": "long" if task == "classification" else "double"}})
     ex = train.select(*cols).limit(1).toJSON().collect()
     rows = [(run_id, task, model, "param", k, str(v)) for k, v in params.items()]
@@ -159,10 +172,11 @@ def train(model_table: DataFrame, clf_features, reg_features,
     metrics, models = [], {}
 
     # Classification: stratified hash split, one persisted training frame.
-    c = SP.stratified_split(model_table.select(ID, *clf_features, TARGET_CLASS), TARGET_CLASS)
-    c = _assemble(c, clf_features).withColumn("label", F.col(TARGET_CLASS).cast("double"))
+    csplit = SP.stratified_split(model_table.select(ID, *clf_features, TARGET_CLASS), TARGET_CLASS)
+    ccounts = row_counts(csplit, clf_features)
+    c = _assemble(csplit, clf_features).withColumn("label", F.col(TARGET_CLASS).cast("double"))
     ctrain = c.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
-    ctest = c.where(F.col("split") == "test")
+    ctest = c.where(F.col("split") == "test").persist(StorageLevel.MEMORY_AND_DISK)
     n_train = ctrain.count()
     best_c, best_f1, best_cn = None, float("-inf"), ""
     for name, est in classifiers(s, n_train).items():
@@ -172,16 +186,18 @@ def train(model_table: DataFrame, clf_features, reg_features,
         metrics += [("classification", name, k, float(v or 0.0)) for k, v in row.items()]
         models[("classification", name)] = m
         if log:
-            log_run(spark, run_id, "classification", name, _params(est), row, ctrain, clf_features)
+            log_run(spark, run_id, "classification", name, _params(est) | ccounts, row, csplit, clf_features)
         if (row["f1"] or 0.0) > best_f1:
             best_c, best_f1, best_cn = m, row["f1"] or 0.0, name
     ctrain.unpersist()
+    ctest.unpersist()
 
     # Regression: plain hash split.
-    r = SP.random_split(model_table.select(ID, *reg_features, TARGET_AMOUNT))
-    r = _assemble(r, reg_features).withColumn("label", F.col(TARGET_AMOUNT).cast("double"))
+    rsplit = SP.random_split(model_table.select(ID, *reg_features, TARGET_AMOUNT))
+    rcounts = row_counts(rsplit, reg_features)
+    r = _assemble(rsplit, reg_features).withColumn("label", F.col(TARGET_AMOUNT).cast("double"))
     rtrain = r.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
-    rtest = r.where(F.col("split") == "test")
+    rtest = r.where(F.col("split") == "test").persist(StorageLevel.MEMORY_AND_DISK)
     best_r, best_rmse, best_rn = None, float("inf"), ""
     for name, est in regressors(s).items():
         m = est.fit(rtrain)
@@ -191,10 +207,11 @@ def train(model_table: DataFrame, clf_features, reg_features,
                     for k, v in row.items()]
         models[("regression", name)] = m
         if log:
-            log_run(spark, run_id, "regression", name, _params(est), row, rtrain, reg_features)
+            log_run(spark, run_id, "regression", name, _params(est) | rcounts, row, rsplit, reg_features)
         if row["rmse"] is not None and row["rmse"] < best_rmse:
             best_r, best_rmse, best_rn = m, row["rmse"], name
     rtrain.unpersist()
+    rtest.unpersist()
     return TrainResult(list(clf_features), list(reg_features), best_c, best_cn, best_r, best_rn,
                        metrics, models, run_id)
 
@@ -255,6 +272,6 @@ def roc_auc_ovr(result: TrainResult, model_table: DataFrame, names=("logistic",
             d = p.select((F.col(TARGET_CLASS) == cls).cast("double").alias("label"),
                          F.col("_p")[cls].alias("score"))
             auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
-                                                metricName="areaUnderROC").evaluate(d)
+                                                metricName="areaUnderROC", numBins=0).evaluate(d)
             rows.append((name, cls, float(auc)))
     return spark.createDataFrame(rows, "model string, class int, auc double")

@@ -38,9 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a fresh folder is created here.
+    Only when it is unset in local mode (tests) a fresh folder is created
+    here; on a cluster, whose machines share no such folder, that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith(("local[", "local")) \
+            or not path and spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="credit-spark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -48,6 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def file_listing(spark: SparkSession, path: str) -> tuple:
+    """(name, length, modification time) of the files of a table, sorted; one listing on the driver."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, found = fs.listFiles(at, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW_COLUMNS, RAW_SCHEMA
-from ..session import sf_table
+from ..schema import ID, RAW_COLUMNS, RAW_SCHEMA, TARGET_AMOUNT
+from ..session import file_listing, sf_table
 
 # Level 1: the order columns used.
 BASE = (
@@ -110,14 +110,17 @@ def applicants_from_orders(orders: DataFrame) -> DataFrame:
     return raw.select([F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that arrives in fewer partitions than the
-    cluster has cores (e.g. one Parquet row group), so the CPU-heavy
-    projections and the partial aggregates before the first shuffle run
-    in parallel. A large input already has more splits than cores and is
-    left untouched (no extra shuffle)."""
+# Input that a round-robin may spread, in bytes on disk.
+SPREAD_BYTES = 1 << 30
+
+
+def spread(df: DataFrame, size: int) -> DataFrame:
+    """Round-robin a small source that arrives in fewer partitions than
+    cores (e.g. one Parquet row group). ``size``: its bytes on disk; more
+    than ``SPREAD_BYTES`` is never moved, and the scan's own splits
+    (``spark.sql.files.maxPartitionBytes``) set the parallelism."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
@@ -126,7 +129,8 @@ def load_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw applicants derived from ``{sf_dir}/orders.parquet``."""
     orders = spark.read.parquet(sf_table(sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_totalprice")
-    return applicants_from_orders(spread(orders))
+    size = sum(f[1] for f in file_listing(spark, sf_table(sf_dir, "orders")))
+    return applicants_from_orders(spread(orders, size))
 
 
 def applicants_sql(orders: str = "orders") -> str:
@@ -149,18 +153,22 @@ def applicants_sql(orders: str = "orders") -> str:
 # Files
 # ---------------------------------------------------------------------------
 
-def read_applicants_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA) -> DataFrame:
-    """CSV with a header, read against an explicit schema (no inference).
+def read_applicants_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header, bound by column name, in any order; no inference.
 
-    Dirty numeric columns are STRING in ``RAW_SCHEMA``; whitespace is kept
-    so that cleaning sees exactly what was written.
+    Every column stays STRING, as written, but the id (BIGINT) and the
+    amount target (DOUBLE): dirty numbers reach the cleaning rules.
+    Without an ``applicant_id`` column the id is a hash of the whole row,
+    so exact copies share it and are still found as duplicates. A column
+    that the file lacks isn't added; one that isn't known is left out.
     """
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(path))
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    ident = (F.col(ID).try_cast("bigint") if ID in raw.columns
+             else F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]))
+    target = {TARGET_AMOUNT: F.col(TARGET_AMOUNT).try_cast("double")} if TARGET_AMOUNT in raw.columns else {}
+    return raw.select(ident.alias(ID), *[target.get(c, F.col(c)).alias(c) for c in RAW_COLUMNS
+                                         if c != ID and c in raw.columns])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -72,6 +72,6 @@ def test_splits_disjoint_complete_repeatable(spark):
 def test_exact_stratified_counts(spark):
     df = spark.range(0, 1001).select(F.col("id").alias("applicant_id"),
                                      (F.col("id") % 3).cast("string").alias("y"))
-    s = SP.exact_stratified_split(df, "y")
+    s = SP.stratified_split(df, "y")
     per = {r.y: r["count"] for r in s.where("split = 'test'").groupBy("y").count().collect()}
     assert per == {"0": 67, "1": 67, "2": 67}
