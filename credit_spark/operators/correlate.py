@@ -1,24 +1,19 @@
 """Pearson correlations (pairwise-complete) and correlation-based feature
 selection.
 
-Two passes, both plain aggregates:
+Two passes:
 
-1. per column: count, mean, population variance, min, max;
-2. per pair: SUM of the product of the mean-centred values. When both
-   columns are complete that single SUM is enough (count and variances
-   come from pass 1); a pair with a column that has missing values also
-   gets the pair-complete count, sums and sums of squares.
-
-When every column is complete, pass 2 is instead one Spark ML
-``Correlation`` job over the centred columns (a p×p Gramian per task).
+1. per column: count, mean, population variance, min, max, one aggregate;
+2. one Spark ML ``Correlation`` job over the mean-centred columns: each task
+   sums a p×p Gramian, and only the p×p result reaches the driver. When a
+   column has missing values, the job runs over 3p columns instead (value or
+   0, square or 0, present or not), whose Gramian has the count, the sums and
+   the sums of squares over the rows that a pair has in common.
 
 Centring by the column mean is the two-pass covariance algorithm, so the
-sums do not cancel catastrophically. SUMs keep generated code small (the
-same statistics as ``corr`` aggregates would need 5 buffers each), and the
-result is bounded by the number of pairs, so r is formed on the driver.
-A constant column (min = max) gives NULL, as does a pair with no spread.
-Selection needs only the pairs with the targets plus the pairs among
-candidates, not the whole matrix.
+sums do not cancel catastrophically. A constant column (min = max) gives
+NULL, as does a pair with no spread. Selection needs only the pairs with the
+targets plus the pairs among candidates, not the whole matrix.
 """
 
 from __future__ import annotations
@@ -30,7 +25,9 @@ from pyspark.sql import functions as F
 
 from ..schema import MAX_PAIR_CORRELATION, MIN_TARGET_CORRELATION, TARGET_AMOUNT, TARGET_CLASS
 
-PAIRS_PER_JOB = 400
+# A column's spread over the rows it shares with another, in variances of
+# the whole column; below this it counts as none.
+NO_SPREAD = 1e-12
 
 
 def _column_moments(df: DataFrame, cols) -> dict:
@@ -64,59 +61,58 @@ def _gram_correlations(df: DataFrame, cols, mom) -> dict:
     return out
 
 
+def _masked_correlations(df: DataFrame, cols, mom) -> dict:
+    """Pearson matrix over the rows that each pair of columns has in common.
+
+    E[xy] of any two of the 3p columns is their correlation times both
+    deviations plus the product of their means.
+    """
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation, Summarizer
+    p, n = len(cols), mom[cols[0]]["n"]
+    ext = []
+    for i, c in enumerate(cols):
+        z = (F.col(c).cast("double") - F.lit(float(mom[c]["mean"]))) / F.lit(math.sqrt(mom[c]["var"]))
+        z = F.coalesce(z, F.lit(0.0))
+        ext.append((z.alias(f"_v{i}"), (z * z).alias(f"_q{i}"),
+                    F.col(c).isNotNull().cast("double").alias(f"_p{i}")))
+    flat = [e[k] for k in range(3) for e in ext]
+    wide = df.select(*flat)
+    vec = VectorAssembler(inputCols=wide.columns, outputCol="_v").transform(wide).select("_v")
+    got = vec.select(Summarizer.metrics("mean", "variance").summary(F.col("_v")).alias("m")).first().m
+    mean = got.mean.toArray()
+    sd = np.sqrt(np.maximum(got.variance.toArray() * (n - 1) / n, 0.0))
+    r = np.nan_to_num(Correlation.corr(vec, "_v", "pearson").first()[0].toArray())
+    both = r * np.outer(sd, sd) + np.outer(mean, mean)
+    v, q, here = slice(0, p), slice(p, 2 * p), slice(2 * p, 3 * p)
+    share = both[here, here]
+    out = {}
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mx = both[v, here] / share
+        var = both[q, here] / share - mx ** 2
+        cov = both[v, v] / share - mx * mx.T
+        res = cov / np.sqrt(var * var.T)
+    some = (np.rint(share * n) > 0) & (var > NO_SPREAD) & (var.T > NO_SPREAD)
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            out[(a, b)] = float(res[i, j]) if some[i, j] else None
+    return out
+
+
 def pair_values(df: DataFrame, pairs, mom: dict | None = None) -> dict:
     """{(a, b): r} for the pairs (eager: one moments job unless ``mom``
-    already holds them, then either one Gramian job when all columns are
-    complete, or SUM aggregates in chunks)."""
+    already holds them, then one Gramian job)."""
     pairs = list(dict.fromkeys(pairs))
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     if mom is None or not all(c in mom for c in cols):
         mom = _column_moments(df, cols)
-    usable = [c for c in cols if not mom[c]["flat"]]
-    if len(usable) > 1 and all(mom[c]["count"] == mom[c]["n"] for c in usable):
-        g = _gram_correlations(df, usable, mom)
-        return {(a, b): g.get((a, b)) for a, b in pairs}
-    cen = {c: F.col(c).cast("double") - F.lit(float(mom[c]["mean"] or 0.0)) for c in cols}
-    out = {}
-    for start in range(0, len(pairs), PAIRS_PER_JOB):
-        chunk = [(a, b) for a, b in pairs[start:start + PAIRS_PER_JOB]
-                 if not (mom[a]["flat"] or mom[b]["flat"])]
-        for a, b in pairs[start:start + PAIRS_PER_JOB]:
-            if mom[a]["flat"] or mom[b]["flat"]:
-                out[(a, b)] = None
-        if not chunk:
-            continue
-        aggs, full = [], {}
-        for i, (a, b) in enumerate(chunk):
-            x, y = cen[a], cen[b]
-            aggs.append(F.sum(x * y).alias(f"xy{i}"))
-            complete = mom[a]["count"] == mom[a]["n"] and mom[b]["count"] == mom[b]["n"]
-            full[i] = complete
-            if not complete:
-                both = F.col(a).isNotNull() & F.col(b).isNotNull()
-                aggs += [F.count_if(both).alias(f"n{i}"),
-                         F.sum(F.when(both, x)).alias(f"x{i}"), F.sum(F.when(both, y)).alias(f"y{i}"),
-                         F.sum(F.when(both, x * x)).alias(f"xx{i}"),
-                         F.sum(F.when(both, y * y)).alias(f"yy{i}")]
-        row = df.agg(*aggs).first()
-        for i, (a, b) in enumerate(chunk):
-            sxy = row[f"xy{i}"]
-            if full[i]:
-                n = mom[a]["n"]
-                if not n or sxy is None:
-                    out[(a, b)] = None
-                    continue
-                cov, vx, vy = sxy / n, mom[a]["var"], mom[b]["var"]
-            else:
-                n, sx, sy = row[f"n{i}"], row[f"x{i}"] or 0.0, row[f"y{i}"] or 0.0
-                if not n or sxy is None:
-                    out[(a, b)] = None
-                    continue
-                cov = sxy / n - (sx / n) * (sy / n)
-                vx = row[f"xx{i}"] / n - (sx / n) ** 2
-                vy = row[f"yy{i}"] / n - (sy / n) ** 2
-            out[(a, b)] = cov / math.sqrt(vx * vy) if vx > 0 and vy > 0 else None
-    return out
+    usable = [c for c in cols if not mom[c]["flat"] and mom[c]["var"]]
+    if len(usable) < 2:
+        return {pair: 1.0 if pair[0] == pair[1] and pair[0] in usable else None for pair in pairs}
+    complete = all(mom[c]["count"] == mom[c]["n"] for c in usable)
+    g = (_gram_correlations if complete else _masked_correlations)(df, usable, mom)
+    return {(a, b): g.get((a, b)) for a, b in pairs}
 
 
 def correlations(df: DataFrame, pairs) -> DataFrame:

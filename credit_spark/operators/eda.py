@@ -20,13 +20,6 @@ DENSITY_BINS = 512
 DENSITY_GRID = 200
 
 
-def _long(df: DataFrame, cols) -> DataFrame:
-    """(column, value) with NULL values dropped."""
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in cols])
-    return df.select(F.explode(arr).alias("_v")).select("_v.*").where(F.col("value").isNotNull())
-
-
 def _ranges(df: DataFrame, cols, with_quartiles: bool = False) -> dict:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
@@ -72,17 +65,36 @@ def auto_bins(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
     return max(1, int(math.ceil((last - first) / width))) if width else 1
 
 
-def _binned(df: DataFrame, cols, spec: dict) -> DataFrame:
-    """Grouped counts per (column, bin) for given (lo, hi, bins) per column."""
-    m_lo = F.create_map(*[F.lit(x) for c in cols for x in (c, float(spec[c][0]))])
-    m_hi = F.create_map(*[F.lit(x) for c in cols for x in (c, float(spec[c][1]))])
-    m_k = F.create_map(*[F.lit(x) for c in cols for x in (c, int(spec[c][2]))])
-    lv = _long(df, cols)
-    lo, hi, k = (F.element_at(m, F.col("column")) for m in (m_lo, m_hi, m_k))
-    b = F.least(k - 1, F.floor((F.col("value") - lo) / (hi - lo) * k)).cast("int")
-    g = lv.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    width = (hi - lo) / k
-    return g.select("column", k.alias("bins"), "bin",
+def _binned(df: DataFrame, cols, spec: dict, by=()) -> DataFrame:
+    """Grouped counts per (column, bin) for given (lo, hi, bins) per column,
+    and per value of the columns ``by``.
+
+    Each column's bin is an expression with its own literals; only (column
+    number, bin) is exploded and shuffled, and names and edges are attached
+    to the few counted rows.
+    """
+    cols, by = list(cols), list(by)
+    if not cols:
+        return df.where(F.lit(False)).select(
+            *by, F.lit("").alias("column"), F.lit(0).alias("bins"), F.lit(0).alias("bin"),
+            F.lit(0.0).alias("bin_lo"), F.lit(0.0).alias("bin_hi"), F.lit(0).cast("long").alias("count"))
+    cells = []
+    for i, c in enumerate(cols):
+        lo, hi, k = float(spec[c][0]), float(spec[c][1]), int(spec[c][2])
+        x = F.col(c).cast("double")
+        cells.append(F.struct(F.lit(i).alias("at"), F.least(
+            F.lit(k - 1), F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(k)).cast("int"))
+            .alias("bin"), x.isNotNull().alias("some")))
+    g = (df.select(*by, F.explode(F.array(*cells)).alias("_v")).where("_v.some")
+         .groupBy(*by, F.col("_v.at").alias("_at"), F.col("_v.bin").alias("bin"))
+         .agg(F.count(F.lit(1)).alias("count")))
+    edges = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(spec[c][0])).alias("lo"),
+                               F.lit(float(spec[c][1])).alias("hi"), F.lit(int(spec[c][2])).alias("k"))
+                      for c in cols])
+    g = g.withColumn("_e", F.element_at(edges, F.col("_at") + 1))
+    lo, k = F.col("_e.lo"), F.col("_e.k")
+    width = (F.col("_e.hi") - lo) / k
+    return g.select(*by, F.col("_e.column").alias("column"), k.alias("bins"), "bin",
                     (lo + F.col("bin") * width).alias("bin_lo"),
                     (lo + (F.col("bin") + 1) * width).alias("bin_hi"), "count")
 
@@ -111,36 +123,72 @@ def auto_histograms(df: DataFrame, cols) -> DataFrame:
     return _binned(df, list(spec), spec)
 
 
+def density_bins(lo: float, hi: float, h: float, least: int = DENSITY_BINS) -> int:
+    """Bins of a density: at least ``least``, and at least 8 to a bandwidth,
+    so that binning stays finer than the kernel as the bandwidth shrinks."""
+    return max(least, int(math.ceil(8 * (hi - lo) / h)))
+
+
 def density_curve(df: DataFrame, cols, grid: int = DENSITY_GRID,
-                  bins: int = DENSITY_BINS) -> DataFrame:
+                  bins: int = DENSITY_BINS, by: str | None = None) -> DataFrame:
     """Gaussian kernel density on a grid over [min, max], bandwidth
     std·n^(-1/5) (Scott), evaluated over binned counts: the rows are first
-    reduced to at most ``bins`` weighted centres per column, then each
+    reduced to weighted centres of ``density_bins`` per column, then each
     centre is spread over the grid by ``explode(sequence)``. Work is
-    bins × grid per column, independent of the row count.
-    Output (column, point, x, density)."""
+    bins × grid per column; the bins grow with n^(1/5).
+    Output (column, point, x, density).
+
+    ``by``: a label column; one curve per label and column, on the column's
+    common grid and bins, each with the label's own bandwidth, weighted by
+    the label's share of the rows (output has ``by`` too). Labels with one
+    value or no spread have no curve, and rows without a label none.
+    """
     cols = list(cols)
     r = _ranges(df, cols)
-    spec = {c: (*equal_width_edges(r[c]["lo"], r[c]["hi"]), bins)
-            for c in cols if r[c]["lo"] is not None and r[c]["n"] > 1 and r[c]["sd"]}
-    h = {c: r[c]["sd"] * r[c]["n"] ** (-1.0 / 5.0) for c in spec}
-    cnt = _binned(df, list(spec), spec)
-    m_h = F.create_map(*[F.lit(x) for c in spec for x in (c, float(h[c]))])
-    m_n = F.create_map(*[F.lit(x) for c in spec for x in (c, float(r[c]["n"]))])
-    m_lo = F.create_map(*[F.lit(x) for c in spec for x in (c, float(r[c]["lo"]))])
-    m_hi = F.create_map(*[F.lit(x) for c in spec for x in (c, float(r[c]["hi"]))])
-    hh = F.element_at(m_h, F.col("column"))
+    cols = [c for c in cols if r[c]["lo"] is not None and r[c]["n"] > 1 and r[c]["sd"]]
+    keys = [by] if by else []
+    src = df.where(F.col(by).isNotNull()) if by else df
+    # Size and spread of every curve: one row per label.
+    sizes = src.groupBy(*keys).agg(*[a for i, c in enumerate(cols) for a in (
+        F.count(F.col(c)).alias(f"n{i}"), F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"))]) \
+        if by and cols else None
+    spec, all_n = {}, {}
+    for c in cols:
+        lo, hi = equal_width_edges(r[c]["lo"], r[c]["hi"])
+        h = r[c]["sd"] * r[c]["n"] ** (-1.0 / 5.0)
+        spec[c], all_n[c] = (lo, hi, density_bins(lo, hi, h, bins)), (r[c]["n"], h)
+    cnt = _binned(src, cols, spec, keys)
+    if not cols:
+        return cnt.select(*keys, "column", F.lit(0).alias("point"), F.lit(0.0).alias("x"),
+                          F.lit(0.0).alias("density"))
+    if by:
+        per = sizes.select(by, F.explode(F.array(*[F.struct(
+            F.lit(c).alias("column"), F.col(f"n{i}").cast("double").alias("n"),
+            (F.col(f"s{i}") * F.pow(F.col(f"n{i}").cast("double"), F.lit(-0.2))).alias("h"))
+            for i, c in enumerate(cols)])).alias("_s")).select(by, "_s.*") \
+            .where((F.col("n") > 1) & (F.col("h") > 0))
+        cnt = cnt.join(per, [by, "column"])
+        total = F.create_map(*[F.lit(x) for c in cols for x in (c, float(all_n[c][0]))])
+        n = F.element_at(total, F.col("column"))
+        hh = F.col("h")
+    else:
+        m_h = F.create_map(*[F.lit(x) for c in cols for x in (c, float(all_n[c][1]))])
+        m_n = F.create_map(*[F.lit(x) for c in cols for x in (c, float(all_n[c][0]))])
+        hh, n = F.element_at(m_h, F.col("column")), F.element_at(m_n, F.col("column"))
+    m_lo = F.create_map(*[F.lit(x) for c in cols for x in (c, float(r[c]["lo"]))])
+    m_hi = F.create_map(*[F.lit(x) for c in cols for x in (c, float(r[c]["hi"]))])
     lo, hi = F.element_at(m_lo, F.col("column")), F.element_at(m_hi, F.col("column"))
     centre = (F.col("bin_lo") + F.col("bin_hi")) / 2
-    pts = cnt.select("column", "count", centre.alias("c"),
+    # The lookups are made per counted bin, before the grid multiplies the rows.
+    pts = cnt.select(*keys, "column", "count", centre.alias("c"), hh.alias("h"), n.alias("n"),
+                     lo.alias("lo"), hi.alias("hi"),
                      F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-    x = lo + F.col("point") * (hi - lo) / F.lit(grid - 1)
-    z = (x - F.col("c")) / hh
-    contrib = F.col("count") * F.exp(-0.5 * z * z)
-    norm = F.element_at(m_n, F.col("column")) * hh * F.lit(math.sqrt(2 * math.pi))
-    return (pts.groupBy("column", "point")
-               .agg(F.sum(contrib / norm).alias("density"))
-               .select("column", "point", x.alias("x"), "density"))
+    x = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(grid - 1)
+    z = (x - F.col("c")) / F.col("h")
+    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
+    return (pts.groupBy(*keys, "column", "point", x.alias("x"))
+               .agg(F.sum(F.col("count") * F.exp(-0.5 * z * z) / norm).alias("density"))
+               .select(*keys, "column", "point", "x", "density"))
 
 
 # ---------------------------------------------------------------------------

@@ -4,8 +4,10 @@ Codes are the rank of a value among the column's distinct values in
 ascending (binary) order. The distinct sets of categorical columns are
 small; their size is checked, and when it is within ``MAX_LITERAL_CODES``
 the codes become a literal map inside the projection (no join, no
-shuffle). Beyond it, the codes are built as a DataFrame by a distributed
-sort and joined on the value.
+shuffle). Beyond it, where searching a literal for every row would cost more
+than a join, the codes are a table built by a distributed sort and joined on
+the value; the size of the written table decides how Spark joins it. Both
+give the same codes.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..schema import CATEGORICAL, SCALED, TARGET_AMOUNT, TARGET_CLASS
 
-MAX_LITERAL_CODES = 10_000
+MAX_LITERAL_CODES = 256
 MISSING_TEXT = "nan"
 
 

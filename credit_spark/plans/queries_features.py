@@ -252,6 +252,12 @@ _EDA_NUM = [c for c in RAW_COLUMNS if c in NUMERIC] + [TARGET_AMOUNT]
 _CLS_NUM = "emi_eligibility_num"
 
 
+@register("cleaned_correlation", _pairs_sql(CLEANED, "cleaned", K.upper_pairs(_EDA_NUM)))
+def cleaned_correlation(spark, sf_dir):
+    """Pearson r of every pair of numeric columns of the cleaned table."""
+    return rounded(K.correlation_matrix(S.cleaned(spark, sf_dir), _EDA_NUM))
+
+
 def _target_corr_sql():
     pre = (CLEANED.rstrip("\n") + ",\n_kc AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS "
            f"INTEGER) AS code FROM (SELECT DISTINCT {TARGET_CLASS} AS v FROM cleaned)),\n"
@@ -296,7 +302,31 @@ def select_by_correlation(spark, sf_dir):
     return rounded(out)
 
 
-@register("prune_correlated")
+def _prune_sql():
+    """The greedy prune as a recursive query: one step per candidate, with the list kept so far."""
+    pos = "CASE a " + " ".join(f"WHEN '{c}' THEN {i + 1}" for i, c in enumerate(MODEL_COLS)) + " END"
+    pairs = K.upper_pairs(MODEL_COLS)
+    return (MODEL.rstrip("\n").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+_r AS ({_pairs_inner('model', pairs)}),
+_rr AS (SELECT a, b, r FROM _r UNION ALL SELECT b, a, r FROM _r),
+_cand AS (SELECT 'classification' AS task, a AS feature, {pos} AS seat FROM _rr
+    WHERE b = '{TARGET_CLASS}' AND abs(r) > 0.05
+  UNION ALL SELECT 'regression', a, {pos} FROM _rr
+    WHERE b = '{TARGET_AMOUNT}' AND a <> '{TARGET_CLASS}' AND abs(r) > 0.05
+  UNION ALL SELECT 'regression', '{TARGET_CLASS}', coalesce((SELECT {pos} FROM _rr
+    WHERE b = '{TARGET_AMOUNT}' AND a = '{TARGET_CLASS}' AND abs(r) > 0.05), 1000)),
+_step AS (SELECT task, feature, row_number() OVER (PARTITION BY task ORDER BY seat) AS k FROM _cand),
+_bad AS (SELECT a, list(b) AS bad FROM _rr WHERE r IS NULL OR abs(r) >= 0.85 GROUP BY a),
+_todo AS (SELECT task, feature, k, coalesce(bad, CAST([] AS VARCHAR[])) AS bad FROM _step LEFT JOIN _bad ON feature = a),
+_walk AS (SELECT task, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS kept FROM (SELECT DISTINCT task FROM _todo)
+  UNION ALL SELECT w.task, t.k, CASE WHEN list_has_any(w.kept, t.bad) THEN w.kept ELSE list_append(w.kept, t.feature) END
+  FROM _walk w JOIN _todo t ON t.task = w.task AND t.k = w.k + 1),
+_end AS (SELECT task, kept FROM _walk w WHERE k = (SELECT max(k) FROM _todo t WHERE t.task = w.task))
+SELECT task, CAST(i AS INTEGER) AS position, kept[i] AS feature
+FROM (SELECT task, kept, unnest(range(1, len(kept) + 1)) AS i FROM _end)""")
+
+
+@register("prune_correlated", _prune_sql())
 def prune_correlated(spark, sf_dir):
     """Selected features per task after the greedy 0.85 prune (the class
     code is appended to the regression list before pruning)."""
@@ -353,26 +383,28 @@ def ratio_histograms(spark, sf_dir):
                    .withColumn("bins", F.col("bins").cast("int")))
 
 
-def _density_sql():
-    cols = RATIO_FEATURES
+def _density_sql(prefix=FEAT, src="feat", cols=tuple(RATIO_FEATURES), by=None):
+    """Binned Gaussian densities; ``by``: one curve per label on the column's grid."""
     nb, grid = D.DENSITY_BINS, D.DENSITY_GRID
-    rng = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}, count({c}) AS n_{c}, "
-                    f"stddev_samp({c}) AS sd_{c}" for c in cols)
-    lv = " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", {c} AS value, CASE WHEN lo_{c} = hi_{c} THEN lo_{c} - 0.5 ELSE lo_{c} END AS lo, "
-        f"CASE WHEN lo_{c} = hi_{c} THEN hi_{c} + 0.5 ELSE hi_{c} END AS hi, lo_{c} AS lo0, hi_{c} AS hi0, "
-        f"CAST(n_{c} AS DOUBLE) AS n, sd_{c} * pow(n_{c}, -1.0 / 5.0) AS h "
-        f"FROM feat, _rng WHERE {c} IS NOT NULL AND n_{c} > 1 AND sd_{c} > 0" for c in cols)
-    return (FEAT.rstrip("\n") + f",\n_rng AS (SELECT {rng} FROM feat),\n_lv AS ({lv}),\n"
-            f"_hb AS (SELECT \"column\", lo, hi, lo0, hi0, n, h, CAST(least({nb} - 1, floor((value - lo) / (hi - lo) * {nb})) "
-            f"AS INTEGER) AS bin FROM _lv),\n"
-            f"_hc AS (SELECT \"column\", lo0, hi0, n, h, (lo + bin * ((hi - lo) / {nb}) + lo + (bin + 1) * ((hi - lo) / {nb})) / 2 AS c, "
-            f"count(*) AS cnt FROM _hb GROUP BY \"column\", lo, hi, lo0, hi0, n, h, bin),\n"
-            f"_hg AS (SELECT range AS point FROM range({grid}))\n"
-            f"SELECT \"column\", CAST(point AS INTEGER) AS point, round(lo0 + point * (hi0 - lo0) / {grid - 1}, 6) AS x, "
-            f"round(sum(cnt * exp(-0.5 * ((lo0 + point * (hi0 - lo0) / {grid - 1} - c) / h) * "
-            f"((lo0 + point * (hi0 - lo0) / {grid - 1} - c) / h)) / (n * h * sqrt(2 * pi()))), 6) AS density "
-            f"FROM _hc, _hg GROUP BY \"column\", point, lo0, hi0")
+    lab = "label" if by else "'' AS label"
+    lv0 = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, "
+                             f"{by or chr(39) * 2} AS label FROM {src} WHERE {c} IS NOT NULL" for c in cols)
+    out = f"label AS {by}, " if by else ""
+    return (prefix.rstrip("\n") + f""",
+_v AS ({lv0}),
+_rg AS (SELECT "column", min(value) AS lo0, max(value) AS hi0, count(*) AS n, stddev_samp(value) AS sd FROM _v GROUP BY "column"),
+_rs AS (SELECT *, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi,
+  greatest({nb}, CAST(ceil(8 * (hi0 - lo0) / (sd * pow(n, -0.2))) AS BIGINT)) AS nb FROM _rg WHERE n > 1 AND sd > 0),
+_pl AS (SELECT "column", label, stddev_samp(value) * pow(count(*), -0.2) AS h FROM _v WHERE label IS NOT NULL
+  GROUP BY "column", label HAVING count(*) > 1),
+_hb AS (SELECT "column", label, lo, hi, nb, lo0, hi0, n, CAST(least(nb - 1, floor((value - lo) / (hi - lo) * nb)) AS BIGINT) AS bin
+  FROM _v JOIN _rs USING ("column") WHERE label IS NOT NULL),
+_hc AS (SELECT "column", label, lo0, hi0, n, (lo + bin * ((hi - lo) / nb) + lo + (bin + 1) * ((hi - lo) / nb)) / 2 AS c,
+  count(*) AS cnt FROM _hb GROUP BY "column", label, lo, hi, nb, lo0, hi0, n, bin),
+_hg AS (SELECT range AS point FROM range({grid}))
+SELECT {out}"column", CAST(point AS INTEGER) AS point, round(lo0 + point * (hi0 - lo0) / {grid - 1}, 6) AS x,
+  round(sum(cnt * exp(-0.5 * pow((lo0 + point * (hi0 - lo0) / {grid - 1} - c) / h, 2)) / (n * h * sqrt(2 * pi()))), 6) AS density
+FROM _hc JOIN _pl USING ("column", label), _hg WHERE h > 0 GROUP BY "column", label, point, lo0, hi0""")
 
 
 @register("density_curve", _density_sql())
@@ -381,6 +413,18 @@ def density_curve(spark, sf_dir):
     return rounded(D.density_curve(_feat_df(spark, sf_dir), RATIO_FEATURES))
 
 
+@register("density_numeric", _density_sql(CLEANED, "cleaned", tuple(_EDA_NUM)))
+def density_numeric(spark, sf_dir):
+    """The densities of all numeric columns of the cleaned table."""
+    return rounded(D.density_curve(S.cleaned(spark, sf_dir), _EDA_NUM))
+
+
+@register("density_by_class", _density_sql(by=TARGET_CLASS, cols=tuple(PAIR_FEATURES)))
+def density_by_class(spark, sf_dir):
+    """Densities of the pair-plot features for each eligibility class, over all rows."""
+    return rounded(D.density_curve(_feat_df(spark, sf_dir), PAIR_FEATURES, by=TARGET_CLASS))
+
+
 _H = D.hash_key_sql("applicant_id")
 _FEAT_OUT = list(RAW_COLUMNS) + list(DERIVED)
 _FEAT_DOUBLES = set(NUMERIC) | {TARGET_AMOUNT} | set(DERIVED)

@@ -16,7 +16,8 @@ from . import score as SC
 from . import stages as S
 from . import train as TR
 from .catalog import register, rounded
-from .queries_features import MODEL, RULE_AMOUNT_SQL, RULE_CLASS_SQL, rule_predictions
+from .queries_features import (MODEL, RULE_AMOUNT_SQL, RULE_CLASS_SQL, rule_predictions,
+                               _SPLIT_SQL as RANDOM_SIDE, _STRATA_SQL as STRATA)
 
 FILLED = O.filled_prefix()
 _FITS: dict = {}
@@ -26,7 +27,7 @@ def _fit(spark, sf_dir) -> SC.FitResult:
     """One fit per session and state of the source files, reused by the model queries."""
     key = S.source_key(spark, sf_dir)
     if key not in _FITS:
-        _FITS[key] = SC.fit(S.raw(spark, sf_dir), TR.TrainSettings.quick())
+        _FITS[key] = SC.fit(S.raw(spark, sf_dir), TR.TrainSettings())
     return _FITS[key]
 
 
@@ -62,8 +63,7 @@ def feature_importance(spark, sf_dir):
 @register("roc_auc_ovr")
 def roc_auc_ovr(spark, sf_dir):
     fr = _fit(spark, sf_dir)
-    table, _, _ = SC.prepare(S.raw(spark, sf_dir))
-    return rounded(TR.roc_auc_ovr(fr.training, table))
+    return rounded(TR.roc_auc_ovr(fr.training, fr.table))
 
 
 @register("run_log")
@@ -75,6 +75,25 @@ def run_log(spark, sf_dir):
         "task", "model", "kind", "name", "value")
 
 
+def _run_log_sizes_sql():
+    """Sizes of both splits by their rules, for the three models of each task."""
+    models = (("classification", ("logistic", "random_forest", "boosted_trees")),
+              ("regression", ("linear", "random_forest", "boosted_trees")))
+    names = ", ".join(f"('{t}', '{m}')" for t, ms in models for m in ms)
+    return (STRATA.split("SELECT applicant_id, _h.class")[0].rstrip("\n") + f""",
+_sides AS (SELECT 'classification' AS task, CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS side
+    FROM _h LEFT JOIN _cut ON _h.class IS NOT DISTINCT FROM _cut.class
+  UNION ALL SELECT 'regression', {RANDOM_SIDE} FROM model)
+SELECT m.task, m.model, side || '_rows' AS name, CAST(count(*) AS VARCHAR) AS value
+FROM _sides JOIN (VALUES {names}) AS m(task, model) USING (task) GROUP BY m.task, m.model, side""")
+
+
+@register("run_log_sizes", _run_log_sizes_sql())
+def run_log_sizes(spark, sf_dir):
+    """The logged sizes of the training and hold-out sides of every model."""
+    return run_log(spark, sf_dir).where(F.col("name").isin("train_rows", "test_rows")).drop("kind")
+
+
 def _score_features_sql():
     sel, joins = [], []
     for c in [ID] + list(FEATURES) + list(DERIVED):
@@ -162,6 +181,13 @@ def recommendations(spark, sf_dir):
     return R.recommendations(_rule_pred(spark, sf_dir), label="eligibility")
 
 
+@register("score_advice")
+def score_advice(spark, sf_dir):
+    """Advice lines for the class that the best classifier predicts."""
+    fr = _fit(spark, sf_dir)
+    return R.recommendations(fr.model.transform(_score_input(spark, sf_dir)), label="eligibility")
+
+
 def _badge_sql(e):
     whens = " ".join(f"WHEN {O.q(k)} THEN {O.q(v)}" for k, v in BADGES.items())
     return f"(CASE {e} {whens} ELSE {e} END)"

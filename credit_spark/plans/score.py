@@ -13,7 +13,7 @@ and two Spark ML models: nothing is joined or shuffled at scoring time.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +40,7 @@ class ScoringModel:
     classifier: object
     regressor: object
     normalize_inputs: bool = False
+    metrics: list = field(default_factory=list)  # (task, model, metric, value) of all models compared
 
     # -- pieces -------------------------------------------------------------
     def features(self, df: DataFrame) -> DataFrame:
@@ -65,11 +66,8 @@ class ScoringModel:
         f = self.features(df.select(*keep))
         v = self._vector(f, self.clf_features, "features")
         p = TR.predict_class(self.classifier, v, out="_cls_code").drop("features")
-        tc = self.featurizer.target_codes
-        label = F.coalesce(F.element_at(tc.value_map(TARGET_CLASS), F.col("_cls_code").cast("int")),
-                           F.col("_cls_code").cast("string"))
-        p = p.withColumn("eligibility", label)
         p = p.withColumn(TARGET_CLASS, F.col("_cls_code"))
+        p = E.decode(p, self.featurizer.target_codes, TARGET_CLASS, "eligibility")
         r = self._vector(p, self.reg_features, "features")
         r = self.regressor.transform(r).withColumnRenamed("prediction", "_amt_scaled")
         ts = self.featurizer.target_scaler
@@ -84,6 +82,7 @@ class ScoringModel:
             "codes": self.featurizer.codes.classes,
             "code_tables": sorted(self.featurizer.codes.tables),
             "target_codes": self.featurizer.target_codes.classes,
+            "target_code_tables": sorted(self.featurizer.target_codes.tables), "metrics": self.metrics,
             "scaler": [self.featurizer.scaler.mean, self.featurizer.scaler.std],
             "target_scaler": [self.featurizer.target_scaler.mean, self.featurizer.target_scaler.std],
             "clf_features": self.clf_features, "reg_features": self.reg_features,
@@ -92,7 +91,7 @@ class ScoringModel:
         }
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/meta")
-        for c, src in self.featurizer.codes.tables.items():
+        for c, src in (self.featurizer.codes.tables | self.featurizer.target_codes.tables).items():
             spark.read.parquet(src).write.mode("overwrite").parquet(f"{path}/codes/{c}")
         self.classifier.write().overwrite().save(f"{path}/classifier")
         self.regressor.write().overwrite().save(f"{path}/regressor")
@@ -102,14 +101,14 @@ class ScoringModel:
         from pyspark.ml import classification as MC
         from pyspark.ml import regression as MR
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        fz = E.Featurizer(E.LabelCodes(meta["codes"], {c: f"{path}/codes/{c}"
-                                                       for c in meta.get("code_tables", [])}),
-                          E.LabelCodes(meta["target_codes"]),
+        def codes(classes, tables):
+            return E.LabelCodes(meta[classes], {c: f"{path}/codes/{c}" for c in meta.get(tables, [])})
+        fz = E.Featurizer(codes("codes", "code_tables"), codes("target_codes", "target_code_tables"),
                           E.ScalerStats(*meta["scaler"]), E.ScalerStats(*meta["target_scaler"]))
         clf = getattr(MC, meta["classifier"]).load(f"{path}/classifier")
         reg = getattr(MR, meta["regressor"]).load(f"{path}/regressor")
         return ScoringModel(fz, meta["clf_features"], meta["reg_features"], clf, reg,
-                            meta["normalize_inputs"])
+                            meta["normalize_inputs"], [tuple(m) for m in meta.get("metrics", [])])
 
 
 @dataclass
@@ -118,6 +117,7 @@ class FitResult:
     training: TR.TrainResult
     selection: dict
     cleaning: C.CleaningStats
+    table: DataFrame  # the written model table
 
 
 def prepare(raw: DataFrame):
@@ -141,8 +141,8 @@ def fit(raw: DataFrame, settings: TR.TrainSettings | None = None, exclude=(),
     sel = K.select_features(table, MODEL_COLS, exclude=exclude)
     res = TR.train(table, sel["classification"], sel["regression"], settings, log)
     model = ScoringModel(fz, res.clf_features, res.reg_features, res.best_classifier,
-                         res.best_regressor, normalize_inputs)
-    return FitResult(model, res, sel, cstats)
+                         res.best_regressor, normalize_inputs, res.metrics)
+    return FitResult(model, res, sel, cstats, table)
 
 
 def score_input(cleaned_filled: DataFrame) -> DataFrame:

@@ -31,6 +31,51 @@ def test_density_integrates_to_one(spark):
     assert 0.9 < area < 1.01
 
 
+def test_density_by_label_shares_the_area(spark):
+    rng = np.random.default_rng(2)
+    rows = [(float(v), "a") for v in rng.normal(size=2000)] + [(float(v), "b") for v in rng.normal(3, 1, 1000)]
+    df = spark.createDataFrame(rows + [(1.0, None), (9.0, "one")], "x double, y string")
+    got = {}
+    for r in D.density_curve(df, ["x"], by="y").collect():
+        got.setdefault(r.y, []).append((r.x, r.density))
+    assert set(got) == {"a", "b"}
+    area = {k: np.trapezoid(*np.array(sorted(v)).T[::-1]) for k, v in got.items()}
+    assert abs(area["a"] - 2000 / 3002) < 0.02 and abs(area["b"] - 1000 / 3002) < 0.02
+
+
+def test_density_bins_grow_as_the_kernel_narrows():
+    assert D.density_bins(0.0, 1.0, 1.0) == D.DENSITY_BINS
+    assert D.density_bins(0.0, 1.0, 0.001) == 8000
+
+
+def test_tables_of_no_values(spark):
+    df = spark.createDataFrame([(None, "a")], "x double, y string")
+    assert D.histograms(df, ["x"]).count() == 0
+    assert D.density_curve(df, ["x"]).count() == 0
+    assert D.density_curve(df, ["x"], by="y").columns == ["y", "column", "point", "x", "density"]
+
+
+def test_correlation_over_common_rows_matches_pandas(spark):
+    import pandas as pd
+    from credit_spark.operators import correlate as K
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 10, (400, 4))
+    x[:, 1] += x[:, 0] * 0.7
+    pdf = pd.DataFrame(x, columns=list("abcd"))
+    pdf.loc[rng.random(400) < 0.3, "b"] = None
+    pdf.loc[rng.random(400) < 0.2, "c"] = None
+    pdf["flat"] = 2.0
+    # Constant over the rows it shares with b, but not elsewhere.
+    pdf["half"] = np.where(pdf.b.isna(), rng.normal(size=400), 5.0)
+    df = spark.createDataFrame(pdf).select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in pdf.columns])
+    want = pdf.corr()
+    for r in K.correlation_matrix(df, list(pdf.columns)).collect():
+        if "flat" in (r.a, r.b) or {r.a, r.b} == {"b", "half"}:
+            assert r.r is None
+        else:
+            assert abs(r.r - want.loc[r.a, r.b]) < 1e-9
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(0, 3000).withColumnRenamed("id", "applicant_id")
     a = D.sample_rows(df, 100).collect()

@@ -23,7 +23,7 @@ def test_unseen_gets_code_zero(spark):
 
 def test_code_table_matches_literal_codes(spark):
     df = spark.range(0, 500).select(F.format_string("v%04d", (F.col("id") * 37) % 500).alias("s"))
-    codes = E.fit_label_codes(df, ["s"])
+    codes = E.fit_label_codes(df, ["s"], max_codes=1000)
     table = {r.value: r.code for r in E.code_table(df.repartition(7), "s").collect()}
     assert table == {v: i for i, v in enumerate(codes.classes["s"])}
     joined = E.encode_by_join(df, "s", E.code_table(df, "s")).agg(F.max("s")).first()[0]
@@ -37,7 +37,7 @@ def test_large_distinct_set_falls_back_to_code_table(spark):
     df = spark.range(0, 300).select(
         F.format_string("v%04d", (F.col("id") * 37) % 300).alias("s"),
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("t"))
-    lit = E.fit_label_codes(df, ["s", "t"])
+    lit = E.fit_label_codes(df, ["s", "t"], max_codes=1000)
     big = E.fit_label_codes(df, ["s", "t"], max_codes=50)
     assert list(big.tables) == ["s"] and big.classes == {"t": ["a", "b"]}
     new = df.union(spark.createDataFrame([("zzz", "c")], "s string, t string"))
@@ -47,6 +47,17 @@ def test_large_distinct_set_falls_back_to_code_table(spark):
     back = E.decode(E.encode(df.withColumn("orig", F.col("s")), big), big, "s")
     assert back.where("s <> orig").count() == 0
 
+
+def test_two_columns_of_many_codes_are_both_returned(spark):
+    df = spark.range(0, 10_500).select(F.format_string("u%06d", "id").alias("s"),
+                                       F.format_string("v%06d", 10_499 - F.col("id")).alias("t"))
+    codes = E.fit_label_codes(df, ["s", "t"])
+    got = {r.column: (r.n, r.top) for r in codes.table(spark).groupBy("column").agg(
+        F.count("*").alias("n"), F.max("code").alias("top")).collect()}
+    assert got == {"s": (10_500, 10_499), "t": (10_500, 10_499)}
+    assert E.encode(df, codes).where(F.col("s") + F.col("t") != 10_499).count() == 0
+
+
 def test_scale_invert(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (10.0,), (None,)], "x double")
     st = E.fit_scaler(df, ["x"])
