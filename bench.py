@@ -26,7 +26,6 @@ FULL = os.environ.get("BENCH_MODELS") == "full"
 def main():
     from credit_spark.plans import pipeline as PL
     from credit_spark.plans import train as TR
-    SETTINGS = TR.TrainSettings() if FULL else TR.TrainSettings.quick()
     from credit_spark.plans.registry import QUERIES
     from credit_spark.session import local_session
     from credit_spark.streaming.score_stream import start_scoring
@@ -34,6 +33,8 @@ def main():
     from credit_spark.plans import score as SC
     from credit_spark.plans import stages as S
 
+    settings = TR.TrainSettings() if FULL else TR.TrainSettings.quick()
+
     spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2)
 
     def noop(df):
@@ -53,7 +54,7 @@ def main():
         fz = timed("featurize", lambda: PL.step_featurize(spark, p))
         timed("correlation_matrix", lambda: PL.step_correlate(spark, p).collect())
         sel = timed("select_features", lambda: PL.step_select(spark, p))
-        model = timed("fit_models", lambda: PL.step_fit(spark, p, fz, sel, SETTINGS))
+        model = timed("fit_models", lambda: PL.step_fit(spark, p, fz, sel, settings))
         timed("score", lambda: PL.step_score(spark, sf_dir, model, p, stats))
 
         def stream():
