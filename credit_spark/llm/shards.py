@@ -98,25 +98,16 @@ def quantised(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataF
     return placed.withColumns(steps)
 
 
-def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
-                  strings: tuple[str, ...] = ("lang", "source"), counts: tuple[str, ...] = ("n_chars",),
-                  bits: int = BITS) -> DataFrame:
-    """Shard and slot of every document, for shards whose row counts differ by one at most.
-
-    Result: ``id_col``, ``size`` (UTF-8 bytes of the text plus 1),
-    ``text_crc32``, ``curve_index``, ``shard`` (0 to shards - 1) and
-    ``slot`` (0-based in the shard). Order: curve index, the dimensions,
-    id, checksum.
-
-    - null text: no bytes, as the empty text; null metadata: step 0
-    - null ids, ties and repeated rows: a row each, ranked in any order
-    - fewer rows than shards: some shards stay empty; empty table: no rows
-    - equal texts may lie in different shards, as their metadata say
-    """
+def _placed(docs: DataFrame, shards: int, carry: list[str], id_col: str = "doc_id", text_col: str = "text",
+            strings: tuple[str, ...] = ("lang", "source"), counts: tuple[str, ...] = ("n_chars",),
+            bits: int = BITS) -> DataFrame:
+    """Every row with its shard and slot, and the carried columns, if any, in the struct ``row``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    slim = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"d{k}") for k, c in enumerate((*strings, *counts))],
-                       (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     names = [f"d{k}" for k in range(len(strings) + len(counts))]
+    slim = docs.select(
+        F.col(id_col).alias("id"), *[F.col(c).alias(d) for d, c in zip(names, (*strings, *counts), strict=True)],
+        (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        *([F.struct(*carry).alias("row")] if carry else []))
     dims = {n: text_position(F.col(n).cast("string")) if k < len(strings) else size_position(F.col(n))
             for k, n in enumerate(names)}
     cells = [f"_q{k}" for k in range(len(dims))]
@@ -127,17 +118,44 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     total = placed.count()
     shard = F.floor(F.col("rank") * shards / F.lit(max(total, 1)).cast("decimal(20,0)")).cast("int")
     start = F.ceil(F.col("shard") * F.lit(total).cast("decimal(20,0)") / shards).cast("long")
-    return (placed.withColumn("shard", shard)
-            .select(F.col("id").alias(id_col), "size", "text_crc32", "curve_index", "shard",
-                    (F.col("rank") - start).alias("slot")))
+    return placed.withColumn("shard", shard).withColumn("slot", F.col("rank") - start)
+
+
+def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Shard and slot of every document, for shards whose row counts differ by one at most.
+
+    Result: ``id_col``, ``size`` (UTF-8 bytes of the text plus 1),
+    ``text_crc32``, ``curve_index``, ``shard`` (0 to shards - 1) and
+    ``slot`` (0-based in the shard). Order: curve index, the dimensions,
+    id, checksum. ``options``: ``strings`` and ``counts``, the metadata
+    columns that are the dimensions, and ``bits`` of the grid.
+
+    - null text: no bytes, as the empty text; null metadata: step 0
+    - null ids, ties and repeated rows: a row each, ranked in any order
+    - fewer rows than shards: some shards stay empty; empty table: no rows
+    - equal texts may lie in different shards, as their metadata say
+    """
+    return _placed(docs, shards, [], id_col, text_col, **options).select(
+        F.col("id").alias(id_col), "size", "text_crc32", "curve_index", "shard", "slot")
+
 
+def write_shards(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", text_col: str = "text",
+                 **options) -> None:
+    """Write the documents as Parquet, a folder ``shard=k`` each, rows in curve order.
 
-def write_shards(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", **options) -> None:
-    """Write the documents as Parquet, a folder ``shard=k`` each.
+    All columns go through the one range sort, so every row finds its shard
+    without a join: null ids and repeated rows are written as often as they
+    come. A task's rows are a run of the curve, so they lie in one shard or
+    in neighbouring ones, and a shard has as many files as runs.
 
-    ``id_col`` must tell rows apart here. A shard is written by as many
-    tasks as its size asks for (the rebalance splits large ones).
+    - a column ``shard`` of the input is kept; the folders then are
+      ``shard_=k``, with one more underscore for each such name taken
+    - empty table: no files of rows
     """
-    placed = assign_shards(docs, shards, id_col, **options).select(id_col, "shard", "slot")
-    (docs.join(placed, id_col).hint("rebalance", "shard").sortWithinPartitions("shard", "slot").drop("slot")
-     .write.partitionBy("shard").parquet(path))
+    taken = {c.lower() for c in docs.columns}
+    folder = "shard"
+    while folder in taken:
+        folder += "_"
+    placed = _placed(docs, shards, docs.columns, id_col, text_col, **options)
+    (placed.sortWithinPartitions("shard", "slot").select("row.*", F.col("shard").alias(folder))
+     .write.partitionBy(folder).parquet(path))

@@ -56,6 +56,17 @@ def test_written_shards(spark, tmp_path):
     assert {r.doc_id: r.shard for r in back.collect()} == placed
 
 
+def test_written_shards_of_awkward_rows(spark, tmp_path):
+    docs = awkward(spark)       # null and repeated ids, and a column ``shard`` of its own
+    shards.write_shards(docs, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(back, *docs.columns) == rows(docs, *docs.columns)
+    sizes = [r["count"] for r in back.groupBy("shard_").count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+    shards.write_shards(empty(spark), str(tmp_path / "none"), 4)
+    assert not list((tmp_path / "none").glob("**/*.parquet"))
+
+
 # -- chat -------------------------------------------------------------------------
 
 TURNS = "conv_id long, turn long, role string, text string, part string, rank string"
