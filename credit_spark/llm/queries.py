@@ -76,8 +76,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     out = secret_scan.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "guess")
+    strong = F.filter("spans", lambda s: s["log10_guesses"] >= secret_scan.MIN_LOG10_GUESSES)
     return out.select("doc_id", *[_count("spans", k) for k in secret_scan.KINDS[:3]],
-                      F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+                      F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"),
+                      F.size(strong).cast("long").alias("n_strong"))
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,8 @@ MIN_LOG10_GUESSES = 10.0
 # Kinds of characters (lower, upper, digits, other) that such a value has at least.
 MIN_CLASSES = 2
 MIN_VALUE = 6
+# Longer values are rated anew each time.
+MEMO_CHARS = 128
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -81,9 +83,17 @@ def _brute(c: str) -> float:
     return log10(_class_size(c))
 
 
-@lru_cache(maxsize=4096)
 def log10_guesses(value: str) -> float:
     """Least cost of any segmentation, as a power of ten; in time linear in the value's length."""
+    return _remembered_cost(value) if len(value) <= MEMO_CHARS else _cost(value)
+
+
+@lru_cache(maxsize=4096)
+def _remembered_cost(value: str) -> float:
+    return _cost(value)
+
+
+def _cost(value: str) -> float:
     n = len(value)
     low = value.lower()
     low = low if len(low) == n else value
@@ -122,26 +132,27 @@ def _classes(value: str) -> int:
                 any(c.isdigit() for c in value), any(not c.isalnum() for c in value)))
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """The three well-known kinds, in no order."""
+def base_spans(text: str) -> list[tuple[str, int, int, float | None]]:
+    """The three well-known kinds, in no order; assigned values come with their cost."""
     out = []
     low = text.lower()
     if any(h in low for h in ("passw", "secret", "token", "api")):
-        out += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 12]
+        out += [("assign", m.start(), m.end(), log10_guesses(m.group(2)))
+                for m in ASSIGN.finditer(text) if len(m.group(2)) >= 12]
     if "AKIA" in text:
-        out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if len(m.group()) >= 18]
-    out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
+        out += [("access", m.start(), m.end(), None) for m in ACCESS.finditer(text) if len(m.group()) >= 18]
+    out += [("hex", m.start(), m.end(), None) for m in HEX.finditer(text)]
     return out
 
 
-def guess_spans(text: str, taken: list[tuple[str, int, int]], min_log10: float,
+def guess_spans(text: str, taken: list[tuple[str, int, int, float | None]], min_log10: float,
                 min_classes: int) -> list[tuple[str, int, int, float]]:
     """Credential values that take many guesses and don't touch a span found before."""
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
     out = []
-    taken = sorted((s, e) for _, s, e in taken)
+    taken = sorted((s, e) for _, s, e, _ in taken)
     k = 0
     for m in CONTEXT.finditer(text):
         value = m.group(1).rstrip(".)]}!?:")
@@ -162,8 +173,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Secrets in whole texts: ``id_col`` and ``spans``, a row per document.
 
     ``spans``: array of (kind, start, end, log10_guesses), by start, then
-    kind; offsets in code points, end exclusive; ``log10_guesses`` for
-    kind ``guess`` only.
+    kind; offsets in code points, end exclusive; ``log10_guesses``, the
+    least cost of the value, for kinds ``assign`` (all are returned, strong
+    or not) and ``guess`` (from ``min_log10`` on).
 
     - null or empty text: no spans
     - very long texts and values: whole; the rating is linear in the value
@@ -174,7 +186,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             if not text:
                 return []
             found = base_spans(text)
-            all_of = [(*f, None) for f in found] + guess_spans(text, found, min_log10, min_classes)
+            all_of = found + guess_spans(text, found, min_log10, min_classes)
             return [{"kind": k, "start": s, "end": e, "log10_guesses": c}
                     for k, s, e, c in sorted(all_of, key=lambda f: (f[1], KINDS.index(f[0])))]
         return lambda texts: [[one(t) for t in texts]]
