@@ -1,4 +1,6 @@
 """Physical-plan properties: pushdown, pruning, no Python in the hot path."""
+import re
+
 import __spark_entry__ as E
 from credit_spark.plans import stages as S
 from tests.conftest import SF_SMALL
@@ -24,5 +26,14 @@ def test_cleaning_has_one_dedupe_shuffle_and_no_udf(spark):
     from credit_spark.operators import clean as C
     text = C.clean_text(C.dedupe(S.raw(spark, SF_SMALL)))
     p = plan(text)
-    assert p.count("Exchange hashpartitioning") == 1
+    # The dedupe, and the round-robin that only a source below SPREAD_BYTES gets.
+    assert sorted(re.findall(r"Exchange (\w+)", p)) == ["RoundRobinPartitioning", "hashpartitioning"]
     assert "PythonUDF" not in p
+
+
+def test_a_large_source_is_not_moved_before_the_dedupe(spark, monkeypatch):
+    from credit_spark.operators import clean as C
+    from credit_spark.sources import applicants as A
+    monkeypatch.setattr(A, "SPREAD_BYTES", 0)
+    p = plan(C.clean_text(C.dedupe(A.load_applicants(spark, SF_SMALL))))
+    assert re.findall(r"Exchange (\w+)", p) == ["hashpartitioning"]
