@@ -17,8 +17,9 @@ from .common import map_text, stored
 
 WINDOW = 10
 # Benchmark text that one search pass broadcasts, in UTF-8 bytes; a larger
-# benchmark is searched in several passes.
-BLOCK_BYTES = 16 << 20
+# benchmark is searched in several passes. A Python worker's tables take
+# about 70 times the bytes of the text.
+BLOCK_BYTES = 4 << 20
 
 # Word characters: everything but ASCII other than letters and digits; A-Z is lowered.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -34,12 +35,18 @@ class Search:
     """Wu-Manber tables of test windows, one set for each window length."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
-        owners: dict[tuple, set] = defaultdict(set)
+        owners: dict[tuple, object] = {}    # the item, or a set of several
+        known: dict[bytes, bytes] = {}      # so that equal words are one object
         for item, text in items:
-            w = words(text)
+            w = [known.setdefault(x, x) for x in words(text)]
             for i in range(max(len(w) - window, 0) + 1 if w else 0):
-                owners[tuple(w[i:i + window])].add(item)
-        self.owners = dict(owners)
+                key = tuple(w[i:i + window])
+                held = owners.setdefault(key, item)
+                if isinstance(held, set):
+                    held.add(item)
+                elif held != item:
+                    owners[key] = {held, item}
+        self.owners = owners
         by_length = defaultdict(list)
         for pattern in owners:
             by_length[len(pattern)].append(pattern)
@@ -86,8 +93,10 @@ class Search:
                 runs[-1][1] = max(runs[-1][1], end)
             else:
                 runs.append([start, end])
-        items = {i for p in {f[2] for f in found} for i in self.owners[p] if i is not None}
-        return runs, sorted(map(str, items))
+        items = set()
+        for held in (self.owners[p] for p in {f[2] for f in found}):
+            items |= held if isinstance(held, set) else {held}
+        return runs, sorted(map(str, items - {None}))
 
 
 def _search(df: DataFrame, items: list, text_col: str, carry: list[str], window: int) -> DataFrame:
@@ -116,9 +125,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_col
     as strings, of items with occurring windows); a row per document.
 
     The benchmark is the stated query set: its size is summed first, and it
-    is dealt into blocks of ``block_bytes`` (by a hash of the text, so equal
-    texts meet). One block is a single map over the documents. Several are a
-    pass each; the passes' hits of a document are merged by its row number
+    is dealt into blocks of ``block_bytes`` (distinct items, by a hash of id
+    and text, so a text that many items share is dealt too). One block is a
+    single map over the documents. Several are a pass each; the passes' hits of a document are merged by its row number
     in a stored copy.
 
     - null or empty text, or one without words: 0 words, no hits
@@ -127,10 +136,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_col
     - equal documents and repeated rows: a row each; empty tables: no hits
     """
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")) \
-        .where("length(text) > 0")
+        .where("length(text) > 0").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
 
     def block(i):
         return [(r.item, r.text) for r in dealt.where(F.col("block") == i).select("item", "text").toLocalIterator()]

@@ -191,7 +191,8 @@ def brute_leaks(text, items, window=10):
 
 
 ITEMS = [(1, "a b c a b c a b c a b c"), (2, "c a"), (10, "one Two three four five six seven eight nine ten"),
-         (3, None), (4, ""), (5, "..."), (None, "b b b"), (2, "c a"), (6, "Ärger é x")]
+         (3, None), (4, ""), (5, "..."), (None, "b b b"), (2, "c a"), (6, "Ärger é x"),
+         (7, "c a"), (8, "c a")]
 
 
 def _leak_texts():
