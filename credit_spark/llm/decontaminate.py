@@ -8,8 +8,10 @@ windows' suffix) holds the windows to compare directly.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,12 +101,23 @@ class Search:
         return runs, sorted(map(str, items - {None}))
 
 
+_built: dict[str, Search] = {}
+
+
+def _tables_of(name: str, items: Broadcast, window: int) -> Search:
+    """The tables of a broadcast block, made once per worker; only the last block's are kept."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Search(items.value, window)
+    return _built[name]
+
+
 def _search(df: DataFrame, items: list, text_col: str, carry: list[str], window: int) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(items)
-    cache: dict = {}
+    name = uuid.uuid4().hex
 
     def make():
-        search = cache.get(0) or cache.setdefault(0, Search(shared.value, window))
+        search = _tables_of(name, shared, window)
 
         def run(texts):
             split = [words(t) for t in texts]
