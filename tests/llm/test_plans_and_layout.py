@@ -159,3 +159,20 @@ def test_estimate_without_votes():
     assert quality.estimate({}) == {}
     only = 1 * sum(3 ** k for k in range(len(quality.RULES)))
     assert 0.5 < quality.estimate({only: 10})[only] <= 1
+
+
+def test_verdicts_hold_for_any_mix_of_junk():
+    """No kind of junk is kept because another kind is common, and a bad vote never speaks for good."""
+    def code(**votes):
+        return sum(votes.get(name, 2) * 3 ** k for k, (name, _, _) in enumerate(quality.RULES))
+    clean = code()
+    symbols = code(symbols=0, symbol_share=0, symbol_runs=0)
+    shouting = code(capitals=0, exclamations=0)
+    shouting_twice = code(capitals=0, exclamations=0, repetition=0, vocabulary=1)
+    repeats = code(repetition=0, vocabulary=0)
+    for mix in product((0, 100, 680, 1500, 5000), (0, 10, 110, 329, 2000), (0, 20, 133, 1000)):
+        n_symbols, n_shouting, n_repeats = mix
+        counts = {clean: 8385, symbols: n_symbols, shouting: n_shouting, shouting_twice: n_shouting, repeats: n_repeats}
+        found = quality.estimate({p: n for p, n in counts.items() if n})
+        assert {p: q >= quality.MIN_POSTERIOR for p, q in found.items()} == {p: p == clean for p in found}, mix
+        assert all(q <= found[clean] for q in found.values()), mix
