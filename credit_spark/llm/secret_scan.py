@@ -32,9 +32,19 @@ ASSIGN = re.compile(
     r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
+# A whole identifier (perhaps with " key" behind it) and the sign that gives it a value.
 CONTEXT = re.compile(
-    r"(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[ _-]?key|credentials?|auth))\b"
-    r"[\"'`]?[ \t]{0,3}(?ai:is|:=|=>|:|=)[ \t]{0,3}[\"'`]?([^\s\"'`,;<>]{6,})")
+    r"(?<![\w-])([\w-]++(?:\x20(?ai:keys?)(?![\w-]))?)[\"'`]?\]?\s*+(?:(?ai:is)\b\s*+:?|[:=]+>?)\s*+")
+# Credential words: the long ones anywhere in an identifier, the short ones as a part of it by
+# underscore, hyphen, digit or camel case (not "compass", "author", "spinning").
+KEY = re.compile(
+    r"(?ai:passw(?:or)?d|passphrase|passcode|pwd|secret|token|api[ _-]?key|credential)"
+    r"|(?<![^\W\d_])(?ai:pass|pin|auth)(?![^\W\d_])"
+    r"|(?<![^\W\d_])(?:[Pp]ass|[Pp]in|[Aa]uth)(?=[A-Z])"
+    r"|(?<=[a-z])(?:P(?:ass|ASS|in|IN)|A(?:uth|UTH))(?![a-z])")
+QUOTED = re.compile(r"([\"'`])((?:(?!\1)[^\\\n]|\\.)*+)\1")
+# A comma, semicolon or ampersand before the next name with a value ends a bare value.
+BARE = re.compile(r"[\"'`]?((?:[^\s\"'`,;&<]|[,;&](?!\s*+[\w-]++\s*+[:=])|<(?!/))++)")
 # Any match of ASSIGN or CONTEXT holds one of these, in lower case.
 HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "credential", "auth")
 
@@ -132,6 +142,14 @@ def _classes(value: str) -> int:
                 any(c.isdigit() for c in value), any(not c.isalnum() for c in value)))
 
 
+def _value(text: str, at: int) -> tuple[int, int]:
+    """Span of the value at ``at``: up to the closing quote on its line, else up to a blank or quote."""
+    if m := QUOTED.match(text, at):
+        return m.span(2)
+    m = BARE.match(text, at)
+    return (m.start(1), m.start(1) + len(m.group(1).rstrip(".)]}!?:,;>"))) if m else (at, at)
+
+
 def base_spans(text: str) -> list[tuple[str, int, int, float | None]]:
     """The three well-known kinds, in no order; assigned values come with their cost."""
     out = []
@@ -154,17 +172,22 @@ def guess_spans(text: str, taken: list[tuple[str, int, int, float | None]], min_
     out = []
     taken = sorted((s, e) for _, s, e, _ in taken)
     k = 0
-    for m in CONTEXT.finditer(text):
-        value = m.group(1).rstrip(".)]}!?:")
-        start, end = m.start(1), m.start(1) + len(value)
+    m = CONTEXT.search(text)
+    while m:
+        after = m.end()
+        start, end = _value(text, after) if KEY.search(m.group(1)) else (after, after)
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        if any(s < end and e > start for s, e in taken[k:k + 3]) or len(value) < MIN_VALUE \
-                or _classes(value) < min_classes:
-            continue
-        cost = log10_guesses(value)
-        if cost >= min_log10:
-            out.append(("guess", start, end, cost))
+        if any(s < end and e > start for s, e in taken[k:k + 3]):
+            after = end
+        elif end - start >= MIN_VALUE and _classes(text[start:end]) >= min_classes:
+            cost = log10_guesses(text[start:end])
+            if cost >= min_log10:
+                out.append(("guess", start, end, cost))
+                after = end
+        # A value that isn't accepted may itself be a name with a value. Few follow each other
+        # without a blank: each adds to the cost.
+        m = CONTEXT.search(text, after)
     return out
 
 

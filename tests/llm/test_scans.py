@@ -80,6 +80,32 @@ def test_guessable_values_are_left_alone():
     assert kinds("token = \"0641917ea4e9feb9cda83477\"") == []     # a base span already
 
 
+def test_credential_words_inside_names_and_values_in_any_place():
+    def found(text):
+        return [text[s:e] for _, s, e, _ in secret_scan.guess_spans(
+            text, secret_scan.base_spans(text), secret_scan.MIN_LOG10_GUESSES, secret_scan.MIN_CLASSES)]
+    value = "tR7#kq9!Zw"
+    for before in ("DB_PASSWORD=", "db_pwd = ", "MYSQL_PWD=", "auth_token = ", "client_secret: '", "userPassword=",
+                   "dbPass=", "user-pin: ", "authKey: ", "passwords: ", "password is: ", "password is ", "pwd =     ",
+                   "password:\n  ", "pass: secret: ", "my api key: ", "config['password'] = '", "\"pwd\" : \""):
+        quote = before[-1] if before[-1] in "'\"" else ""
+        assert found(f"x {before}{value}{quote} y") == [value], before
+    for value in ("tR,7#kq9!Zw", "tR7;#kq9!Zw", "tR7#kq9<Zw", "tR7#>kq9!Zw"):
+        assert found(f"pwd: {value} y") == found(f"pwd: '{value}' y") == [value]
+    assert found("Server=a;Pwd=tR7#kq9!Zw;Database=foo") == ["tR7#kq9!Zw"]
+    assert found("pwd: 'tR7# kq9!\"Zw' y") == ["tR7# kq9!\"Zw"]
+    assert found("compass: tR7#kq9!Zw author: tR7#kq9!Zw spinning: tR7#kq9!Zw COMPASS=tR7#kq9!Zw") == []
+
+
+def test_context_search_is_linear():
+    import time
+    t = time.time()
+    for text in ("pass" * 50_000, "pwd" * 60_000 + ":", "pass:" * 40_000, "pin is " * 30_000, "pwd: \"" * 30_000,
+                 "pwd" + " " * 200_000, "pwd='" + "a," * 100_000, "pin=" + "pin=" * 40_000, "pin: 'pwd: \"" * 15_000):
+        secret_scan.guess_spans(text, secret_scan.base_spans(text), 10, 2)
+    assert time.time() - t < 30
+
+
 def test_secret_scan_on_awkward_rows(spark):
     docs = awkward(spark)
     assert rows(secret_scan.scan(docs), "doc_id") == rows(docs, "doc_id")
