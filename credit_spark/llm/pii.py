@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -50,7 +51,9 @@ _SPELLED = re.compile(
     rf"(?:[\x20,.-]{{1,2}}(?i:{_DIGIT_WORD}|[0-9])(?![A-Za-z])){{2,}}")
 _SPELLED_PART = re.compile(rf"(?i:(plus)|({_DIGIT_WORD}))|([0-9])")
 _AT = re.compile(r"\s*[(\[{<]\s*(?i:at|@)\s*[)\]}>]\s*"
-                 r"|(?<=[A-Za-z0-9])\s+(?i:at)\s+(?=[A-Za-z0-9-]+(?:\.|\s*[(\[{<]\s*(?i:dot)|\s+(?i:dot)\s))")
+                 r"|(?<=[A-Za-z0-9])\s+(?i:at)\s+(?=[A-Za-z0-9-]+(?:\.|\s*[(\[{<]\s*(?i:dot)|\s+(?i:dot)\s))"
+                 # "at jane.doe@...": the at-sign comes later
+                 r"(?![A-Za-z0-9._%+-]+(?:@|\s*[(\[{<]\s*(?i:at|@)))")
 _DOT = re.compile(r"(?<=[A-Za-z0-9])(?:\s*[(\[{<]\s*(?i:dot|\.)\s*[)\]}>]\s*|\s+(?i:dot)\s+)(?=[A-Za-z0-9])")
 _AT_HINT = re.compile(r"(?i:[(\[{<]\s*(?:at|@)\s*[)\]}>]|\sat\s+[A-Za-z0-9-]+\s*[(\[{<.]?\s*(?:dot)?)")
 _DOT_HINT = re.compile(r"(?i:[(\[{<]\s*(?:dot|\.)\s*[)\]}>]|\sdot\s)")
@@ -159,7 +162,12 @@ def signs(form: Normal) -> Normal:
 
 
 def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Identifiers that only the normal form shows, as source spans that overlap no plain one."""
+    """Identifiers that only the normal form shows, as source spans.
+
+    A disguise may leave a part that looks plain ("ne@example.com" behind a
+    Cyrillic letter): the whole is then found beside the plain part. Spans
+    that lie in a plain one of their kind are left out.
+    """
     odd = not text.isascii() and _ODD.search(text)
     spelled = _SPELLED.search(text)
     if not (odd or spelled or _DOT_HINT.search(text) or _AT_HINT.search(text)):
@@ -169,11 +177,14 @@ def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, i
     form = signs(spelled_digits(form))
     if form.text == text:
         return []
-    taken = sorted((s, e) for _, s, e in plain)
+    # Spans of a kind don't overlap, so the last one that starts by then is the only one that may hold another.
+    starts = {kind: [s for k, s, _ in plain if k == kind] for kind in KINDS}
+    ends = {kind: [e for k, _, e in plain if k == kind] for kind in KINDS}
     out = []
     for kind, start, end in find(form.text):
         a, b = form.starts[start], form.ends[end - 1]
-        if form.text[start:end] != text[a:b] and not any(s < b and e > a for s, e in taken):
+        k = bisect_right(starts[kind], a) - 1
+        if form.text[start:end] != text[a:b] and not (k >= 0 and ends[kind][k] >= b):
             out.append((kind, a, b))
     return out
 
@@ -183,7 +194,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     ``spans``: array of (kind, start, end, disguised), by kind as in
     ``KINDS``, then start; offsets in code points of the source, end
-    exclusive.
+    exclusive. Plain spans stay as their patterns find them; a disguised one
+    may overlap or hold them.
 
     - null or empty text: no spans
     - very long texts: whole; every pattern's work is linear in the text

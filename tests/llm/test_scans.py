@@ -172,6 +172,20 @@ def test_disguises_map_back_to_the_source():
     assert shown(f"card {card}.") == [("card", card)]
 
 
+def test_disguises_that_leave_a_plain_part_are_found_whole():
+    for kind, whole, part in (
+            ("email", "j\u0430ne@example.com", "ne@example.com"), ("email", "jane@example.c\u043em", "jane@example.c"),
+            ("email", "jane\u200b.doe@example.com", ".doe@example.com"),
+            ("phone", "+1 319 555 513\uff12", "+1 319 555 513"), ("ip", "10.1.2.3\uff14", "10.1.2.3")):
+        text = f"see {whole}, please"
+        assert [(k, text[s:e]) for k, s, e in pii.find(text)] == [(kind, part)]
+        assert shown(text) == [(kind, whole)]
+    text = "mail jane.doe@example.com or m\u0430x@example.com"
+    assert shown(text) == [("email", "m\u0430x@example.com")]
+    assert shown("we look at jane.doe@example.com today") == []
+    assert shown("look at jane.doe (at) example.com") == [("email", "jane.doe (at) example.com")]
+
+
 def test_clean_texts_and_plain_data_get_nothing():
     for text in ("We meet at noon. The dot is red.", "one two three go", "jane@example.com", "Привет, мир!",
                  "at home dot com", "look at example.", "1.2.3.4 and +1 (319) 555-5132"):
