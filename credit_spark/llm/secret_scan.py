@@ -20,8 +20,13 @@ from .common import map_text
 
 # Guesses (as a power of ten) from which a value counts as a secret.
 MIN_LOG10_GUESSES = 10.0
-# Kinds of characters (lower, upper, digits, other) that such a value has at least.
-MIN_CLASSES = 2
+# Kinds of characters (lower, upper, digits, other) that such a value has at least: any value is rated.
+MIN_CLASSES = 1
+# The commonest words of the corpus are known to guessers, too: so many at most, of so many
+# letters, in so many documents at least. Only this list is limited by them.
+CORPUS_WORDS = 20_000
+WORD_LETTERS = (3, 24)
+WORD_DOCS = 3
 MIN_VALUE = 6
 # Longer values are rated anew each time.
 MEMO_CHARS = 128
@@ -82,7 +87,20 @@ _NEAR = _neighbours()
 _RANK = {}
 for _i, _w in enumerate(COMMON_WORDS):
     _RANK.setdefault(_w, _i + 1)
-_LONGEST = max(map(len, _RANK))
+
+
+class Words:
+    """Ranks of the words that guessers try: the fixed ones, then those of the corpus, commonest first."""
+
+    def __init__(self, corpus: list[str]):
+        self.rank = dict(_RANK)
+        for i, w in enumerate(corpus):
+            self.rank[w] = min(i + 1 + len(COMMON_WORDS), self.rank.get(w, i + 1 + len(COMMON_WORDS)))
+        self.longest = max(map(len, self.rank))
+        self.cost = lru_cache(maxsize=4096)(lambda value: _cost(value, self.rank, self.longest))
+
+    def log10_guesses(self, value: str) -> float:
+        return self.cost(value) if len(value) <= MEMO_CHARS else _cost(value, self.rank, self.longest)
 
 
 def _class_size(c: str) -> int:
@@ -95,23 +113,18 @@ def _brute(c: str) -> float:
 
 def log10_guesses(value: str) -> float:
     """Least cost of any segmentation, as a power of ten; in time linear in the value's length."""
-    return _remembered_cost(value) if len(value) <= MEMO_CHARS else _cost(value)
+    return _FIXED.log10_guesses(value)
 
 
-@lru_cache(maxsize=4096)
-def _remembered_cost(value: str) -> float:
-    return _cost(value)
-
-
-def _cost(value: str) -> float:
+def _cost(value: str, ranks: dict[str, int], longest: int) -> float:
     n = len(value)
     low = value.lower()
     low = low if len(low) == n else value
     plain = low.translate(_LEET)
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]    # by start: (end, cost)
     for i in range(n):
-        for j in range(i + 2, min(n, i + _LONGEST) + 1):
-            rank = _RANK.get(low[i:j]) or 2 * _RANK.get(plain[i:j], 0)
+        for j in range(i + 2, min(n, i + longest) + 1):
+            rank = ranks.get(low[i:j]) or 2 * ranks.get(plain[i:j], 0)
             if rank:
                 ends[i].append((j, log10(rank * (2 if value[i:j] != low[i:j] else 1)) + 0.3))
     for m in _DATE.finditer(value):
@@ -137,6 +150,9 @@ def _cost(value: str) -> float:
     return best[n]
 
 
+_FIXED = Words([])
+
+
 def _classes(value: str) -> int:
     return sum((any(c.islower() for c in value), any(c.isupper() for c in value),
                 any(c.isdigit() for c in value), any(not c.isalnum() for c in value)))
@@ -150,12 +166,12 @@ def _value(text: str, at: int) -> tuple[int, int]:
     return (m.start(1), m.start(1) + len(m.group(1).rstrip(".)]}!?:,;>"))) if m else (at, at)
 
 
-def base_spans(text: str) -> list[tuple[str, int, int, float | None]]:
+def base_spans(text: str, words: Words = _FIXED) -> list[tuple[str, int, int, float | None]]:
     """The three well-known kinds, in no order; assigned values come with their cost."""
     out = []
     low = text.lower()
     if any(h in low for h in ("passw", "secret", "token", "api")):
-        out += [("assign", m.start(), m.end(), log10_guesses(m.group(2)))
+        out += [("assign", m.start(), m.end(), words.log10_guesses(m.group(2)))
                 for m in ASSIGN.finditer(text) if len(m.group(2)) >= 12]
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), None) for m in ACCESS.finditer(text) if len(m.group()) >= 18]
@@ -164,24 +180,29 @@ def base_spans(text: str) -> list[tuple[str, int, int, float | None]]:
 
 
 def guess_spans(text: str, taken: list[tuple[str, int, int, float | None]], min_log10: float,
-                min_classes: int) -> list[tuple[str, int, int, float]]:
-    """Credential values that take many guesses and don't touch a span found before."""
+                min_classes: int, words: Words = _FIXED) -> list[tuple[str, int, int, float]]:
+    """Credential values that take many guesses and reach beyond the spans found before."""
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
     out = []
-    taken = sorted((s, e) for _, s, e, _ in taken)
+    covered = []
+    for s, e in sorted((s, e) for _, s, e, _ in taken):
+        if covered and s <= covered[-1][1]:
+            covered[-1][1] = max(e, covered[-1][1])
+        else:
+            covered.append([s, e])
     k = 0
     m = CONTEXT.search(text)
     while m:
         after = m.end()
         start, end = _value(text, after) if KEY.search(m.group(1)) else (after, after)
-        while k < len(taken) and taken[k][1] <= start:
+        while k < len(covered) and covered[k][1] <= start:
             k += 1
-        if any(s < end and e > start for s, e in taken[k:k + 3]):
+        if k < len(covered) and covered[k][0] <= start and end <= covered[k][1]:
             after = end
         elif end - start >= MIN_VALUE and _classes(text[start:end]) >= min_classes:
-            cost = log10_guesses(text[start:end])
+            cost = words.log10_guesses(text[start:end])
             if cost >= min_log10:
                 out.append(("guess", start, end, cost))
                 after = end
@@ -191,6 +212,21 @@ def guess_spans(text: str, taken: list[tuple[str, int, int, float | None]], min_
     return out
 
 
+def corpus_words(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """The words in most documents, lower case, commonest first.
+
+    What stands behind a colon, an equals sign or "is" isn't counted, so
+    that a secret in many copies doesn't become a word.
+    """
+    value = r"""(?i)(?:[:=]|\bis\b)[\s:=]*+(?:"[^"\n]*+"|'[^'\n]*+'|`[^`\n]*+`|\S++)"""
+    text = F.lower(F.regexp_replace(F.col(text_col).cast("string"), value, " "))
+    least, most = WORD_LETTERS
+    found = docs.select(F.explode(F.array_distinct(F.split(text, r"[^\p{L}]+"))).alias("word"))
+    common = (found.where(F.length("word").between(least, most)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= WORD_DOCS).orderBy(F.desc("n"), "word").limit(CORPUS_WORDS))
+    return [r.word for r in common.collect()]
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          min_log10: float = MIN_LOG10_GUESSES, min_classes: int = MIN_CLASSES) -> DataFrame:
     """Secrets in whole texts: ``id_col`` and ``spans``, a row per document.
@@ -200,16 +236,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least cost of the value, for kinds ``assign`` (all are returned, strong
     or not) and ``guess`` (from ``min_log10`` on).
 
+    Texts are read twice: the corpus's own common words are counted first.
+
     - null or empty text: no spans
     - very long texts and values: whole; the rating is linear in the value
     - equal texts, repeated rows, null ids: a row each; empty table: no rows
     """
+    common = corpus_words(docs, text_col)
+
     def make():
+        words = Words(common)
+
         def one(text):
             if not text:
                 return []
-            found = base_spans(text)
-            all_of = found + guess_spans(text, found, min_log10, min_classes)
+            found = base_spans(text, words)
+            all_of = found + guess_spans(text, found, min_log10, min_classes, words)
             return [{"kind": k, "start": s, "end": e, "log10_guesses": c}
                     for k, s, e, c in sorted(all_of, key=lambda f: (f[1], KINDS.index(f[0])))]
         return lambda texts: [[one(t) for t in texts]]

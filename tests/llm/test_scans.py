@@ -97,6 +97,20 @@ def test_credential_words_inside_names_and_values_in_any_place():
     assert found("compass: tR7#kq9!Zw author: tR7#kq9!Zw spinning: tR7#kq9!Zw COMPASS=tR7#kq9!Zw") == []
 
 
+def test_no_gate_stands_before_the_guess_cost(spark):
+    weak = ["the secret is well-known", "token: Persistence"]
+    strong = {"pwd: qzjxkvwmbfhgtrlpns": "qzjxkvwmbfhgtrlpns", "pin: 83016472959164": "83016472959164",
+              "password=abcdefgh1234$X9#mQ!2z": "abcdefgh1234$X9#mQ!2z",
+              "pwd: x!0123456789abcdef#Qz": "x!0123456789abcdef#Qz"}
+    prose = ["All is well, and known is the persistence of the well and the known: persistence, well known"] * 5
+    # A secret in many copies is no common word.
+    texts = weak + list(strong) + prose + list(strong) * 4
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "guess"]
+           for r in secret_scan.scan(docs).collect()}
+    assert got == {k: [strong[t]] if t in strong else [] for k, t in enumerate(texts)}
+
+
 def test_context_search_is_linear():
     import time
     t = time.time()
