@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, decontaminate, line_dedup, pii, quality, secret_scan, shards, simhash, sql,
-               token_count)
+from . import (bpe, chat, decontaminate, divergence, line_dedup, phrases, pii, quality, secret_scan, shards,
+               simhash, sql, token_count, whitening)
 from .common import table
 
 # Folder of the public tokenizer files (a parameter of a deployment).
@@ -109,12 +109,35 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(_joined(base), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all documents keep when passages of earlier documents go."""
+    return phrases.find_repeats(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading whitened components of all embeddings."""
+    out, model, error = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    explained = F.array(*[F.lit(float(e) / model.trace) for e in model.values]).cast("array<double>")
+    return (out.select("row.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+                    "deviation", "whitened", F.get(explained, "at").alias("explained"),
+                    F.lit(error).cast("double").alias("identity_error")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences of all sources of all languages, and the terms that mark them."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_codec, op2_token_counts, op3_decontaminate, op4_chat_rotation, op5_hilbert_shards, op6_secret_scan,
-    op7_simhash_dedup, op8_line_dedup, op9_quality_rules, op10_pii_scan)}
+    op7_simhash_dedup, op8_line_dedup, op9_quality_rules, op10_pii_scan,
+    op11_substring_dedup, op12_embedding_whitening, op13_source_divergence)}
 ORACLE = {
     "op3_decontaminate": sql.DECONTAMINATE,
     "op4_chat_rotation": sql.chat_rotation(),
     "op8_line_dedup": sql.LINE_DEDUP,
     "op9_quality_rules": sql.quality_rules(),
+    "op13_source_divergence": sql.SOURCE_DIVERGENCE,
 }
