@@ -7,7 +7,7 @@ streaming DataFrame) with one narrow plan: encode (unseen → code 0) →
 log1p → derive (denominators floored at 1) → scale → classify → decode →
 feed the predicted class code to the regressor → invert the target scaling
 → floor at 0 and round to 2 places. Fitted state is a handful of literals
-and two Spark ML models: nothing is joined or shuffled at scoring time.
+and two models: nothing is joined or shuffled at scoring time.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +24,13 @@ from ..operators import clean as C
 from ..operators import correlate as K
 from ..operators import encode as E
 from ..operators import features as FE
+from ..operators.least_squares import LinearModel
+from ..operators.trees import TreeModel
 from ..schema import (CATEGORICAL, DERIVED, FEATURES, ID, SCALED, SKEWED, TARGET_AMOUNT,
                       TARGET_CLASS, TITLE_CASED)
 from . import train as TR
 
+OWN_MODELS = (TreeModel, LinearModel)
 MODEL_COLS = list(FEATURES) + list(DERIVED) + [TARGET_CLASS, TARGET_AMOUNT]
 
 
@@ -54,21 +56,15 @@ class ScoringModel:
         out = E.standardize(out, self.featurizer.scaler, SCALED)
         return out
 
-    def _vector(self, df: DataFrame, cols, out: str) -> DataFrame:
-        # Absent features are 0; a missing value is the scaled mean (0).
-        filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-                                 if c in df.columns else F.lit(0.0) for c in cols})
-        return VectorAssembler(inputCols=list(cols), outputCol=out).transform(filled)
-
     def transform(self, df: DataFrame) -> DataFrame:
         """(applicant_id, eligibility, max_monthly_emi)."""
         keep = [c for c in df.columns if c not in (TARGET_CLASS, TARGET_AMOUNT)]
         f = self.features(df.select(*keep))
-        v = self._vector(f, self.clf_features, "features")
+        v = TR.assemble(f, self.clf_features, getattr(self.classifier, "learns_missing", False))
         p = TR.predict_class(self.classifier, v, out="_cls_code").drop("features")
         p = p.withColumn(TARGET_CLASS, F.col("_cls_code"))
         p = E.decode(p, self.featurizer.target_codes, TARGET_CLASS, "eligibility")
-        r = self._vector(p, self.reg_features, "features")
+        r = TR.assemble(p, self.reg_features, getattr(self.regressor, "learns_missing", False))
         r = self.regressor.transform(r).withColumnRenamed("prediction", "_amt_scaled")
         ts = self.featurizer.target_scaler
         amt = F.col("_amt_scaled") * F.lit(float(ts.scale(TARGET_AMOUNT))) + F.lit(
@@ -93,20 +89,25 @@ class ScoringModel:
             "overwrite").text(f"{path}/meta")
         for c, src in (self.featurizer.codes.tables | self.featurizer.target_codes.tables).items():
             spark.read.parquet(src).write.mode("overwrite").parquet(f"{path}/codes/{c}")
-        self.classifier.write().overwrite().save(f"{path}/classifier")
-        self.regressor.write().overwrite().save(f"{path}/regressor")
+        for model, name in ((self.classifier, "classifier"), (self.regressor, "regressor")):
+            if isinstance(model, OWN_MODELS):
+                model.save(spark, f"{path}/{name}")
+            else:
+                model.write().overwrite().save(f"{path}/{name}")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "ScoringModel":
         from pyspark.ml import classification as MC
-        from pyspark.ml import regression as MR
+        own = {m.__name__: m for m in OWN_MODELS}
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
         def codes(classes, tables):
             return E.LabelCodes(meta[classes], {c: f"{path}/codes/{c}" for c in meta.get(tables, [])})
         fz = E.Featurizer(codes("codes", "code_tables"), codes("target_codes", "target_code_tables"),
                           E.ScalerStats(*meta["scaler"]), E.ScalerStats(*meta["target_scaler"]))
-        clf = getattr(MC, meta["classifier"]).load(f"{path}/classifier")
-        reg = getattr(MR, meta["regressor"]).load(f"{path}/regressor")
+        def model(kind):
+            name = meta[kind]
+            return own[name].load(spark, f"{path}/{kind}") if name in own else getattr(MC, name).load(f"{path}/{kind}")
+        clf, reg = model("classifier"), model("regressor")
         return ScoringModel(fz, meta["clf_features"], meta["reg_features"], clf, reg,
                             meta["normalize_inputs"], [tuple(m) for m in meta.get("metrics", [])])
 

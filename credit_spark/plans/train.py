@@ -15,17 +15,16 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics as MT
 from ..operators import split as SP
+from ..operators.least_squares import LeastSquares, LinearModel
+from ..operators.trees import BoostedTrees, Forest, TreeModel
 from ..schema import ID, SEED, TARGET_AMOUNT, TARGET_CLASS
 from ..session import ensure_checkpoint_dir
 
@@ -35,18 +34,23 @@ class TrainSettings:
     """Full settings mirror the original models; ``quick()`` is for tests."""
     lr_max_iter: int = 2000
     trees: int = 200
-    forest_depth: int = 12
+    forest_depth: int | None = None      # None: until the leaves are pure
     boost_rounds: int = 100
     boost_depth: int = 6
     boost_step: float = 0.3
     seed: int = SEED
-    ovr_parallelism: int = 3
 
     @staticmethod
     def quick() -> "TrainSettings":
         return TrainSettings(lr_max_iter=100, trees=10, forest_depth=5, boost_rounds=10,
                              boost_depth=3)
 
+    def boosted(self, task: str) -> BoostedTrees:
+        return BoostedTrees(task, self.boost_rounds, self.boost_depth, self.boost_step, seed=self.seed, id_col=ID)
+
+    def forest(self, task: str, per_node: str) -> Forest:
+        return Forest(task, self.trees, self.forest_depth, per_node, seed=self.seed, id_col=ID)
+
 
 def classifiers(s: TrainSettings, n_train: int) -> dict:
     return {
@@ -55,24 +59,16 @@ def classifiers(s: TrainSettings, n_train: int) -> dict:
         "logistic": LogisticRegression(family="multinomial", maxIter=s.lr_max_iter,
                                        regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
                                        standardization=False),
-        "random_forest": RandomForestClassifier(numTrees=s.trees, maxDepth=s.forest_depth,
-                                                featureSubsetStrategy="sqrt", seed=s.seed),
-        # The per-class binary fits are independent Spark jobs; running
-        # them concurrently keeps the cluster busy between boosting rounds.
-        "boosted_trees": OneVsRest(classifier=GBTClassifier(maxIter=s.boost_rounds,
-                                                            maxDepth=s.boost_depth,
-                                                            stepSize=s.boost_step, seed=s.seed),
-                                   parallelism=s.ovr_parallelism),
+        "random_forest": s.forest("class", "sqrt"),
+        "boosted_trees": s.boosted("class"),
     }
 
 
 def regressors(s: TrainSettings) -> dict:
     return {
-        "linear": LinearRegression(regParam=0.0),
-        "random_forest": RandomForestRegressor(numTrees=s.trees, maxDepth=s.forest_depth,
-                                               featureSubsetStrategy="all", seed=s.seed),
-        "boosted_trees": GBTRegressor(maxIter=s.boost_rounds, maxDepth=s.boost_depth,
-                                      stepSize=s.boost_step, seed=s.seed),
+        "linear": LeastSquares(),
+        "random_forest": s.forest("value", "all"),
+        "boosted_trees": s.boosted("value"),
     }
 
 
@@ -92,36 +88,35 @@ class TrainResult:
         return spark.createDataFrame(self.metrics, "task string, model string, metric string, value double")
 
 
-def predict_class(model, df: DataFrame, features: str = "features",
-                  out: str = "prediction") -> DataFrame:
-    """Class prediction as a JVM-side plan. A one-vs-rest model is scored
-    as the argmax of its binary models' margins (first wins ties), instead
-    of the Python-side one-vs-rest transform, which runs a per-row Python
-    UDF and persists its input (impossible on a stream)."""
-    from pyspark.ml.classification import OneVsRestModel
-    if not isinstance(model, OneVsRestModel):
-        res = model.transform(df.select(*df.columns))
-        drop = [c for c in ("rawPrediction", "probability") if c in res.columns and c not in df.columns]
-        return res.drop(*drop).withColumnRenamed("prediction", out) if out != "prediction" else res.drop(*drop)
-    cur, margins = df, []
-    for k, m in enumerate(model.models):
-        raw, pred, prob = f"_raw{k}", f"_pred{k}", f"_prob{k}"
-        bm = m.copy()
-        bm.setFeaturesCol(features).setRawPredictionCol(raw).setPredictionCol(pred)
-        if hasattr(bm, "setProbabilityCol"):
-            bm.setProbabilityCol(prob)
-        cur = bm.transform(cur)
-        cur = cur.withColumn(f"_m{k}", vector_to_array(F.col(raw))[1]).drop(raw, pred, prob)
-        margins.append(f"_m{k}")
-    arr = F.array(*[F.col(c) for c in margins])
-    best = (F.array_position(arr, F.array_max(arr)) - 1).cast("double")
-    return cur.withColumn(out, best).drop(*margins)
-
-
-def _assemble(df: DataFrame, cols, out="features") -> DataFrame:
-    """Missing features count as 0, as in scoring; no row is left out."""
-    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(filled)
+def predict_class(model, df: DataFrame, out: str = "prediction") -> DataFrame:
+    """``df`` with the predicted class number; Spark ML's other output columns are left out."""
+    if isinstance(model, TreeModel):
+        return model.transform(df, prediction=out)
+    res = model.transform(df)
+    drop = [c for c in ("rawPrediction", "probability") if c in res.columns and c not in df.columns]
+    return res.drop(*drop).withColumnRenamed("prediction", out) if out != "prediction" else res.drop(*drop)
+
+
+def class_probabilities(model, df: DataFrame, out: str) -> DataFrame:
+    """``df`` with an array of class probabilities."""
+    if isinstance(model, TreeModel):
+        return (model.transform(df, prediction="_pred", scores="_scores")
+                .withColumn(out, model.probabilities(F.col("_scores"))).drop("_pred", "_scores"))
+    return model.transform(df).withColumn(out, vector_to_array("probability")) \
+        .drop("rawPrediction", "probability", "prediction")
+
+
+def assemble(df: DataFrame, cols, learns_missing: bool = False, out: str = "features") -> DataFrame:
+    """A vector of ``cols``; a column that isn't there is 0, and no row is left out.
+
+    A missing value is 0 as well (the mean of a scaled column), or NaN for a
+    model that learns a side for missing values at every split.
+    """
+    gap = F.lit(float("nan") if learns_missing else 0.0)
+    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), gap) if c in df.columns else F.lit(0.0)
+                             for c in cols})
+    return VectorAssembler(inputCols=list(cols), outputCol=out,
+                           handleInvalid="keep" if learns_missing else "error").transform(filled)
 
 
 def row_counts(df: DataFrame, cols) -> dict:
@@ -156,11 +151,17 @@ def log_run(spark: SparkSession, run_id: str, task: str, model: str, params: dic
 
 
 def _params(est) -> dict:
-    inner = est.getClassifier() if isinstance(est, OneVsRest) else est
-    keep = ("maxIter", "regParam", "numTrees", "maxDepth", "stepSize", "featureSubsetStrategy",
-            "family", "seed")
-    return {p.name: inner.getOrDefault(p) for p in inner.params
-            if p.name in keep and inner.isDefined(p)} | {"model_name": type(est).__name__}
+    name = {"model_name": type(est).__name__}
+    if isinstance(est, LogisticRegression):
+        keep = ("maxIter", "regParam", "family")
+        return {p.name: est.getOrDefault(p) for p in est.params if p.name in keep and est.isDefined(p)} | name
+    return {k: v for k, v in vars(est).items() if k not in ("cuts", "id_col", "fit_rows")} | name
+
+
+def _sides(split: DataFrame, cols) -> tuple[DataFrame, DataFrame]:
+    """Training and hold-out rows with missing values kept."""
+    out = assemble(split, cols, learns_missing=True)
+    return out.where(F.col("split") == "train"), out.where(F.col("split") == "test")
 
 
 def train(model_table: DataFrame, clf_features, reg_features,
@@ -174,14 +175,16 @@ def train(model_table: DataFrame, clf_features, reg_features,
     # Classification: stratified hash split, one persisted training frame.
     csplit = SP.stratified_split(model_table.select(ID, *clf_features, TARGET_CLASS), TARGET_CLASS)
     ccounts = row_counts(csplit, clf_features)
-    c = _assemble(csplit, clf_features).withColumn("label", F.col(TARGET_CLASS).cast("double"))
+    csplit = csplit.withColumn("label", F.col(TARGET_CLASS).cast("double"))
+    c = assemble(csplit, clf_features)
     ctrain = c.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
     ctest = c.where(F.col("split") == "test").persist(StorageLevel.MEMORY_AND_DISK)
     n_train = ctrain.count()
     best_c, best_f1, best_cn = None, float("-inf"), ""
     for name, est in classifiers(s, n_train).items():
-        m = est.fit(ctrain)
-        pred = predict_class(m, ctest).select(F.col("label").alias("y"), F.col("prediction").alias("yhat"))
+        ctr, cte = _sides(csplit, clf_features) if isinstance(est, BoostedTrees) else (ctrain, ctest)
+        m = est.fit(ctr)
+        pred = predict_class(m, cte).select(F.col("label").alias("y"), F.col("prediction").alias("yhat"))
         row = MT.classification_metrics(pred).first().asDict()
         metrics += [("classification", name, k, float(v or 0.0)) for k, v in row.items()]
         models[("classification", name)] = m
@@ -195,13 +198,15 @@ def train(model_table: DataFrame, clf_features, reg_features,
     # Regression: plain hash split.
     rsplit = SP.random_split(model_table.select(ID, *reg_features, TARGET_AMOUNT))
     rcounts = row_counts(rsplit, reg_features)
-    r = _assemble(rsplit, reg_features).withColumn("label", F.col(TARGET_AMOUNT).cast("double"))
+    rsplit = rsplit.withColumn("label", F.col(TARGET_AMOUNT).cast("double"))
+    r = assemble(rsplit, reg_features)
     rtrain = r.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
     rtest = r.where(F.col("split") == "test").persist(StorageLevel.MEMORY_AND_DISK)
     best_r, best_rmse, best_rn = None, float("inf"), ""
     for name, est in regressors(s).items():
-        m = est.fit(rtrain)
-        pred = m.transform(rtest).select(F.col("label").alias("y"), F.col("prediction").alias("yhat"))
+        rtr, rte = _sides(rsplit, reg_features) if isinstance(est, BoostedTrees) else (rtrain, rtest)
+        m = est.fit(rtr)
+        pred = m.transform(rte).select(F.col("label").alias("y"), F.col("prediction").alias("yhat"))
         row = MT.regression_metrics(pred).first().asDict()
         metrics += [("regression", name, k, float(v) if v is not None else float("nan"))
                     for k, v in row.items()]
@@ -225,19 +230,13 @@ def best_models(result: TrainResult, spark: SparkSession) -> DataFrame:
 
 
 def importances(model, features) -> list:
-    """Per-feature importance: tree importances, |coefficients| (mean over
-    classes for a multinomial model), or the mean over one-vs-rest models."""
-    from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
-    from pyspark.ml.regression import LinearRegressionModel
-    if isinstance(model, OneVsRestModel):
-        per = [importances(m, features) for m in model.models]
-        return [sum(p[i] for p in per) / len(per) for i in range(len(features))]
-    if isinstance(model, LogisticRegressionModel):
-        mat = model.coefficientMatrix.toArray()
-        return [float(abs(mat[:, i]).mean()) for i in range(len(features))]
-    if isinstance(model, LinearRegressionModel):
-        return [abs(float(v)) for v in model.coefficients.toArray()]
-    return [float(v) for v in model.featureImportances.toArray()]
+    """Per-feature importance: of trees, or |coefficients| (mean over classes for a multinomial model)."""
+    if isinstance(model, TreeModel):
+        return [float(v) for v in model.featureImportances]
+    if isinstance(model, LinearModel):
+        return [abs(float(v)) for v in model.coefficients]
+    mat = model.coefficientMatrix.toArray()
+    return [float(abs(mat[:, i]).mean()) for i in range(len(features))]
 
 
 def feature_importance(result: TrainResult, spark: SparkSession, top: int = 20) -> DataFrame:
@@ -253,25 +252,17 @@ def feature_importance(result: TrainResult, spark: SparkSession, top: int = 20)
                                        "importance double")
 
 
-def roc_auc_ovr(result: TrainResult, model_table: DataFrame, names=("logistic", "random_forest")
-                ) -> DataFrame:
-    """One-vs-rest ROC-AUC per class on the classification hold-out, for
-    models that output probabilities."""
-    spark = model_table.sparkSession
+def roc_auc_ovr(result: TrainResult, model_table: DataFrame) -> DataFrame:
+    """One-vs-rest ROC-AUC of every classifier and class on the hold-out: each model is evaluated once."""
     feats = result.clf_features
-    c = SP.stratified_split(model_table.select(ID, *feats, TARGET_CLASS), TARGET_CLASS)
-    test = _assemble(c.where(F.col("split") == "test"), feats)
-    rows = []
-    for name in names:
-        m = result.models.get(("classification", name))
-        if m is None:
+    split = SP.stratified_split(model_table.select(ID, *feats, TARGET_CLASS), TARGET_CLASS)
+    test = split.where((F.col("split") == "test") & F.col(TARGET_CLASS).isNotNull())
+    scored = None
+    for (task, name), m in result.models.items():
+        if task != "classification":
             continue
-        p = m.transform(test).withColumn("_p", vector_to_array("probability"))
-        k = len(m.summary.labels) if hasattr(m, "summary") and m.hasSummary else m.numClasses
-        for cls in range(k):
-            d = p.select((F.col(TARGET_CLASS) == cls).cast("double").alias("label"),
-                         F.col("_p")[cls].alias("score"))
-            auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
-                                                metricName="areaUnderROC", numBins=0).evaluate(d)
-            rows.append((name, cls, float(auc)))
-    return spark.createDataFrame(rows, "model string, class int, auc double")
+        p = class_probabilities(m, assemble(test, feats, getattr(m, "learns_missing", False)), "_p")
+        p = p.select(F.lit(name).alias("model"), F.col(TARGET_CLASS).alias("y"), F.posexplode("_p").alias("class", "score"))
+        scored = p if scored is None else scored.unionByName(p)
+    return MT.rank_sum_auc(scored.select("model", "class", "score", (F.col("y") == F.col("class")).alias("positive")),
+                           ["model", "class"])
