@@ -200,6 +200,15 @@ MIX_P = 2147483647
 MIX_STEPS = ((48271, 0), (1, 1013904223), (69621, 12345), (1, 2654435761))
 
 
+def _mix(x, seed: int):
+    p = F.lit(MIX_P)
+    h = F.pmod(F.pmod(x, p) + F.lit(seed), p)
+    h = F.pmod(h * F.lit(MIX_STEPS[0][0]), p)
+    h = F.pmod(h * h + F.lit(MIX_STEPS[1][1]), p)
+    h = F.pmod(h * F.lit(MIX_STEPS[2][0]) + F.lit(MIX_STEPS[2][1]), p)
+    return F.pmod(h * h + F.lit(MIX_STEPS[3][1]), p)
+
+
 def hash_key(key: str = ID, seed: int = SEED):
     """A per-row pseudo-random key that depends only on the id and seed,
     so samples and splits are identical on re-execution (e.g. after an
@@ -208,12 +217,15 @@ def hash_key(key: str = ID, seed: int = SEED):
     Multiplications and squarings modulo 2^31 − 1 on BIGINT: every
     intermediate stays below 2^63, so it cannot overflow, runs inside
     whole-stage codegen and gives the same value in any SQL engine."""
-    p = F.lit(MIX_P)
-    h = F.pmod(F.pmod(F.col(key).cast("long"), p) + F.lit(seed), p)
-    h = F.pmod(h * F.lit(MIX_STEPS[0][0]), p)
-    h = F.pmod(h * h + F.lit(MIX_STEPS[1][1]), p)
-    h = F.pmod(h * F.lit(MIX_STEPS[2][0]) + F.lit(MIX_STEPS[2][1]), p)
-    return F.pmod(h * h + F.lit(MIX_STEPS[3][1]), p)
+    return _mix(F.col(key).cast("long"), seed)
+
+
+def long_hash_key(key: str = ID, seed: int = SEED):
+    """A 62-bit key of the same kind: two mixed 31-bit halves. The second also
+    takes the id's upper half, so ids that agree in the first differ in it."""
+    first = hash_key(key, seed)
+    second = _mix(first + F.shiftright(F.col(key).cast("long"), 31), seed + 1)
+    return first * F.lit(1 << 31) + second
 
 
 def hash_key_sql(key: str = ID, seed: int = SEED) -> str:
@@ -226,6 +238,11 @@ def hash_key_sql(key: str = ID, seed: int = SEED) -> str:
     return f"(({h} * {h} + {MIX_STEPS[3][1]}) % {p})"
 
 
+def long_hash_key_sql(first: str, key: str = ID, seed: int = SEED) -> str:
+    """The 62-bit key as SQL text, given a column that holds ``hash_key_sql``."""
+    return f"({first} * {1 << 31} + {hash_key_sql(f'({first} + ({key} >> 31))', seed + 1)})"
+
+
 def sample_rows(df: DataFrame, n: int = SAMPLE_SIZE, key: str = ID, seed: int = SEED) -> DataFrame:
     """min(n, rows) rows without replacement: the n smallest hash keys
     (top-k per task, then a merge of k rows per task). A hash threshold that

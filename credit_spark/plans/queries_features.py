@@ -459,26 +459,33 @@ def scatter_data(spark, sf_dir):
                                   TARGET_CLASS))
 
 
-# The rank-th least hash of each class; rows up to it are the test rows.
-_STRATA_SQL = (MODEL.rstrip("\n") + f""",
-_h AS (SELECT applicant_id, {TARGET_CLASS} AS class, {_H} AS h FROM model),
-_cut AS (SELECT class, list_sort(list(h))[CAST(floor(0.2 * count(*) + 0.5) AS BIGINT)] AS cut FROM _h GROUP BY class)
-SELECT applicant_id, class, CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS split
-FROM _h LEFT JOIN _cut ON _h.class IS NOT DISTINCT FROM _cut.class""".replace("SELECT applicant_id, class,", "SELECT applicant_id, _h.class AS class,"))
-
-_SPLIT_SQL = f"CASE WHEN ({_H}) % {SP.BUCKETS} < {int(round(0.2 * SP.BUCKETS))} THEN 'test' ELSE 'train' END"
-
-
-@register("stratified_split", _STRATA_SQL)
+# The test rows of each class are those of least (hash, id); sizes by largest remainder.
+_H62 = D.long_hash_key_sql("h1", "applicant_id")
+_SPLIT_CTES = f"""_h AS (SELECT applicant_id, class, {_H62} AS h
+  FROM (SELECT applicant_id, {TARGET_CLASS} AS class, {_H} AS h1 FROM model)),
+_all AS (SELECT (count(*) + 4) // 5 AS want, count(*) AS n FROM _h),
+_want AS (SELECT class, want * c // n + CASE WHEN row_number() OVER (ORDER BY want * c % n DESC, class NULLS FIRST)
+    <= want - sum(want * c // n) OVER () THEN 1 ELSE 0 END AS want
+  FROM (SELECT class, count(*) AS c FROM _h GROUP BY class), _all),
+_sides AS (SELECT applicant_id, _h.class AS class,
+  CASE WHEN row_number() OVER (PARTITION BY _h.class ORDER BY h, applicant_id) <= _want.want THEN 'test' ELSE 'train' END AS strata,
+  CASE WHEN row_number() OVER (ORDER BY h, applicant_id) <= (SELECT want FROM _all) THEN 'test' ELSE 'train' END AS side
+  FROM _h JOIN _want ON _h.class IS NOT DISTINCT FROM _want.class)"""
+SIDES = MODEL.rstrip("\n") + ",\n" + _SPLIT_CTES
+
+
+@register("stratified_split", SIDES + " SELECT applicant_id, class, strata AS split FROM _sides")
 def stratified_split(spark, sf_dir):
+    """ceil(n / 5) test rows, dealt to the classes by largest remainder."""
     m, _ = _model_df(spark, sf_dir)
     return SP.stratified_split(m.select(ID, TARGET_CLASS), TARGET_CLASS).select(
         ID, F.col(TARGET_CLASS).alias("class"), "split")
 
 
-@register("random_split", MODEL + f"SELECT applicant_id, {_SPLIT_SQL} AS split FROM model")
+@register("random_split", SIDES + " SELECT applicant_id, side AS split FROM _sides")
 def random_split(spark, sf_dir):
-    return SP.random_split(_feat_df(spark, sf_dir).select(ID)).select(ID, "split")
+    """Exactly ceil(n / 5) test rows."""
+    return SP.random_split(S.text(spark, sf_dir).select(ID)).select(ID, "split")
 
 
 # ---------------------------------------------------------------------------
@@ -544,3 +551,26 @@ def regression_metrics(spark, sf_dir):
     """RMSE, MAE, R², MAPE of the rule baseline amount."""
     p = rule_predictions(FE.derive(S.filled(spark, sf_dir)))
     return rounded(MT.regression_metrics(p, "y_amount", "yhat_amount"))
+
+
+# One-vs-rest: every health ratio as a score for every class.
+_AUC_CLASSES = ("Eligible", "High_Risk", "Not_Eligible")
+_AUC_ROWS = " UNION ALL ".join(
+    f"SELECT '{c}' AS class, '{k}' AS score, {k} AS s, {TARGET_CLASS} = '{c}' AS p FROM feat WHERE {k} IS NOT NULL "
+    f"AND {TARGET_CLASS} IS NOT NULL" for c in _AUC_CLASSES for k in RATIO_FEATURES)
+
+
+@register("rank_sum_auc", FILLED.rstrip("\n") + O.features_cte("_filled") + f""",
+_r AS ({_AUC_ROWS}),
+_c AS (SELECT class, score, s, count(*) FILTER (WHERE p) AS pos, count(*) FILTER (WHERE NOT p) AS neg FROM _r GROUP BY ALL),
+_w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY class, score ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  AS below FROM _c)
+SELECT class, score, round(sum(pos * (below + neg / 2)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0), 6) AS auc
+FROM _w GROUP BY class, score""")
+def rank_sum_auc(spark, sf_dir):
+    """ROC-AUC of each health ratio for each class against the rest, all in one pass."""
+    f = FE.derive(S.filled(spark, sf_dir)).where(F.col(TARGET_CLASS).isNotNull())
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.lit(k).alias("score"), F.col(k).alias("s"),
+                                        (F.col(TARGET_CLASS) == c).alias("p"))
+                               for c in _AUC_CLASSES for k in RATIO_FEATURES])).alias("e")
+    return rounded(MT.rank_sum_auc(f.select(each).select("e.*"), ["class", "score"], "s", "p"))

@@ -8,7 +8,7 @@ from ..functions import math as M
 from ..functions import text as X
 from ..operators import recommend as R
 from ..schema import (ADVICE, BADGES, CATEGORICAL, DERIVED, FEATURES, ID, NO_PREDICTION_NOTICE,
-                      SCALED, SKEWED, TARGET_CLASS)
+                      SCALED, SKEWED, TARGET_AMOUNT, TARGET_CLASS)
 from ..session import scratch_path
 from ..streaming.score_stream import start_scoring
 from . import oracle as O
@@ -17,7 +17,7 @@ from . import stages as S
 from . import train as TR
 from .catalog import register, rounded
 from .queries_features import (MODEL, RULE_AMOUNT_SQL, RULE_CLASS_SQL, rule_predictions,
-                               _SPLIT_SQL as RANDOM_SIDE, _STRATA_SQL as STRATA)
+                               SIDES)
 
 FILLED = O.filled_prefix()
 _FITS: dict = {}
@@ -80,12 +80,10 @@ def _run_log_sizes_sql():
     models = (("classification", ("logistic", "random_forest", "boosted_trees")),
               ("regression", ("linear", "random_forest", "boosted_trees")))
     names = ", ".join(f"('{t}', '{m}')" for t, ms in models for m in ms)
-    return (STRATA.split("SELECT applicant_id, _h.class")[0].rstrip("\n") + f""",
-_sides AS (SELECT 'classification' AS task, CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS side
-    FROM _h LEFT JOIN _cut ON _h.class IS NOT DISTINCT FROM _cut.class
-  UNION ALL SELECT 'regression', {RANDOM_SIDE} FROM model)
+    return SIDES + f""",
+_tasks AS (SELECT 'classification' AS task, strata AS side FROM _sides UNION ALL SELECT 'regression', side FROM _sides)
 SELECT m.task, m.model, side || '_rows' AS name, CAST(count(*) AS VARCHAR) AS value
-FROM _sides JOIN (VALUES {names}) AS m(task, model) USING (task) GROUP BY m.task, m.model, side""")
+FROM _tasks JOIN (VALUES {names}) AS m(task, model) USING (task) GROUP BY m.task, m.model, side"""
 
 
 @register("run_log_sizes", _run_log_sizes_sql())
@@ -152,6 +150,100 @@ def stream_score(spark, sf_dir):
     return rounded(spark.read.parquet(out))
 
 
+# ---------------------------------------------------------------------------
+# The first boosting round and least squares, against SQL
+# ---------------------------------------------------------------------------
+
+BOOST_COLS = ("age", "family_size", "dependents", "requested_tenure", "credit_score")
+_CLASSES = ("Eligible", "High_Risk", "Not_Eligible")
+LSQ_COLS = ("monthly_salary", "credit_score", "requested_tenure")
+
+
+def _boost_sql():
+    """Two levels of the first round: every split of every node and class, by gain, then column, then value."""
+    code = f"CASE {TARGET_CLASS} " + " ".join(f"WHEN '{c}' THEN {k}" for k, c in enumerate(_CLASSES)) + " END"
+    long = " UNION ALL ".join(f"SELECT applicant_id, y, {k} AS f, {c} AS v FROM _rows" for k, c in enumerate(BOOST_COLS))
+
+    def level(src, out):
+        score = "pow({g}, 2) / ({h} + 1)"
+        gain = " + ".join(score.format(g=g, h=h) for g, h in (("gl", "hl"), ("gt - gl", "ht - hl")))
+        return f""",
+_{out}a AS (SELECT cls, node, f, v, sum(g) AS g, sum(h) AS h FROM {src} JOIN _long USING (applicant_id) GROUP BY ALL),
+_{out}b AS (SELECT cls, node, f, v, sum(g) OVER up AS gl, sum(h) OVER up AS hl, sum(g) OVER every AS gt, sum(h) OVER every AS ht
+  FROM _{out}a WINDOW up AS (PARTITION BY cls, node, f ORDER BY v ROWS UNBOUNDED PRECEDING),
+  every AS (PARTITION BY cls, node, f)),
+_{out} AS (SELECT * FROM (
+  SELECT *, {gain} - {score.format(g='gt', h='ht')} AS gain FROM _{out}b WHERE hl >= 1 - 1e-9 AND ht - hl >= 1 - 1e-9)
+  WHERE gain > 1e-6 QUALIFY row_number() OVER (PARTITION BY cls, node ORDER BY round(gain, 7) DESC, f, v) = 1)"""
+
+    return (FILLED.rstrip("\n") + f""",
+_rows AS (SELECT applicant_id, {code} AS y, {', '.join(BOOST_COLS)} FROM _filled WHERE {TARGET_CLASS} IS NOT NULL),
+_long AS ({long}),
+_n0 AS (SELECT applicant_id, cls, 0 AS node, CASE WHEN y = cls THEN 1.0::DOUBLE ELSE 0.0 END - 1.0::DOUBLE / 3 AS g,
+  CAST(4 AS DOUBLE) / 9 AS h FROM _rows, (SELECT unnest([0, 1, 2]) AS cls))""" + level("_n0", "s0") + f""",
+_n1 AS (SELECT n.applicant_id, n.cls, CASE WHEN l.v <= s.v THEN 1 ELSE 2 END AS node, n.g, n.h
+  FROM _n0 n JOIN _s0 s USING (cls) JOIN _long l ON l.applicant_id = n.applicant_id AND l.f = s.f)""" + level("_n1", "s1") + f"""
+SELECT CAST(cls AS INTEGER) AS class, CAST(node AS INTEGER) AS node, [{', '.join(O.q(c) for c in BOOST_COLS)}][f + 1] AS feature,
+  round(v, 6) AS cut, round(gain, 5) AS gain, round(0.3 * gl / (hl + 1), 6) AS weight_left,
+  round(0.3 * (gt - gl) / (ht - hl + 1), 6) AS weight_right
+FROM (SELECT * FROM _s0 UNION ALL SELECT * FROM _s1)""")
+
+
+@register("boost_first_round", _boost_sql())
+def boost_first_round(spark, sf_dir):
+    """The splits of the first boosting round, two levels deep, with gains and the weights of both sides."""
+    from ..operators.trees import BoostedTrees
+    rows = S.filled(spark, sf_dir).where(F.col(TARGET_CLASS).isNotNull())
+    code = F.array_position(F.array(*[F.lit(c) for c in _CLASSES]), F.col(TARGET_CLASS)) - 1
+    rows = TR.assemble(rows.select(ID, *BOOST_COLS, code.cast("double").alias("label")), BOOST_COLS)
+    # Every value is a bin: these columns have few, and the bound is checked.
+    values = rows.agg(*[F.array_sort(F.collect_set(F.col(c).cast("double"))).alias(c) for c in BOOST_COLS]).first()
+    import numpy as np
+    cuts = [np.array(v) for v in values]
+    model = BoostedTrees("class", rounds=1, depth=2, cuts=cuts, id_col=ID).fit(rows)
+    out = [(k, n, BOOST_COLS[t.feature[n]], t.cut[n], t.gain[n], _side(t, t.left[n]), _side(t, t.right[n]))
+           for k, t in enumerate(model.trees) for n in range(len(t.feature)) if t.feature[n] >= 0]
+    df = spark.createDataFrame(out, "class int, node int, feature string, cut double, gain double, "
+                                    "weight_left double, weight_right double")
+    return rounded(df).withColumn("gain", F.round("gain", 5))
+
+
+def _side(tree, node):
+    return float(tree.value[node][0])
+
+
+def _lsq_sql():
+    """Slopes by Cramer's rule on the covariances."""
+    x = LSQ_COLS
+    s = lambda i, j: f"s{min(i, j)}{max(i, j)}"
+    cov = [f"covar_pop({x[i]}, {x[j]}) AS s{i}{j}" for i in range(3) for j in range(i, 3)]
+    cov += [f"covar_pop({x[i]}, {TARGET_AMOUNT}) AS t{i}, avg({x[i]}) AS m{i}" for i in range(3)]
+
+    def det(cols):
+        m = [[cols[j](i) for j in range(3)] for i in range(3)]
+        return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - "
+                f"{m[1][2]} * {m[2][0]}) + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+    plain = [lambda i, j=j: s(i, j) for j in range(3)]
+    slopes = [f"{det([(lambda i: f't{i}') if j == k else plain[j] for j in range(3)])} / {det(plain)} AS b{k}"
+              for k in range(3)]
+    rows = " UNION ALL ".join([f"SELECT '{x[k]}' AS term, round(b{k}, 6) AS coefficient FROM _slopes" for k in range(3)]
+                              + ["SELECT 'intercept', round(my - b0 * m0 - b1 * m1 - b2 * m2, 6) FROM _slopes"])
+    return (FILLED.rstrip("\n") + f""",
+_covs AS (SELECT {', '.join(cov)}, avg({TARGET_AMOUNT}) AS my FROM _filled WHERE {TARGET_AMOUNT} IS NOT NULL),
+_slopes AS (SELECT *, {', '.join(slopes)} FROM _covs)
+{rows}""")
+
+
+@register("least_squares", _lsq_sql())
+def least_squares(spark, sf_dir):
+    """The amount on three inputs by ordinary least squares."""
+    from ..operators.least_squares import LeastSquares
+    rows = S.filled(spark, sf_dir).select(ID, *LSQ_COLS, F.col(TARGET_AMOUNT).alias("label"))
+    m = LeastSquares().fit(TR.assemble(rows, LSQ_COLS))
+    return rounded(spark.createDataFrame([*zip(LSQ_COLS, m.coefficients), ("intercept", m.intercept)],
+                                         "term string, coefficient double"))
+
+
 # ---------------------------------------------------------------------------
 # Recommendations and display, on rule-baseline predictions
 # ---------------------------------------------------------------------------
