@@ -54,9 +54,9 @@ def row_count(df: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, cols) -> DataFrame:
     """count, mean, sample std, min, exact 25/50/75 % and max per column.
 
-    One aggregate gives the moments together with the sizes the exact
-    quantiles need (count, min, max), then come the quantiles' rounds; the result (one row per column) is built from both."""
-    from .quantiles import quantiles
+    One aggregate gives the moments together with the sizes and the sketch
+    that the exact quantiles need, then mostly one more scan counts them; the result (one row per column) is built from both."""
+    from .quantiles import quantiles, sketch_agg
     cols = list(cols)
     if not cols:
         return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
@@ -65,9 +65,9 @@ def describe_numeric(df: DataFrame, cols) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mu{i}"),
                  F.stddev_samp(x).alias(f"sd{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}")]
+                 F.max(x).alias(f"hi{i}"), sketch_agg(x).alias(f"q{i}")]
     r = df.agg(*aggs).first()
-    sizes = {c: {"n": r[f"n{i}"], "min": r[f"lo{i}"], "max": r[f"hi{i}"],
+    sizes = {c: {"n": r[f"n{i}"], "min": r[f"lo{i}"], "max": r[f"hi{i}"], "grid": r[f"q{i}"],
                  "rows": r["rows"]} for i, c in enumerate(cols)}
     qs = quantiles(df, cols, [0.25, 0.5, 0.75], sizes=sizes)
     rows = []

@@ -13,6 +13,13 @@ when every bracket holds one value. The smallest value of a bracket is in
 its first bin and the largest in its last one, so every round shrinks every
 bracket; there is no limit on rounds, on distinct values or on rows.
 
+The sizing pass also builds a mergeable quantile sketch of each column
+(``GRID`` + 1 values whose ranks are known to n / ``ACCURACY``). The first
+round then counts a column's rows before, in and after the narrow brackets
+that the sketch gives for its ranks, and tells the values inside apart, by
+value while they are few. So the common case takes two scans: sizes, counts.
+A wrong sketch would cost rounds, not exactness: every count is of real rows.
+
 A round shuffles at most (tasks × brackets × ``BINS``) small rows. The
 running count over a bracket's bins sees ``BINS`` rows, and one row for each
 bracket and rank reaches the driver.
@@ -29,6 +36,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 1024
+GRID = 1024
+ACCURACY = 10_000
+# Rows inside all brackets up to which the first round tells single values apart.
+FEW_VALUES = 1 << 20
 
 
 def _bin(x, lo: float, hi: float):
@@ -38,9 +49,80 @@ def _bin(x, lo: float, hi: float):
     return F.when(x >= F.lit(hi), BINS - 1).otherwise(F.least(F.lit(BINS - 1), F.floor(step))).cast("int")
 
 
+def sketch_agg(x):
+    """The sketch's values of one column, for the aggregate that sizes it."""
+    # One text, as a thousand literals for each column would take seconds to plan.
+    grid = " ".join(str(k / GRID) for k in range(GRID + 1))
+    return F.percentile_approx(x, F.split(F.lit(grid), " ").cast("array<double>"), ACCURACY)
+
+
+def _brackets(ranks, size: dict) -> list:
+    """Disjoint, rising [lo, hi] from the sketch that hold the values at ``ranks``."""
+    n, grid = size["n"], size["grid"]
+    slack = n / ACCURACY + 1
+    out = []
+    for r in sorted(ranks):
+        a, b = math.floor((r - slack) / n * GRID) - 1, math.ceil((r + 1 + slack) / n * GRID) + 1
+        lo = size["min"] if a < 0 else max(size["min"], grid[a])
+        hi = size["max"] if b > GRID else min(size["max"], grid[b])
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
+
+
+def _from_sketch(df: DataFrame, targets, sizes: dict) -> dict:
+    """{(column, rank): (lo, hi, rows below)} after one scan of all columns."""
+    ranks: dict = {}
+    for c, r in targets:
+        ranks.setdefault(c, []).append(r)
+    inside = sum(len(r) * sizes[c]["n"] * (2 / GRID + 2 / ACCURACY) for c, r in ranks.items())
+    items, wanted = [], []
+    for i, (c, own) in enumerate(ranks.items()):
+        x = F.col(c).cast("double")
+        # Regions: 0 before the first bracket, 1 the first, 2 between it and the second, and so on.
+        region, key = None, None
+        for j, (lo, hi) in enumerate(_brackets(own, sizes[c])):
+            k = x if inside <= FEW_VALUES else _bin(x, lo, hi).cast("double") if lo < hi else F.lit(0.0)
+            within = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            below = x < F.lit(lo)
+            region = F.when(below, 2 * j).when(within, 2 * j + 1) if region is None else \
+                region.when(below, 2 * j).when(within, 2 * j + 1)
+            key = F.when(below, F.lit(0.0)).when(within, k) if key is None else \
+                key.when(below, F.lit(0.0)).when(within, k)
+            last = 2 * j + 2
+        items.append(F.when(x.isNotNull(), F.struct(F.lit(i).alias("g"), region.otherwise(last).alias("r"),
+                                                    key.otherwise(0.0).alias("k"), x.alias("x"))))
+        wanted.append(F.array(*[F.lit(r).cast("long") for r in own]))
+    hits = _cells(df, items, ["g", "r", "k"], ["r", "mn"], wanted)
+    owners, state = list(ranks.items()), {}
+    for h in hits:
+        c, own = owners[h["g"]]
+        first = h["last"] - h["n"]
+        for r in own:
+            if first <= r < h["last"]:
+                state[(c, r)] = (h["mn"], h["mx"], first)
+    return state
+
+
+def _cells(df: DataFrame, items, keys, order, wanted) -> list:
+    """One scan: rows of every cell, and of those the cells that hold a wanted rank."""
+    cells = (df.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("_e"))
+             .groupBy(*[F.col(f"_e.{k}").alias(k) for k in keys])
+             .agg(F.count(F.lit(1)).alias("n"), F.min("_e.x").alias("mn"), F.max("_e.x").alias("mx")))
+    upto = Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = F.get(F.array(*wanted), F.col("g"))
+    return (cells.withColumn("last", F.sum("n").over(upto))
+            .where(F.exists(ranks, lambda j: (j >= F.col("last") - F.col("n")) & (j < F.col("last")))).collect())
+
+
 def _refine(df: DataFrame, targets, sizes: dict) -> dict:
     """(column, rank) targets → {(column, rank): value}."""
     state = {t: (sizes[t[0]]["min"], sizes[t[0]]["max"], 0) for t in targets}     # lo, hi, rows below
+    sketched = [t for t in targets if sizes[t[0]].get("grid") and state[t][0] < state[t][1]]
+    if sketched:
+        state.update(_from_sketch(df, sketched, sizes))
     result = {}
     while True:
         for t, (lo, hi, _) in state.items():
@@ -59,13 +141,7 @@ def _refine(df: DataFrame, targets, sizes: dict) -> dict:
             items.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(
                 F.lit(g).alias("g"), _bin(x, lo, hi).alias("k"), x.alias("x"))))
             wanted.append(F.array(*[F.lit(t[1] - below).cast("long") for t in own]))
-        cells = (df.select(F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("_e"))
-                 .groupBy("_e.g", "_e.k")
-                 .agg(F.count(F.lit(1)).alias("n"), F.min("_e.x").alias("mn"), F.max("_e.x").alias("mx")))
-        upto = Window.partitionBy("g").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranks = F.get(F.array(*wanted), F.col("g"))
-        hits = (cells.withColumn("last", F.sum("n").over(upto))
-                .where(F.exists(ranks, lambda j: (j >= F.col("last") - F.col("n")) & (j < F.col("last")))).collect())
+        hits = _cells(df, items, ["g", "k"], ["k"], wanted)
         owners = list(brackets.items())
         for r in hits:
             (_, _, _, below), own = owners[r["g"]]
@@ -76,13 +152,14 @@ def _refine(df: DataFrame, targets, sizes: dict) -> dict:
 
 
 def column_sizes(df: DataFrame, cols) -> dict:
-    """rows, count, min and max of each column."""
+    """rows, count, min, max and sketch of each column, in one pass."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 sketch_agg(x).alias(f"q{i}")]
     row = df.agg(*aggs).first()
-    return {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
+    return {c: {"n": row[f"n{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"], "grid": row[f"q{i}"],
                 "rows": row["rows"]} for i, c in enumerate(cols)}
 
 

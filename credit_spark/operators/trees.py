@@ -521,23 +521,36 @@ class TreeModel:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_cache"}
 
-    def expressions(self, x: list[Column]) -> list[Column]:
-        """The scores as expressions, one for each output; for small models."""
-        def walk(tree: Tree, node: int, col: int) -> Column:
+    def _compiled(self, leaf: Callable, branch: Callable, add: Callable, over: Callable) -> list:
+        """The scores built from ``leaf(value)``, ``branch(feature, cut, missing left, left, right)`` and sums."""
+        def walk(tree: Tree, node: int, col: int):
             if tree.feature[node] < 0:
-                return F.lit(float(tree.value[node][col]))
-            v = x[tree.feature[node]]
-            go = v.isNull() | F.isnan(v) if tree.missing_left[node] else F.lit(False)
-            real = v.isNotNull() & ~F.isnan(v)
-            return F.when(go | (real & (v <= F.lit(tree.cut[node]))), walk(tree, tree.left[node], col)).otherwise(
-                walk(tree, tree.right[node], col))
-        cols = [F.lit(float(b)) for b in self.base]
+                return leaf(float(tree.value[node][col]))
+            return branch(tree.feature[node], tree.cut[node], tree.missing_left[node],
+                          walk(tree, tree.left[node], col), walk(tree, tree.right[node], col))
+        cols = [leaf(float(b)) for b in self.base]
         for k, tree in enumerate(self.trees):
             if self.learns_missing:
-                cols[self._out(k)] = cols[self._out(k)] + walk(tree, 0, 0)
+                cols[self._out(k)] = add(cols[self._out(k)], walk(tree, 0, 0))
             else:
-                cols = [c + walk(tree, 0, j) for j, c in enumerate(cols)]
-        return cols if self.learns_missing else [c / F.lit(float(max(len(self.trees), 1))) for c in cols]
+                cols = [add(c, walk(tree, 0, j)) for j, c in enumerate(cols)]
+        return cols if self.learns_missing else [over(c, leaf(float(max(len(self.trees), 1)))) for c in cols]
+
+    def expressions(self, x: list[Column]) -> list[Column]:
+        """The scores as expressions, one for each output; for small models."""
+        def branch(f, cut, missing_left, left, right):
+            gap = x[f].isNull() | F.isnan(x[f])
+            go = (gap | (x[f] <= F.lit(cut))) if missing_left else (~gap & (x[f] <= F.lit(cut)))
+            return F.when(go, left).otherwise(right)
+        return self._compiled(F.lit, branch, lambda a, b: a + b, lambda a, b: a / b)
+
+    def sql(self, x: list[str]) -> list[str]:
+        """The same scores as SQL text over column expressions; a missing value is NULL there."""
+        def branch(f, cut, missing_left, left, right):
+            gap = f"OR {x[f]} IS NULL" if missing_left else f"AND {x[f]} IS NOT NULL"
+            return f"CASE WHEN {x[f]} <= {cut!r} {gap} THEN {left} ELSE {right} END"
+        return self._compiled(lambda v: f"CAST({v!r} AS DOUBLE)", branch, lambda a, b: f"{a} + {b}",
+                              lambda a, b: f"({a}) / {b}")
 
     def transform(self, df: DataFrame, features: str = "features", prediction: str = "prediction",
                   scores: str | None = None) -> DataFrame:
@@ -600,7 +613,7 @@ def table_for(df: DataFrame, id_col: str, margins: list | None = None) -> DataFr
 
 def quantile_cuts(data: DataFrame, width: int, bins: int = BINS) -> list[np.ndarray]:
     """Cut points of every feature at equal shares of rows, from one mergeable sketch each, in one pass."""
-    probs = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    probs = F.split(F.lit(" ".join(str(k / bins) for k in range(1, bins))), " ").cast("array<double>")
     one = lambda k: F.when(~F.isnan(F.get("x", k)), F.get("x", k))
     got = data.agg(*[F.percentile_approx(one(k), probs, 100 * bins).alias(f"q{k}") for k in range(width)]).first()
     return [np.unique(np.array(q if q is not None else [], dtype=float)) for q in got]

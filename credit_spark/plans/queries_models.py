@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import math as M
 from ..functions import text as X
 from ..operators import recommend as R
+from ..operators.least_squares import LinearModel
+from ..operators.trees import Tree, TreeModel
 from ..schema import (ADVICE, BADGES, CATEGORICAL, DERIVED, FEATURES, ID, NO_PREDICTION_NOTICE,
                       SCALED, SKEWED, TARGET_AMOUNT, TARGET_CLASS)
 from ..session import scratch_path
@@ -123,6 +125,56 @@ def score_features(spark, sf_dir):
     return rounded(model.features(_score_input(spark, sf_dir)).select(ID, *FEATURES, *DERIVED))
 
 
+def _fixed_tree(*splits) -> Tree:
+    """A tree of (node, feature, cut, missing left, value left, value right), children numbered as they come."""
+    t = Tree()
+    for node, feature, cut, missing_left, low, high in splits:
+        a, b = t.split(node, feature, cut, missing_left, 1.0)
+        t.value[a], t.value[b] = [low], [high]
+    return t
+
+
+# A fixed model, so that the whole scoring chain can be checked by SQL.
+FIXED_CLF_COLS = ["monthly_salary", "affordability_ratio", "debt_to_income", "employment_type", "total_monthly_expenses"]
+FIXED_REG_COLS = ["monthly_salary", "monthly_disposable", TARGET_CLASS, "credit_score", "gender"]
+FIXED_CLASSIFIER = TreeModel("softmax", 3, len(FIXED_CLF_COLS), [0.5, 0.25, 0.5], [
+    _fixed_tree((0, 1, 0.0173, False, -0.4, 0.6), (2, 2, -0.3139, True, 0.9, 0.2)),
+    _fixed_tree((0, 2, 0.4271, True, 0.1, 0.5), (1, 3, 0.5, False, 0.3, -0.1)),
+    _fixed_tree((0, 0, -0.1937, False, 0.7, -0.3), (1, 4, 20.7311, True, 0.15, 0.75)),
+    _fixed_tree((0, 0, 0.8713, True, -0.05, 0.4)),
+    _fixed_tree((0, 1, -0.5519, False, -0.2, 0.25), (2, 0, 0.3377, True, 0.3, 0.05)),
+    _fixed_tree((0, 3, 1.5, False, 0.02, 0.11))])
+FIXED_REGRESSOR = LinearModel([0.37, 0.211, -0.458, 0.052, 0.013], 0.091)
+
+
+def _score_fixed_sql():
+    feats = _score_features_sql()
+    at = feats.rindex("SELECT ")
+    # The same features, not rounded.
+    plain = feats[at:].replace("round(", "(").replace(", 6)", ")")
+    s = FIXED_CLASSIFIER.sql([f"f.{c}" for c in FIXED_CLF_COLS])
+    reg = FIXED_REGRESSOR.sql([f"CAST({c} AS DOUBLE)" for c in FIXED_REG_COLS])
+    return feats[:at].rstrip() + f""",
+_f AS ({plain}),
+_m AS (SELECT f.*, {', '.join(f'{e} AS m{k}' for k, e in enumerate(s))} FROM _f f),
+_c AS (SELECT *, CASE WHEN m0 >= m1 AND m0 >= m2 THEN 0 WHEN m1 >= m2 THEN 1 ELSE 2 END AS {TARGET_CLASS} FROM _m)
+SELECT applicant_id, coalesce(k.v, CAST(_c.{TARGET_CLASS} AS VARCHAR)) AS eligibility,
+  greatest(0.0, round_even(({reg.replace(f'CAST({TARGET_CLASS}', f'CAST(_c.{TARGET_CLASS}')}) * CASE WHEN sd_{TARGET_AMOUNT} = 0 THEN 1.0
+    ELSE sd_{TARGET_AMOUNT} END + mu_{TARGET_AMOUNT}, 2)) AS max_monthly_emi
+FROM _c CROSS JOIN _sc LEFT JOIN _k_{TARGET_CLASS} k ON k.code = _c.{TARGET_CLASS}"""
+
+
+@register("score_fixed_model", _score_fixed_sql())
+def score_fixed_model(spark, sf_dir):
+    """The scoring chain with a fixed model: features, class, decoding, the class into the regressor,
+    inverted scaling, floor and rounding."""
+    from ..operators import encode as E
+    from ..operators import features as FE
+    fz = E.fit_featurizer(FE.derive(S.cleaned(spark, sf_dir)))
+    model = SC.ScoringModel(fz, FIXED_CLF_COLS, FIXED_REG_COLS, FIXED_CLASSIFIER, FIXED_REGRESSOR)
+    return rounded(model.transform(_score_input(spark, sf_dir)))
+
+
 @register("score_eligibility")
 def score_eligibility(spark, sf_dir):
     """Predicted class of every applicant (best classifier)."""

@@ -65,3 +65,32 @@ def test_extreme_ranges_end(spark):
     sizes = Q.column_sizes(df, ["x"])
     got = Q.order_statistics(df, {"x": range(len(values))}, sizes)["x"]
     assert [got[j] for j in range(len(values))] == sorted(values)
+
+
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_two_scans_in_the_common_case(spark, monkeypatch, few):
+    """Sizes with a sketch, then counts; telling values apart by bins, for many rows, may take more."""
+    rng = np.random.default_rng(3)
+    a, b = rng.lognormal(3, 2, 30_000), np.round(rng.normal(size=30_000), 1)
+    a[:9000] = 42.0
+    rows = [(float(x), float(y) if i % 9 else None, 5.0) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5).cache()
+    scans, cells = [], Q._cells
+    monkeypatch.setattr(Q, "FEW_VALUES", few)
+    monkeypatch.setattr(Q, "_cells", lambda *args: scans.append(1) or cells(*args))
+    probs = [0.0, 0.001, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
+    got = Q.quantiles(df, ["a", "b", "c"], probs)
+    bb = np.array([r[1] for r in rows if r[1] is not None])
+    for c, arr in (("a", a), ("b", bb), ("c", np.full(5, 5.0))):
+        assert np.allclose(got[c], np.percentile(arr, [p * 100 for p in probs]), rtol=1e-12, atol=1e-12), c
+    assert len(scans) == 1 if few else len(scans) <= 3
+
+
+def test_a_wrong_sketch_costs_rounds_only(spark):
+    values = [float(k * k % 977) for k in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    sizes = Q.column_sizes(df, ["x"])
+    for grid in ([0.0] * (Q.GRID + 1), [500.0] * (Q.GRID + 1), [976.0] * (Q.GRID + 1)):
+        sizes["x"]["grid"] = grid
+        got = Q.order_statistics(df, {"x": [0, 3, 700, 1500, 1999]}, sizes)["x"]
+        assert got == {r: sorted(values)[r] for r in (0, 3, 700, 1500, 1999)}
