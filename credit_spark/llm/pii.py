@@ -50,7 +50,9 @@ _SPELLED = re.compile(
     rf"(?<![A-Za-z])(?:(?i:plus)[\x20-]+)?(?i:{_DIGIT_WORD}|[0-9])"
     rf"(?:[\x20,.-]{{1,2}}(?i:{_DIGIT_WORD}|[0-9])(?![A-Za-z])){{2,}}")
 _SPELLED_PART = re.compile(rf"(?i:(plus)|({_DIGIT_WORD}))|([0-9])")
-_AT = re.compile(r"\s*[(\[{<]\s*(?i:at|@)\s*[)\]}>]\s*"
+# Blanks before a bracket are taken from the start of their run only: else a long run would be
+# scanned once from each of its characters.
+_AT = re.compile(r"(?:(?<!\s)\s+)?[(\[{<]\s*(?i:at|@)\s*[)\]}>]\s*"
                  r"|(?<=[A-Za-z0-9])\s+(?i:at)\s+(?=[A-Za-z0-9-]+(?:\.|\s*[(\[{<]\s*(?i:dot)|\s+(?i:dot)\s))"
                  # "at jane.doe@...": the at-sign comes later
                  r"(?![A-Za-z0-9._%+-]+(?:@|\s*[(\[{<]\s*(?i:at|@)))")

@@ -283,3 +283,15 @@ def test_leaks_on_awkward_rows(spark):
     assert decontaminate.clean(docs, bench).columns == docs.columns
     assert decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.find_leaks(empty(spark), bench, ["doc_id"]).count() == 0
+
+
+def test_runs_of_blanks_are_scanned_once():
+    import time
+    for blank in (" ", "\t", "\n", "\u00a0"):
+        text = "jane (at) example (dot) com" + blank * 200_000 + "x (at) y" + blank * 100_000 + "( at )"
+        begin = time.thread_time()
+        found = pii.disguised(text, pii.find(text))
+        assert time.thread_time() - begin < 3
+        assert ("email", 0, 27) in found
+    # Two brackets in a row, and blanks on both sides, as before.
+    assert [m.span() for m in pii._AT.finditer("a  (at) [at]  b")] == [(1, 8), (8, 14)]
