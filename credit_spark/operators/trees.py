@@ -40,7 +40,7 @@ JOB_CELLS = 16 << 20
 # Boosting rounds between two writings of the margins.
 ROUNDS_KEPT = 10
 # Trees of more nodes in all aren't compiled to expressions.
-COMPILED_NODES = 1_000
+COMPILED_NODES = 200
 TINY_GAIN = 1e-6
 MISSING = -1
 
