@@ -22,7 +22,13 @@ DEFAULT_CONF = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "credit_spark") -> SparkSession:
-    """A local session for tests and benchmarks (clusters bring their own)."""
+    """A local session for tests and benchmarks (clusters bring their own).
+
+    Python workers find the package whatever the working folder is."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *known])
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
