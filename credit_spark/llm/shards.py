@@ -9,10 +9,10 @@ of the dimensions can skip most files by their minima and maxima.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ranked
+from .common import ranked, stored
 
 BITS = 5
 
@@ -69,9 +69,45 @@ def with_curve_index(df: DataFrame, cells: list[str], bits: int, name: str) -> D
     return out.drop("_state", "_step")
 
 
-def text_position(value: Column) -> Column:
-    """A string's first six bytes as a number, which keeps the order of strings."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("long")
+def string_steps(df: DataFrame, names: list[str], bits: int) -> dict[str, list[tuple[int, str]]]:
+    """For each string column: the steps that its values take, and each step's least value.
+
+    Whole values are ordered by their UTF-8 bytes, null first. A column of
+    2**bits distinct values at most gives each a step of its own; else a
+    value's step is that of the rows before it: 2**bits quantiles. All
+    columns are counted in one shuffle; running counts come from range
+    partitions and one offset each. Steps grow with the values, so their
+    least values (2**bits a column at most) are all that reaches the driver.
+    """
+    if not names:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("dim"), F.col(n).cast("string").alias("value"))
+                                for k, n in enumerate(names)])).alias("p")
+    counts = stored(df.select(pairs).groupBy("p.dim", "p.value").agg(F.count(F.lit(1)).alias("n"))
+                    .repartitionByRange("dim", "value").withColumn("part", F.spark_partition_id()), "string-values")
+    # One row for each column and shuffle partition.
+    before = Window.partitionBy("dim").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("dim", "part").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"))
+    offsets = parts.select(
+        "dim", "part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("rows", "values")],
+        *[F.sum(c).over(Window.partitionBy("dim")).alias(f"all_{c}") for c in ("rows", "values")])
+    inside = Window.partitionBy("dim", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.lit(1 << bits).cast("decimal(20,0)")
+    at_row = F.col("rows_before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    at_value = F.col("values_before") + F.count(F.lit(1)).over(inside)
+    step = F.when(F.col("all_values") <= (1 << bits), F.floor(at_value * size / F.col("all_values"))).otherwise(
+        F.floor(at_row * size / F.col("all_rows")))
+    least = (counts.join(F.broadcast(offsets), ["dim", "part"]).select("dim", "value", step.cast("int").alias("step"))
+             .groupBy("dim", "step").agg(F.min("value").alias("value")).where("value IS NOT NULL").collect())
+    return {n: sorted((r.step, r.value) for r in least if r.dim == k) for k, n in enumerate(names)}
+
+
+def string_step(value: Column, steps: list[tuple[int, str]]) -> Column:
+    """The step of a string: that of the greatest least value up to it. Null: 0."""
+    out = None
+    for step, least in reversed(steps):
+        out = F.when(value >= F.lit(least), step) if out is None else out.when(value >= F.lit(least), step)
+    return F.lit(0) if out is None else out.otherwise(0)
 
 
 def size_position(value: Column) -> Column:
@@ -80,22 +116,25 @@ def size_position(value: Column) -> Column:
     return (2 * F.length(bits) + F.when(F.substring(bits, 2, 1) == "1", 1).otherwise(0)).cast("long")
 
 
-def quantised(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataFrame:
-    """Add columns ``_q0``, ... : each dimension in 2**bits equal steps from its least to its largest value.
+def quantised(df: DataFrame, strings: list[str], counts: list[str], bits: int = BITS) -> DataFrame:
+    """Add columns ``_q0``, ... : each dimension in 2**bits steps, the string columns first.
 
-    One aggregate over all rows finds the bounds. A null takes step 0.
+    Strings take the steps of ``string_steps``; counts equal steps from the
+    least to the largest ``size_position``, whose bounds come from one
+    aggregate over all rows. A null takes step 0.
     """
-    placed = df.withColumns({f"_q{k}": v for k, v in enumerate(dims.values())})
-    bounds = placed.agg(*[f(f"_q{k}").alias(f"{n}{k}") for k in range(len(dims)) for n, f in
-                          (("lo", F.min), ("hi", F.max))]).first()
-    steps = {}
-    for k in range(len(dims)):
-        lo, hi = bounds[f"lo{k}"] or 0, bounds[f"hi{k}"] or 0
-        scaled = F.floor((F.col(f"_q{k}") - lo).cast("decimal(20,0)") * (1 << bits) / (hi - lo + 1))
+    names = string_steps(df, strings, bits)
+    steps = {f"_q{k}": string_step(F.col(n).cast("string"), names[n]) for k, n in enumerate(strings)}
+    sized = {f"_q{k}": size_position(F.col(n)) for k, n in enumerate(counts, len(strings))}
+    bounds = df.agg(F.lit(0), *[f(v).alias(f"{n}{q}") for q, v in sized.items()
+                                for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    for q, v in sized.items():
+        lo, hi = bounds[f"lo{q}"] or 0, bounds[f"hi{q}"] or 0
+        scaled = F.floor((v - lo).cast("decimal(20,0)") * (1 << bits) / (hi - lo + 1))
         # Kept in range also where a source gives other rows when it is read again.
         inside = F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), scaled))
-        steps[f"_q{k}"] = F.when(F.col(f"_q{k}").isNull(), 0).otherwise(inside.cast("int"))
-    return placed.withColumns(steps)
+        steps[q] = F.when(v.isNull(), 0).otherwise(inside.cast("int"))
+    return df.withColumns(steps)
 
 
 def _placed(docs: DataFrame, shards: int, carry: list[str], id_col: str = "doc_id", text_col: str = "text",
@@ -108,11 +147,10 @@ def _placed(docs: DataFrame, shards: int, carry: list[str], id_col: str = "doc_i
         F.col(id_col).alias("id"), *[F.col(c).alias(d) for d, c in zip(names, (*strings, *counts), strict=True)],
         (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         *([F.struct(*carry).alias("row")] if carry else []))
-    dims = {n: text_position(F.col(n).cast("string")) if k < len(strings) else size_position(F.col(n))
-            for k, n in enumerate(names)}
-    cells = [f"_q{k}" for k in range(len(dims))]
-    # The bounds come from the metadata columns alone: the texts aren't read for them.
-    curved = with_curve_index(quantised(slim, dims, bits), cells, bits, "curve_index").drop(*cells)
+    cells = [f"_q{k}" for k in range(len(names))]
+    # The steps come from the metadata columns alone: the texts aren't read for them.
+    stepped = quantised(slim, names[:len(strings)], names[len(strings):], bits)
+    curved = with_curve_index(stepped, cells, bits, "curve_index").drop(*cells)
     order = [F.col("curve_index"), *[F.col(n) for n in names], F.col("id"), F.col("text_crc32")]
     placed = ranked(curved, order, "rank", "curve-order")
     total = placed.count()
@@ -131,6 +169,8 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     columns that are the dimensions, and ``bits`` of the grid.
 
     - null text: no bytes, as the empty text; null metadata: step 0
+    - hot values: a value is one row of the counts, and its rows spread over
+      the shards by the other dimensions, then by id
     - null ids, ties and repeated rows: a row each, ranked in any order
     - fewer rows than shards: some shards stay empty; empty table: no rows
     - equal texts may lie in different shards, as their metadata say

@@ -1,7 +1,9 @@
+import random
 import zlib
 from itertools import product
 
 from credit_spark.llm import chat, quality, shards
+from pyspark.sql import functions as F
 
 from .helpers import DOCS, awkward, empty, rows
 
@@ -47,6 +49,77 @@ def test_equal_rows_spread_over_shards(spark):
     assert sorted(r[1] + 1 for r in out) == [62] * 8 + [63] * 8
 
 
+def test_string_steps_equal_brute_force(spark):
+    rng = random.Random(5)
+    hot = [rng.choice(["https://a.example/x"] * 300 + [f"https://a.example/{i:03d}" for i in range(90)] + [None, ""])
+           for _ in range(3000)]
+    few = [rng.choice(["en"] * 30 + ["es", "fr", "de", None]) for _ in hot]
+    df = spark.createDataFrame(list(zip(hot, few)), "a string, b string").repartition(7)
+    got = df.select("a", "b", *[
+        shards.string_step(F.col(c), shards.string_steps(df, ["a", "b"], 4)[c]).alias(f"s_{c}") for c in "ab"]).distinct()
+    for name, values in (("a", hot), ("b", few)):
+        order = sorted(set(values), key=lambda v: (v is not None, (v or "").encode()))
+        want = {}
+        for k, v in enumerate(order):
+            rank = k * 16 // len(order) if len(order) <= 16 else sum(
+                values.count(o) for o in order[:k]) * 16 // len(values)
+            want[v] = rank
+        assert {r[name]: r[f"s_{name}"] for r in got.collect()} == want
+    assert len({r.s_b for r in got.collect()}) == 5
+    assert shards.string_steps(df.limit(0), ["a"], 4) == {"a": []} and shards.string_steps(df, [], 4) == {}
+
+
+def test_shards_hold_few_languages_and_sources(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    steps = shards.string_steps(docs, ["lang", "source"], shards.BITS)
+    for c in ("lang", "source"):
+        values = docs.select(c).distinct().where(F.col(c).isNotNull()).count()
+        assert len(steps[c]) == values        # a step for each
+    placed = shards.assign_shards(docs, 16).join(docs.dropDuplicates(["doc_id"]), "doc_id")
+    spread = placed.groupBy("shard").agg(F.countDistinct("lang").alias("langs")).agg(F.avg("langs")).first()[0]
+    assert spread < docs.select("lang").distinct().count()
+
+
+def brute_curve(n, bits):
+    """Cells of the n-dimensional grid in curve order, by the published coordinate transform."""
+    out = []
+    for h in range(1 << (n * bits)):
+        x = [0] * n
+        for k in range(n * bits):
+            if h >> (n * bits - 1 - k) & 1:
+                x[k % n] |= 1 << (bits - 1 - k // n)
+        t = x[n - 1] >> 1
+        for i in range(n - 1, 0, -1):
+            x[i] ^= x[i - 1]
+        x[0] ^= t
+        q = 2
+        while q != 1 << bits:
+            for i in range(n - 1, -1, -1):
+                if x[i] & q:
+                    x[0] ^= q - 1
+                else:
+                    t = (x[0] ^ x[i]) & (q - 1)
+                    x[0] ^= t
+                    x[i] ^= t
+            q <<= 1
+        out.append(tuple(x))
+    return out
+
+
+def test_curve_has_the_shape_of_another_construction(spark):
+    # In two dimensions, constructions differ by the order and direction of the axes only.
+    bits = 3
+    cells = spark.range(64).select((F.col("id") % 8).cast("int").alias("x"), F.floor(F.col("id") / 8).cast("int").alias("y"))
+    got = [(r.x, r.y) for r in shards.with_curve_index(cells, ["x", "y"], bits, "h").orderBy("h").collect()]
+    want = brute_curve(2, bits)
+    forms = []
+    for swap, fx, fy in product((0, 1), repeat=3):
+        form = [((7 - a) if fx else a, (7 - b) if fy else b) for a, b in want]
+        form = [(b, a) for a, b in form] if swap else form
+        forms += [form, form[::-1]]
+    assert got in forms
+
+
 def test_written_shards(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     shards.write_shards(docs, str(tmp_path / "out"), 4)
