@@ -16,14 +16,15 @@ from math import log10
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text
+from .common import map_text, stored
 
 # Guesses (as a power of ten) from which a value counts as a secret.
 MIN_LOG10_GUESSES = 10.0
 # Kinds of characters (lower, upper, digits, other) that such a value has at least: any value is rated.
 MIN_CLASSES = 1
 # The commonest words of the corpus are known to guessers, too: so many at most, of so many
-# letters, in so many documents at least. Only this list is limited by them.
+# letters, in so many documents at least. Only this list is limited by them. Words of equal
+# count are taken together or not at all.
 CORPUS_WORDS = 20_000
 WORD_LETTERS = (3, 24)
 WORD_DOCS = 3
@@ -39,11 +40,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 # A whole identifier (perhaps with " key" behind it) and the sign that gives it a value.
 CONTEXT = re.compile(
-    r"(?<![\w-])([\w-]++(?:\x20(?ai:keys?)(?![\w-]))?)[\"'`]?\]?\s*+(?:(?ai:is)\b\s*+:?|[:=]+>?)\s*+")
+    r"(?<![\w-])((?ai:mot[ -]de[ -]passe)(?![\w-])|[\w-]++(?:\x20(?ai:keys?)(?![\w-]))?)[\"'`]?\]?\s*+"
+    r"(?:(?ai:(is|ist|est|es))\b\s*+(:)?|[:=]+>?)\s*+(?:(?ai:bearer|basic)\x20++)?")
 # Credential words: the long ones anywhere in an identifier, the short ones as a part of it by
 # underscore, hyphen, digit or camel case (not "compass", "author", "spinning").
 KEY = re.compile(
-    r"(?ai:passw(?:or)?d|passphrase|passcode|pwd|secret|token|api[ _-]?key|credential)"
+    r"(?ai:passw(?:or)?d|passphrase|passcode|pwd|secret|token|api[ _-]?key|credential|authorization"
+    r"|passwort|kennwort|contrase[\u00f1n]a|mot[ _-]?de[ _-]?passe)|(?<![^\W\d_])(?ai:clave)(?![^\W\d_])"
     r"|(?<![^\W\d_])(?ai:pass|pin|auth)(?![^\W\d_])"
     r"|(?<![^\W\d_])(?:[Pp]ass|[Pp]in|[Aa]uth)(?=[A-Z])"
     r"|(?<=[a-z])(?:P(?:ass|ASS|in|IN)|A(?:uth|UTH))(?![a-z])")
@@ -51,7 +54,9 @@ QUOTED = re.compile(r"([\"'`])((?:(?!\1)[^\\\n]|\\.)*+)\1")
 # A comma, semicolon or ampersand before the next name with a value ends a bare value.
 BARE = re.compile(r"[\"'`]?((?:[^\s\"'`,;&<]|[,;&](?!\s*+[\w-]++\s*+[:=])|<(?!/))++)")
 # Any match of ASSIGN or CONTEXT holds one of these, in lower case.
-HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "credential", "auth")
+HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "credential", "auth", "kennwort", "contrase", "clave")
+# Behind a bare "is", plain words go on with the sentence unless they are quoted ("is case-sensitive").
+PROSE = re.compile(r"[^\W\d_]+(?:['\u2019-][^\W\d_]+)+|[^\W\d_]?[^\W\d_A-Z]{,15}")
 
 # Words that guessers try first, the commonest at the start.
 COMMON_WORDS = (
@@ -71,6 +76,13 @@ _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _LEET = str.maketrans("@430!1$57+", "aaeoilssti"[:10])
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
                    r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+# What stands for a value or leads to a page is no secret by itself: an address up to its query, without
+# a name and password, and words in brackets ("<your-token-here>", perhaps without the closing one). It
+# costs as much as a choice among so many.
+_LINK = re.compile(r"(?i:https?|ftp)://[^\s@?#]++(?!@)")
+_STAND_IN = re.compile(r"[<\[{($%]+(?:[a-z]{1,15}|[A-Z]{1,15})(?:[ _.-](?:[a-z]{1,15}|[A-Z]{1,15}))+[>\]})%]*"
+                       r"|[<\[{($%]+(?:[a-z]{1,15}|[A-Z]{1,15})[>\]})%]+")
+STAND_INS = 1000
 
 
 def _neighbours() -> dict[str, set[str]]:
@@ -129,6 +141,9 @@ def _cost(value: str, ranks: dict[str, int], longest: int) -> float:
                 ends[i].append((j, log10(rank * (2 if value[i:j] != low[i:j] else 1)) + 0.3))
     for m in _DATE.finditer(value):
         ends[m.start()].append((m.end(), log10(119 if len(m.group()) == 4 else 119 * 365)))
+    for pattern in (_LINK, _STAND_IN):
+        for m in pattern.finditer(value):
+            ends[m.start()].append((m.end(), log10(STAND_INS)))
     run = walk = 0
     for i in range(1, n + 1):
         if i == n or value[i] != value[run]:
@@ -197,6 +212,8 @@ def guess_spans(text: str, taken: list[tuple[str, int, int, float | None]], min_
     while m:
         after = m.end()
         start, end = _value(text, after) if KEY.search(m.group(1)) else (after, after)
+        if m.group(2) and not m.group(3) and start == after and PROSE.fullmatch(text, start, end):
+            end = start
         while k < len(covered) and covered[k][1] <= start:
             k += 1
         if k < len(covered) and covered[k][0] <= start and end <= covered[k][1]:
@@ -212,19 +229,47 @@ def guess_spans(text: str, taken: list[tuple[str, int, int, float | None]], min_
     return out
 
 
-def corpus_words(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The words in most documents, lower case, commonest first.
+def least_count(counts: DataFrame, most: int, bins: int = 1024) -> int:
+    """The least ``n`` that at most ``most`` rows of ``counts`` reach.
+
+    Histograms of ``n``, each inside one bin of the last: ``bins`` rows at
+    most reach the driver a round, and the rounds are few (the logarithm of
+    the largest count to the base ``bins``).
+    """
+    top = counts.agg(F.max("n")).first()[0]
+    if top is None:
+        return 1
+    low, high, above = 1, top, 0        # ``above``: rows with n > high
+    while True:
+        width = -(-(high - low + 1) // bins)
+        found = {r.bin: r["count"] for r in counts.where(F.col("n").between(low, high)).groupBy(
+            F.floor((F.col("n") - low) / width).alias("bin")).count().collect()}
+        for b in sorted(found, reverse=True):
+            if above + found[b] > most:
+                break
+            above += found[b]
+        else:
+            return low
+        if width == 1:
+            return low + b + 1
+        low, high = low + b * width, min(high, low + (b + 1) * width - 1)
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", most: int | None = None) -> list[str]:
+    """The words in most documents, lower case, commonest first: ``CORPUS_WORDS`` or ``most`` of them, or fewer.
 
     What stands behind a colon, an equals sign or "is" isn't counted, so
-    that a secret in many copies doesn't become a word.
+    that a secret in many copies doesn't become a word. The counts are
+    written; only words of the least count that fits reach the driver.
     """
     value = r"""(?i)(?:[:=]|\bis\b)[\s:=]*+(?:"[^"\n]*+"|'[^'\n]*+'|`[^`\n]*+`|\S++)"""
     text = F.lower(F.regexp_replace(F.col(text_col).cast("string"), value, " "))
-    least, most = WORD_LETTERS
+    least, longest = WORD_LETTERS
     found = docs.select(F.explode(F.array_distinct(F.split(text, r"[^\p{L}]+"))).alias("word"))
-    common = (found.where(F.length("word").between(least, most)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= WORD_DOCS).orderBy(F.desc("n"), "word").limit(CORPUS_WORDS))
-    return [r.word for r in common.collect()]
+    counts = stored(found.where(F.length("word").between(least, longest)).groupBy("word")
+                    .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WORD_DOCS), "corpus-words")
+    common = counts.where(F.col("n") >= least_count(counts, CORPUS_WORDS if most is None else most)).collect()
+    return [r.word for r in sorted(common, key=lambda r: (-r.n, r.word))]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

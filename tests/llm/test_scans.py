@@ -159,6 +159,40 @@ def brute_pii(text):
     return sorted(out)
 
 
+def secrets(text, words=secret_scan.Words([])):
+    return [text[s:e] for _, s, e, _ in secret_scan.guess_spans(
+        text, secret_scan.base_spans(text, words), secret_scan.MIN_LOG10_GUESSES, 1, words)]
+
+
+def test_credential_words_of_four_languages():
+    for context in ("Passwort: ", "Kennwort: ", "contrase\u00f1a: ", "mot de passe : ", "Mot de passe = ", "clave: ",
+                    "Das Passwort ist ", "le mot de passe est ", "la contrase\u00f1a es ", "Authorization: Bearer "):
+        assert secrets(context + "tR7#kq9!Zw") == ["tR7#kq9!Zw"], context
+    assert secrets("esclave: tR7#kq9!Zw") == []
+
+
+def test_prose_links_and_stand_ins_are_no_secrets():
+    for text in ("Password is case-sensitive", "the secret is: https://example.org/about-us",
+                 "token: <your-token-goes-here-please>", "secret = {{my_secret_value_here}}",
+                 "the token is missing", "das Passwort ist fehlerhaft"):
+        assert [s for s in secrets(text)] == [], text
+    assert secrets("pwd: https://jane:tR7kq9Zw@example.org") == ["https://jane:tR7kq9Zw@example.org"]
+    assert secrets('password is "qzjxk-vwmbfhgtr"') == ["qzjxk-vwmbfhgtr"]
+    assert secrets("password is qzjxkvwmbfhgtrlpnsd") == ["qzjxkvwmbfhgtrlpnsd"]
+
+
+def test_least_count_equals_sorting(spark):
+    rng = random.Random(3)
+    counts = [rng.choice((3, 3, 4, 7, 50, 5000, 123_456)) + rng.randint(0, 3) for _ in range(400)]
+    df = spark.createDataFrame([(c,) for c in counts], "n long")
+    for most in (0, 1, 5, 60, 399, 400, 1000):
+        for bins in (2, 7, 1024):
+            got = secret_scan.least_count(df, most, bins)
+            reach = sum(c >= got for c in counts)
+            assert reach <= most and (got <= min(counts) or sum(c >= got - 1 for c in counts) > most)
+    assert secret_scan.least_count(df.limit(0), 5) == 1
+
+
 def test_base_pii_equals_brute_force():
     rng = random.Random(11)
     parts = ["a.b", "@", "x-y", ".", "com", "%", "1", "255", "256", "007", " ", "-", "4425414259157784",
