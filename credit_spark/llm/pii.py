@@ -2,7 +2,7 @@
 
 Four patterns find plain identifiers. Beside them, three transducers undo
 disguises: look-alike characters, spelled digits, and "at" and "dot" for
-their signs. Each keeps, for every character it writes, the span of source
+their signs, in English, German, French and Spanish. Each keeps, for every character it writes, the span of source
 characters that it stands for; identifiers found in the normal form are
 mapped back to the source text.
 """
@@ -39,26 +39,62 @@ LOOK_ALIKES = {
     "\u2212": "-", "\u00a0": " ", "\u2007": " ", "\u2009": " ", "\u202f": " "}
 # Soft hyphen, zero-width characters and joiners, byte order mark.
 NOTHING = ("\u00ad", "\u200b", "\u200c", "\u200d", "\u2060", "\ufeff")
-DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
-               "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+# Digits in English, German, French and Spanish.
+DIGITS = {
+    "en": ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"),
+    "de": ("null", "eins", "zwei", "drei", "vier", "f\u00fcnf", "sechs", "sieben", "acht", "neun"),
+    "fr": ("z\u00e9ro", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"),
+    "es": ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve")}
+# Other forms of them.
+DIGIT_FORMS = {"oh": "0", "zwo": "2", "fuenf": "5", "zero": "0", "une": "1"}
+DIGIT_WORDS = DIGIT_FORMS | {w: str(d) for words in reversed(DIGITS.values()) for d, w in enumerate(words)}
 
 _ODD = re.compile("[" + "".join(LOOK_ALIKES) + "".join(NOTHING)
                   + "\uff01-\uff5e\u0660-\u0669\u06f0-\u06f9\u0966-\u096f]")
-_DIGIT_WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
+
+
+def _one_of(words) -> str:
+    """A pattern of any of the words, longest first, tried by their first letters."""
+    by_first: dict[str, list[str]] = {}
+    for w in sorted(words, key=lambda w: (-len(w), w)):
+        by_first.setdefault(w[0], []).append(w[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items())) + ")"
+
+
+_DIGIT_WORD = _one_of(DIGIT_WORDS)
+_NO_LETTER = r"(?![^\W\d_])"
 # A run of spelled digits, perhaps with plain ones between: three words at least.
 _SPELLED = re.compile(
-    rf"(?<![A-Za-z])(?:(?i:plus)[\x20-]+)?(?i:{_DIGIT_WORD}|[0-9])"
-    rf"(?:[\x20,.-]{{1,2}}(?i:{_DIGIT_WORD}|[0-9])(?![A-Za-z])){{2,}}")
-_SPELLED_PART = re.compile(rf"(?i:(plus)|({_DIGIT_WORD}))|([0-9])")
+    rf"(?<![^\W\d_])(?:(?i:plus|m[\u00e1a]s)[\x20-]+)?(?i:{_DIGIT_WORD}|[0-9])"
+    rf"(?:[\x20,.-]{{1,2}}(?i:{_DIGIT_WORD}|[0-9]){_NO_LETTER}){{2,}}")
+_SPELLED_PART = re.compile(rf"(?i:(plus|m[\u00e1a]s)|({_DIGIT_WORD}))|([0-9])")
+
+# The signs by name. A bare English "at" is mostly prose, so it only counts before a disguised dot.
+AT_NAMES = ("arobase", "arroba", "klammeraffe")
+DOT_NAMES = ("dot", "punkt", "point", "punto")
+_ANY_AT, _ANY_DOT = "|".join(("at", "@", *AT_NAMES)), "|".join(DOT_NAMES)
+_OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
+# A disguised dot, and a label before it of 63 characters at most, as all are.
+_HIDDEN_DOT = rf"(?:\s*{_OPEN}\s*(?i:{_ANY_DOT}|\.)\s*{_CLOSE}|\s+(?i:{_ANY_DOT})\s)"
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+# "at jane.doe@...": the at-sign comes later.
+_NO_SIGN_LATER = rf"(?![A-Za-z0-9._%+-]+(?:@|\s*{_OPEN}\s*(?i:{_ANY_AT})))"
 # Blanks before a bracket are taken from the start of their run only: else a long run would be
 # scanned once from each of its characters.
-_AT = re.compile(r"(?:(?<!\s)\s+)?[(\[{<]\s*(?i:at|@)\s*[)\]}>]\s*"
-                 r"|(?<=[A-Za-z0-9])\s+(?i:at)\s+(?=[A-Za-z0-9-]+(?:\.|\s*[(\[{<]\s*(?i:dot)|\s+(?i:dot)\s))"
-                 # "at jane.doe@...": the at-sign comes later
-                 r"(?![A-Za-z0-9._%+-]+(?:@|\s*[(\[{<]\s*(?i:at|@)))")
-_DOT = re.compile(r"(?<=[A-Za-z0-9])(?:\s*[(\[{<]\s*(?i:dot|\.)\s*[)\]}>]\s*|\s+(?i:dot)\s+)(?=[A-Za-z0-9])")
-_AT_HINT = re.compile(r"(?i:[(\[{<]\s*(?:at|@)\s*[)\]}>]|\sat\s+[A-Za-z0-9-]+\s*[(\[{<.]?\s*(?:dot)?)")
-_DOT_HINT = re.compile(r"(?i:[(\[{<]\s*(?:dot|\.)\s*[)\]}>]|\sdot\s)")
+_AT = re.compile(rf"(?:(?<!\s)\s+)?{_OPEN}\s*(?i:{_ANY_AT})\s*{_CLOSE}\s*"
+                 rf"|(?<=[A-Za-z0-9])\s+(?i:at)\s+(?={_LABEL}(?:(?P<dot>\.)[A-Za-z0-9]|{_HIDDEN_DOT})){_NO_SIGN_LATER}"
+                 rf"|(?<=[A-Za-z0-9])\s+(?i:@|{'|'.join(AT_NAMES)})\s+(?={_LABEL}(?:\.[A-Za-z0-9]|{_HIDDEN_DOT}))"
+                 rf"{_NO_SIGN_LATER}"
+                 # jane-at-example-dot-com: the same joint on both sides
+                 rf"|(?<=[A-Za-z0-9])(?P<joint>[-_])(?i:{_ANY_AT})(?P=joint)(?=[A-Za-z0-9]{{1,63}}(?:-[A-Za-z0-9]{{1,63}}){{0,3}}?"
+                 rf"(?P=joint)(?i:{_ANY_DOT})(?P=joint))")
+_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s*{_OPEN}\s*(?i:{_ANY_DOT}|\.)\s*{_CLOSE}\s*|\s+(?i:{_ANY_DOT})\s+"
+                  rf"|([-_])(?i:{_ANY_DOT})\1)(?=[A-Za-z0-9])")
+_AT_HINT = re.compile(rf"(?i:{_OPEN}\s*(?:{_ANY_AT})\s*{_CLOSE}|\s(?:{_ANY_AT})\s|([-_])(?:{_ANY_AT})\1)")
+_DOT_HINT = re.compile(rf"(?i:{_OPEN}\s*(?:{_ANY_DOT}|\.)\s*{_CLOSE}|\s(?:{_ANY_DOT})\s|([-_])(?:{_ANY_DOT})\1)")
+# Any disguise of a sign holds one of these, in lower case.
+_SIGN_PARTS = (*_ANY_AT.split("|")[2:], *DOT_NAMES, " @ ")
+_BRACKETED = re.compile(rf"{_OPEN}\s*(?i:at|@|\.)\s*{_CLOSE}")
 
 
 def _luhn(digits: str) -> bool:
@@ -157,26 +193,37 @@ def spelled_digits(form: Normal) -> Normal:
     return form.rewritten(edits)
 
 
-def signs(form: Normal) -> Normal:
-    """"at" and "dot", in brackets or between words of an address, to their signs."""
-    form = form.rewritten([(m.start(), m.end(), "@") for m in _AT.finditer(form.text)])
+def signs(form: Normal, source: str) -> Normal:
+    """"at" and "dot", in brackets or between words of an address, to their signs.
+
+    Before a dot that is plain in the source, a bare "at" stays.
+    """
+    form = form.rewritten([(m.start(), m.end(), "@") for m in _AT.finditer(form.text)
+                           if m.start("dot") < 0 or source[form.starts[m.start("dot")]] != "."])
     return form.rewritten([(m.start(), m.end(), ".") for m in _DOT.finditer(form.text)])
 
 
+def _signs_likely(text: str) -> bool:
+    low = text.lower()
+    return bool(any(p in low for p in _SIGN_PARTS) and (_DOT_HINT.search(text) or _AT_HINT.search(text))
+                or _BRACKETED.search(text) or "@" in text and _AT_HINT.search(text))
+
+
 def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Identifiers that only the normal form shows, as source spans.
 
     A disguise may leave a part that looks plain ("ne@example.com" behind a
     Cyrillic letter): the whole is then found beside the plain part. Spans
-    that lie in a plain one of their kind are left out.
+    that lie in a plain one of their kind are left out. A bare "at" counts
+    before a disguised dot only ("met at example.org" is prose); a name
+    joined with hyphens, "x-at-y-dot-z", always counts as an address.
     """
     odd = not text.isascii() and _ODD.search(text)
-    spelled = _SPELLED.search(text)
-    if not (odd or spelled or _DOT_HINT.search(text) or _AT_HINT.search(text)):
+    if not (odd or _SPELLED.search(text) or _signs_likely(text)):
         return []
     form = Normal(text, list(range(len(text))), list(range(1, len(text) + 1)))
     form = look_alikes(form) if odd else form
-    form = signs(spelled_digits(form))
+    form = signs(spelled_digits(form), text)
     if form.text == text:
         return []
     # Spans of a kind don't overlap, so the last one that starts by then is the only one that may hold another.
@@ -186,8 +233,12 @@ def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, i
     for kind, start, end in find(form.text):
         a, b = form.starts[start], form.ends[end - 1]
         k = bisect_right(starts[kind], a) - 1
-        if form.text[start:end] != text[a:b] and not (k >= 0 and ends[kind][k] >= b):
-            out.append((kind, a, b))
+        if form.text[start:end] == text[a:b] or k >= 0 and ends[kind][k] >= b:
+            continue
+        # A whole plain address, then a blank: what follows is the next word of the sentence.
+        if kind == "email" and k >= 0 and starts[kind][k] == a and text[ends[kind][k]].isspace():
+            continue
+        out.append((kind, a, b))
     return out
 
 

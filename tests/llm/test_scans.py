@@ -216,8 +216,9 @@ def test_disguises_map_back_to_the_source():
         ("phone", "plus one three one nine five five five five one three two")]
     assert shown("host one nine two [dot] 168 dot 1 dot 7 up") in (
         [("ip", "one nine two [dot] 168 dot 1 dot 7")], [("ip", "one nine two [dot] 168 dot 1 dot 7")])
-    card = " ".join({v: k for k, v in pii.DIGIT_WORDS.items() if k != "oh"}[c] for c in "4425414259157784")
-    assert shown(f"card {card}.") == [("card", card)]
+    for names in pii.DIGITS.values():
+        card = " ".join(names[int(c)] for c in "4425414259157784")
+        assert shown(f"card {card}.") == [("card", card)]
 
 
 def test_disguises_that_leave_a_plain_part_are_found_whole():
@@ -234,6 +235,35 @@ def test_disguises_that_leave_a_plain_part_are_found_whole():
     assert shown("look at jane.doe (at) example.com") == [("email", "jane.doe (at) example.com")]
 
 
+def test_disguises_of_four_languages_and_joined_forms():
+    for address in ("jane arobase exemple point fr", "jane (at) beispiel (punkt) de", "juan arroba ejemplo punto com",
+                    "juan [arroba] ejemplo.com", "jane arobase exemple.fr", "jane @ example.com", "jane @ example dot com",
+                    "jane-at-example-dot-com", "jane_at_example_dot_com", "jane-at-my-example-dot-com"):
+        assert shown(f"({address}) ") == [("email", address)], address
+    for phone in ("plus vier neun eins drei null sechs sieben acht neun zwei",
+                  "m\u00e1s tres cuatro nueve uno dos tres cuatro cinco seis", "plus trois trois un deux z\u00e9ro six sept huit"):
+        assert shown(f"tel. {phone}, ok") == [("phone", phone)], phone
+
+
+def test_prose_is_no_address():
+    for text in ("we met at example.org yesterday", "Arrive at 10.30", "meet me at www.example.com",
+                 "Schreiben Sie an jane@example.com Punkt eins ist offen", "look-at-the-dotted-line", "state-of-the-art",
+                 "un deux trois soleil", "acht neun zehn", "au point de vue"):
+        assert shown(text) == [], text
+
+
+def test_disguises_equal_brute_force():
+    """Random disguises of addresses between words: the span is exactly what was put there."""
+    rng = random.Random(23)
+    ats = [" (at) ", "(at)", " [AT] ", "{@}", " at ", " arobase ", " arroba ", "\uff20", " @ ", " <at> "]
+    dots = [" dot ", " (dot) ", "[.]", " punkt ", " punto ", " point ", "\uff0e", " [punkt] "]
+    for _ in range(3000):
+        name, host, top = ("".join(rng.choice("abckxyz") for _ in range(rng.randint(2, 6))) for _ in range(3))
+        whole = name + rng.choice(ats) + host + rng.choice(dots) + top
+        before, after = rng.choice(["", "mail: ", "\u00e9t\u00e9, ", "x\n(", "\u200b "]), rng.choice(["", ", ok", ")", "! Next", "\n"])
+        assert shown(before + whole + after) == [("email", whole)], before + whole + after
+
+
 def test_clean_texts_and_plain_data_get_nothing():
     for text in ("We meet at noon. The dot is red.", "one two three go", "jane@example.com", "Привет, мир!",
                  "at home dot com", "look at example.", "1.2.3.4 and +1 (319) 555-5132"):
@@ -244,7 +274,9 @@ def test_linear_on_long_runs():
     import time
     t = time.time()
     for text in ("a" * 200_000, "1" * 200_000, "a@" * 50_000, "1." * 100_000, "one " * 40_000, "+1 " * 60_000,
-                 "0123456789abcdef" * 10_000, "password=" * 20_000, "pwd: " + "aB1" * 60_000):
+                 "0123456789abcdef" * 10_000, "password=" * 20_000, "pwd: " + "aB1" * 60_000,
+                 "-at-" * 50_000, "a-at-a" * 30_000, "a @ " * 50_000, "a at " * 40_000, "a dot " * 30_000,
+                 "x arroba " + "a" * 200_000, "un deux " * 25_000, "x at " + "-" * 200_000):
         pii.disguised(text, pii.find(text))
         secret_scan.guess_spans(text, secret_scan.base_spans(text), 10, 2)
     assert time.time() - t < 60
