@@ -96,10 +96,17 @@ def quality_rules() -> str:
     start = ", ".join([f"CAST({Q.START_GOOD} AS DOUBLE) AS good"]
                       + [f"CAST({Q.START_RIGHT_GOOD} AS DOUBLE) AS a{i}, CAST({Q.START_RIGHT_BAD} AS DOUBLE) AS b{i}"
                          for i in k])
-    new = ", ".join(["(sum(n * q) + 1) / (sum(n) + 2) AS good"] + [
-        f"(coalesce(sum(n * q) FILTER (WHERE v{i} = 2), 0) + 1) / (coalesce(sum(n * q) FILTER (WHERE v{i} <> 1), 0) + 2)"
-        f" AS a{i}, (coalesce(sum(n * (1 - q)) FILTER (WHERE v{i} = 0), 0) + 1)"
-        f" / (coalesce(sum(n * (1 - q)) FILTER (WHERE v{i} <> 1), 0) + 2) AS b{i}" for i in k])
+    def share(these: str, others: str, start: float) -> str:
+        n = f"({these} + {others})"
+        return f"(({these} + 1 + {start * Q.PRIOR} * {n}) / ({n} + 2 + {Q.PRIOR} * {n}))"
+
+    def total(weight: str, i: int, vote: int) -> str:
+        return f"coalesce(sum({weight}) FILTER (WHERE v{i} = {vote}), 0)"
+
+    on_good = [share(total("n * q", i, 2), total("n * q", i, 0), Q.START_RIGHT_GOOD) for i in k]
+    on_bad = [share(total("n * (1 - q)", i, 0), total("n * (1 - q)", i, 2), Q.START_RIGHT_BAD) for i in k]
+    new = ", ".join([f"{share('sum(n * q)', 'sum(n * (1 - q))', Q.START_GOOD)} AS good"] + [
+        f"{on_good[i]} AS a{i}, greatest({on_bad[i]}, 1 - {on_good[i]}) AS b{i}" for i in k])
     rounds = ",\n".join(
         f"e{r + 1} AS MATERIALIZED (SELECT {new} FROM (SELECT *, {posterior} AS q FROM pat, e{r}))"
         for r in range(Q.ROUNDS))
@@ -122,8 +129,7 @@ c AS MATERIALIZED (
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     CAST(coalesce(n_word_lines, 0) AS BIGINT) AS n_word_lines,
     length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
-    length(text) - length(replace(text, '!', '')) AS n_exclaims, len(list_distinct(w)) AS n_distinct,
-    len(regexp_extract_all(text, '[#*$%&|<>]+')) AS n_symbol_runs
+    length(text) - length(replace(text, '!', '')) AS n_exclaims, len(list_distinct(w)) AS n_distinct
   FROM d JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN rep USING (r)),
 v AS MATERIALIZED (SELECT *, {votes} AS votes FROM c),
 pat AS MATERIALIZED (

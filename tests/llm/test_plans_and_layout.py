@@ -249,3 +249,21 @@ def test_verdicts_hold_for_any_mix_of_junk():
         found = quality.estimate({p: n for p, n in counts.items() if n})
         assert {p: q >= quality.MIN_POSTERIOR for p, q in found.items()} == {p: p == clean for p in found}, mix
         assert all(q <= found[clean] for q in found.values()), mix
+
+
+def test_a_pattern_has_one_verdict_in_every_mix():
+    """One, two or three bad votes, alone and beside much or other junk, at several sizes."""
+    names = [name for name, _, _ in quality.RULES]
+
+    def code(bad=(), none=()):
+        return sum((0 if n in bad else 1 if n in none else 2) * 3 ** k for k, n in enumerate(names))
+
+    clean = code()
+    for bad in [names[k:k + 1] for k in range(len(names))] + [names[:2], names[2:4], names[3:6]]:
+        for n, beside, size, unsure in product((1, 50, 300, 2000), (0, 2000), (800, 8385, 838_500), (0, 500)):
+            counts = {clean: size, code(bad): n}
+            counts[code(("symbols",))] = counts.get(code(("symbols",)), 0) + beside
+            counts |= {code(none=(x,)): unsure for x in names}
+            found = quality.estimate({p: c for p, c in counts.items() if c})
+            assert {p for p, q in found.items() if q < quality.MIN_POSTERIOR} == {
+                p for p in found if p in (code(bad), code(("symbols",)))}, (bad, n, beside, size, unsure)
