@@ -17,6 +17,7 @@ from . import oracle as O
 from . import score as SC
 from . import stages as S
 from . import train as TR
+from .run_table import read_runs
 from .catalog import register, rounded
 from .queries_features import (MODEL, RULE_AMOUNT_SQL, RULE_CLASS_SQL, rule_predictions,
                                SIDES)
@@ -72,8 +73,7 @@ def roc_auc_ovr(spark, sf_dir):
 def run_log(spark, sf_dir):
     """The runs table rows of this fit: params, metrics, signature, example."""
     fr = _fit(spark, sf_dir)
-    runs = spark.read.parquet(TR.runs_path(spark))
-    return runs.where(F.col("run_id") == fr.training.run_id).select(
+    return read_runs(spark).where(F.col("run_id") == fr.training.run_id).select(
         "task", "model", "kind", "name", "value")
 
 

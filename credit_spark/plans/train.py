@@ -3,9 +3,9 @@
 Three classifiers for the eligibility class and three regressors for the
 maximum instalment are fitted on one persisted training frame each; the
 best classifier has the highest weighted F1, the best regressor the lowest
-RMSE (the first fitted wins ties). Every fit appends its parameters,
-metrics, input signature and an example row to a ``runs`` Parquet table in
-the shared checkpoint folder.
+RMSE (the first fitted wins ties). A run's parameters, metrics, input
+signatures and example rows are committed together to the run table
+(``run_table.py``).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from ..operators import split as SP
 from ..operators.least_squares import LeastSquares, LinearModel
 from ..operators.trees import BoostedTrees, Forest, TreeModel
 from ..schema import ID, SEED, TARGET_AMOUNT, TARGET_CLASS
-from ..session import ensure_checkpoint_dir
+from .run_table import runs_path, write_run  # noqa: F401
 
 
 @dataclass
@@ -130,24 +130,22 @@ def row_counts(df: DataFrame, cols) -> dict:
             for k, c in (("rows", "n"), ("rows_with_missing", "gaps"))}
 
 
-def runs_path(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/runs"
-
-
-def log_run(spark: SparkSession, run_id: str, task: str, model: str, params: dict,
-            metrics: dict, train: DataFrame, cols) -> None:
-    """Append one fit to the runs table: params, metrics, signature, example."""
+def run_rows(task: str, model: str, params: dict, metrics: dict, train: DataFrame, cols,
+             example: str | None = None) -> list[tuple]:
+    """One fit as rows of the run table: params, metrics, signature, example (JSON of a row)."""
     types = dict(train.dtypes)
     sig = json.dumps({"inputs": [{"name": c, "type": types[c]} for c in cols],
                       "output": {"type": "long" if task == "classification" else "double"}})
-    ex = train.select(*cols).limit(1).toJSON().collect()
-    rows = [(run_id, task, model, "param", k, str(v)) for k, v in params.items()]
-    rows += [(run_id, task, model, "metric", k, repr(float(v))) for k, v in metrics.items()]
-    rows += [(run_id, task, model, "signature", "schema", sig),
-             (run_id, task, model, "signature", "input_example", ex[0] if ex else "{}")]
-    (spark.createDataFrame(rows, "run_id string, task string, model string, kind string, "
-                                 "name string, value string")
-          .coalesce(1).write.mode("append").parquet(runs_path(spark)))
+    rows = [(task, model, "param", k, str(v)) for k, v in params.items()]
+    rows += [(task, model, "metric", k, repr(float(v))) for k, v in metrics.items()]
+    return rows + [(task, model, "signature", "schema", sig),
+                   (task, model, "signature", "input_example", example or "{}")]
+
+
+def example_row(train: DataFrame, cols) -> str | None:
+    """Any row's columns as JSON."""
+    found = train.select(*cols).limit(1).toJSON().collect()
+    return found[0] if found else None
 
 
 def _params(est) -> dict:
@@ -170,11 +168,12 @@ def train(model_table: DataFrame, clf_features, reg_features,
     s = settings or TrainSettings()
     spark = model_table.sparkSession
     run_id = uuid.uuid4().hex[:12]
-    metrics, models = [], {}
+    metrics, models, logged = [], {}, []
 
     # Classification: stratified hash split, one persisted training frame.
     csplit = SP.stratified_split(model_table.select(ID, *clf_features, TARGET_CLASS), TARGET_CLASS)
     ccounts = row_counts(csplit, clf_features)
+    cexample = example_row(csplit, clf_features) if log else None
     csplit = csplit.withColumn("label", F.col(TARGET_CLASS).cast("double"))
     c = assemble(csplit, clf_features)
     ctrain = c.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
@@ -189,7 +188,7 @@ def train(model_table: DataFrame, clf_features, reg_features,
         metrics += [("classification", name, k, float(v or 0.0)) for k, v in row.items()]
         models[("classification", name)] = m
         if log:
-            log_run(spark, run_id, "classification", name, _params(est) | ccounts, row, csplit, clf_features)
+            logged += run_rows("classification", name, _params(est) | ccounts, row, csplit, clf_features, cexample)
         if (row["f1"] or 0.0) > best_f1:
             best_c, best_f1, best_cn = m, row["f1"] or 0.0, name
     ctrain.unpersist()
@@ -198,6 +197,7 @@ def train(model_table: DataFrame, clf_features, reg_features,
     # Regression: plain hash split.
     rsplit = SP.random_split(model_table.select(ID, *reg_features, TARGET_AMOUNT))
     rcounts = row_counts(rsplit, reg_features)
+    rexample = example_row(rsplit, reg_features) if log else None
     rsplit = rsplit.withColumn("label", F.col(TARGET_AMOUNT).cast("double"))
     r = assemble(rsplit, reg_features)
     rtrain = r.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
@@ -212,11 +212,13 @@ def train(model_table: DataFrame, clf_features, reg_features,
                     for k, v in row.items()]
         models[("regression", name)] = m
         if log:
-            log_run(spark, run_id, "regression", name, _params(est) | rcounts, row, rsplit, reg_features)
+            logged += run_rows("regression", name, _params(est) | rcounts, row, rsplit, reg_features, rexample)
         if row["rmse"] is not None and row["rmse"] < best_rmse:
             best_r, best_rmse, best_rn = m, row["rmse"], name
     rtrain.unpersist()
     rtest.unpersist()
+    if log:
+        write_run(spark, run_id, logged)
     return TrainResult(list(clf_features), list(reg_features), best_c, best_cn, best_r, best_rn,
                        metrics, models, run_id)
 
