@@ -61,6 +61,58 @@ def clean_csv_numbers(spark, sf_dir):
     return rounded(C.clean_text(C.dedupe(A.read_applicants_csv(spark, path))).select(*RAW_COLUMNS))
 
 
+# A file as it comes from elsewhere: a note that the schema doesn't know, with quoted line breaks; rows
+# with a field too many or with fields missing; ids that are no numbers.
+_SURPLUS, _SHORT, _ODD_ID = "applicant_id % 11 = 3", "applicant_id % 13 = 5", "applicant_id % 17 = 7"
+_BAD_ROW = f"({_SURPLUS} OR {_SHORT})"
+_NOTE = ("CASE WHEN applicant_id % 5 = 0 THEN concat('first line', chr(10), 'second, \"quoted\"') "
+         "ELSE concat('n', CAST(applicant_id AS {text})) END")
+
+
+def _ingested(spark, sf_dir):
+    """The applicants as lines of such a file, written to the shared folder and taken in."""
+    raw = S.raw(spark, sf_dir)
+    texts = [F.expr(f"CASE WHEN {_ODD_ID} THEN concat('A-', applicant_id) ELSE CAST(applicant_id AS STRING) END")
+             if c == ID else F.col(c).cast("string") for c in RAW_COLUMNS]
+    texts.append(F.expr(_NOTE.format(text="STRING")))
+    fields = [F.coalesce(F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+              for t in texts]
+    line = F.when(F.expr(_SURPLUS), F.concat_ws(",", *fields, F.lit('"surplus"'))).when(
+        F.expr(_SHORT), F.concat_ws(",", *fields[:6])).otherwise(F.concat_ws(",", *fields))
+    path = scratch_path(spark, "foreign-csv")
+    raw.select(line.alias("value")).write.text(path)
+    return A.ingest_applicants_csv(spark, path, scratch_path(spark, "ingested"), [*RAW_COLUMNS, "note"])
+
+
+@register("ingest_kept", APP + f"SELECT {_cols(CLEAN_COLS, {f.name for f in RAW_SCHEMA.fields if f.dataType.typeName() == 'double'})}, "
+          f"{_NOTE.format(text='VARCHAR')} AS note FROM applicants WHERE NOT {_BAD_ROW} AND NOT ({_ODD_ID})")
+def ingest_kept(spark, sf_dir):
+    """Rows of a foreign CSV that fit, with the column that the schema doesn't know."""
+    kept = _ingested(spark, sf_dir).kept
+    return rounded(kept.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields], "note"))
+
+
+@register("ingest_rejected", APP + f"""SELECT applicant_id, CASE WHEN {_BAD_ROW} THEN 'columns' ELSE 'id' END AS reason
+FROM applicants WHERE {_BAD_ROW} OR {_ODD_ID}""")
+def ingest_rejected(spark, sf_dir):
+    """Rows that are set aside, known by what stands in their first field."""
+    return _ingested(spark, sf_dir).rejected.select(
+        F.regexp_extract("record", '^"(?:A-)?([0-9]+)"', 1).cast("long").alias("applicant_id"), "reason")
+
+
+@register("ingest_counts", APP + f"""SELECT CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (WHERE NOT {_BAD_ROW} AND NOT ({_ODD_ID})) AS BIGINT) AS kept,
+  CAST(count(*) FILTER (WHERE {_BAD_ROW}) AS BIGINT) AS rejected_columns,
+  CAST(count(*) FILTER (WHERE NOT {_BAD_ROW} AND {_ODD_ID}) AS BIGINT) AS rejected_id FROM applicants""")
+def ingest_counts(spark, sf_dir):
+    """What the ingest observed while it wrote, beside what then lies there."""
+    got = _ingested(spark, sf_dir)
+    there = (got.rejected.groupBy().agg(F.count_if(F.col("reason") == "columns").alias("rejected_columns"),
+                                        F.count_if(F.col("reason") == "id").alias("rejected_id"))
+             .crossJoin(got.kept.groupBy().agg(F.count(F.lit(1)).alias("kept"))))     # one row each
+    return there.select(F.lit(got.counts["rows"]).cast("long").alias("rows"), "kept", "rejected_columns", "rejected_id")
+
+
 # ---------------------------------------------------------------------------
 # Deduplication
 # ---------------------------------------------------------------------------

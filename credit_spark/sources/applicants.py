@@ -9,8 +9,12 @@ A deterministic 2 % of the applicants appears twice as exact duplicates
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import ID, RAW_COLUMNS, RAW_SCHEMA, TARGET_AMOUNT
 from ..session import file_listing, sf_table
@@ -171,6 +175,79 @@ def read_applicants_csv(spark: SparkSession, path: str) -> DataFrame:
                                          if c != ID and c in raw.columns])
 
 
+@dataclass
+class Ingested:
+    """An applicant CSV taken in: rows that fit, rows set aside, and how many of each."""
+
+    kept: DataFrame         # ``read_applicants_csv``'s columns, then the file's unknown ones as STRING
+    rejected: DataFrame     # ``record`` as it stood in the file, ``reason``, ``file``
+    counts: dict[str, int]
+
+
+REJECT_REASONS = ("columns", "id")
+
+
+def ingest_applicants_csv(spark: SparkSession, path: str, dest: str, columns: Sequence[str] | None = None,
+                          multiline: bool = True) -> Ingested:
+    """Read a CSV once, losing nothing, and write it as Parquet under ``dest``.
+
+    Rows go to ``dest/kept`` or ``dest/rejected`` in one job, which counts
+    them as well. A row is set aside if it has more or fewer fields than the
+    header (``columns``) or, where the file has an id column, an id that is
+    no whole number (``id``); every other dirty value is kept as text for
+    the cleaning rules.
+
+    - ``columns``: the names, for files without a header; else every file
+      has the same header line, and one that differs is an error
+    - ``multiline``: quoted line breaks belong to the value; a file is then
+      read by one task, so large inputs should come as many files. Without
+      it files are split, and each part of such a row is set aside.
+    - unknown columns are kept as STRING, behind the known ones
+    - an empty field, quoted or not, is missing
+    - empty lines are skipped; a file of the header alone gives no rows;
+      repeated rows are kept as often as they come
+    - no id column: the id is a hash of the whole row, as in
+      ``read_applicants_csv``
+    """
+    options = {"header": str(columns is None).lower(), "inferSchema": "false", "quote": '"', "escape": '"',
+               "multiLine": str(multiline).lower(), "enforceSchema": str(columns is not None).lower(),
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    names = list(columns) if columns else spark.read.options(**options).csv(path).columns
+    low = {n.lower() for n in names}
+    own = "_record"
+    while own in low:
+        own += "_"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, own)])
+    raw = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=own).schema(schema).csv(path)
+    field = {n: F.col(f"`{n}`") for n in names}
+    bad_id = field[ID].try_cast("bigint").isNull() if ID in names else F.lit(False)
+    reason = F.when(F.col(own).isNotNull(), REJECT_REASONS[0]).when(bad_id, REJECT_REASONS[1])
+    # All columns are read together: a row's fields are only counted when none is pruned.
+    tagged = raw.select(F.struct(*field.values()).alias("row"), F.col(own).alias("record"), reason.alias("reason"),
+                        F.col("_metadata.file_path").alias("file"))
+    record = F.coalesce("record", F.to_csv("row", {"quoteAll": "true", "escape": '"', "nullValue": ""}))
+    seen = Observation()
+    counted = tagged.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col("reason") == r).alias(r) for r in REJECT_REASONS])
+    # The file's own names are kept apart, in the struct, from the folder's name.
+    (counted.select(F.when(F.col("reason").isNull(), F.col("row")).alias("row"),
+                    F.when(F.col("reason").isNotNull(), record).alias("record"), "reason", "file",
+                    F.when(F.col("reason").isNull(), "kept").otherwise("rejected").alias("part"))
+     .write.mode("overwrite").partitionBy("part").parquet(dest))
+    found = seen.get
+    counts = {"rows": found["rows"], "kept": found["rows"] - sum(found[r] for r in REJECT_REASONS)}
+    counts |= {f"rejected_{r}": found[r] for r in REJECT_REASONS}
+    stored = spark.read.schema(T.StructType([tagged.schema["row"], *[T.StructField(c, T.StringType()) for c in (
+        "record", "reason", "file", "part")]])).parquet(dest)
+    good = stored.where("part = 'kept'").select("row.*")
+    field = {n: F.col(f"`{n}`") for n in names}
+    ident = field[ID].try_cast("bigint") if ID in names else F.xxhash64(*field.values())
+    target = {TARGET_AMOUNT: F.col(TARGET_AMOUNT).try_cast("double")} if TARGET_AMOUNT in names else {}
+    kept = good.select(ident.alias(ID), *[target.get(c, F.col(c)).alias(c) for c in RAW_COLUMNS if c != ID and c in names],
+                       *[field[n] for n in names if n not in RAW_COLUMNS])
+    return Ingested(kept, stored.where("part = 'rejected'").select("record", "reason", "file"), counts)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; values are written as they are (no trimming)."""
     (df.write.mode("overwrite")

@@ -69,3 +69,57 @@ def test_a_changed_source_is_read_anew(spark, tmp_path):
     orders.where("o_orderkey % 2 = 0").write.mode("overwrite").parquet(path)
     spark.catalog.refreshByPath(path)
     assert QUERIES["row_count"](spark, str(tmp_path)).first()[0] < before
+
+
+def _take_in(spark, tmp_path, text, **options):
+    path = tmp_path / "in"
+    path.mkdir(exist_ok=True)
+    (path / "a.csv").write_bytes(text.encode())
+    return A.ingest_applicants_csv(spark, str(path), str(tmp_path / "out"), **options)
+
+
+def test_ingest_loses_no_row_and_no_column(spark, tmp_path):
+    text = ("note,applicant_id,credit_score,Row\n"
+            '"first\nsecond, ""quoted""",1,720.0.0,x\n'        # quoted line break, dirty number
+            "short,2\n"                                         # fields missing
+            "long,3,1,x,surplus\n"
+            "odd,A-4,1,x\n"                                      # no number as id
+            ",,1,\n"                                             # no id
+            "\n"                                                 # empty line: skipped
+            "same,5,inf,x\nsame,5,inf,x\n"
+            '" blank ",6,"",\n')
+    got = _take_in(spark, tmp_path, text)
+    assert got.kept.columns == ["applicant_id", "credit_score", "note", "Row"]
+    assert sorted(map(tuple, got.kept.collect()), key=repr) == sorted([
+        (1, "720.0.0", 'first\nsecond, "quoted"', "x"), (5, "inf", "same", "x"), (5, "inf", "same", "x"),
+        (6, None, " blank ", None)], key=repr)
+    rejected = got.rejected.collect()
+    assert sorted(r.reason for r in rejected) == ["columns", "columns", "id", "id"]
+    assert {r.record.strip() for r in rejected if r.reason == "columns"} == {"short,2", "long,3,1,x,surplus"}
+    assert any("A-4" in r.record for r in rejected) and all(r.file.endswith("a.csv") for r in rejected)
+    assert got.counts == {"rows": 8, "kept": 4, "rejected_columns": 2, "rejected_id": 2}
+
+
+def test_ingest_of_odd_files(spark, tmp_path):
+    for k, text in enumerate(("applicant_id,note\n", "applicant_id,note\r\n1,a\r\n2,b\r\n", "note,_record\nx,y\n")):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        got = _take_in(spark, folder, text)
+        assert got.counts["rows"] == got.counts["kept"] == got.kept.count() == (0, 2, 1)[k]
+        assert got.rejected.count() == 0
+    assert got.kept.columns == ["applicant_id", "note", "_record"] and got.kept.first()[0] is not None
+    # Lines are read apart: both parts of a broken value are set aside, none is lost.
+    folder = tmp_path / "apart"
+    folder.mkdir()
+    got = _take_in(spark, folder, 'applicant_id,note\n1,"a\nb"\n2,c\n', multiline=False)
+    assert got.counts["rows"] == 3 and got.rejected.count() + got.kept.count() == 3
+
+
+def test_ingest_refuses_files_with_another_header(spark, tmp_path):
+    import pytest
+    path = tmp_path / "in"
+    path.mkdir()
+    (path / "a.csv").write_text("applicant_id,note\n1,a\n")
+    (path / "b.csv").write_text("note,applicant_id\nb,2\n")
+    with pytest.raises(Exception, match="header"):
+        A.ingest_applicants_csv(spark, str(path), str(tmp_path / "out"))
