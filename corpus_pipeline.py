@@ -37,8 +37,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without shared lines; ``n_chars`` follows the text.
 
-    - null text: stays null; empty text: stays, unless ten or more documents
-      have an empty line, which changes nothing as it has no more to lose
+    - null text: stays null; empty text: stays, an empty line is never dropped
     - very long texts: whole, lines are counted and dropped one by one
     - equal texts and repeated rows: each counts as a document of its own
     - a line in just ten documents: goes
