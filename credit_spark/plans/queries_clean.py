@@ -251,6 +251,15 @@ def clean_applicants(spark, sf_dir):
     return rounded(S.cleaned(spark, sf_dir))
 
 
+@register("export_cleaned", CLEANED + f"SELECT {_cols(CLEAN_COLS, DOUBLES_CLEAN)} FROM cleaned")
+def export_cleaned(spark, sf_dir):
+    """The cleaned table exported as CSV, and read again with its types and names."""
+    cleaned = S.cleaned(spark, sf_dir)
+    path = scratch_path(spark, "export-cleaned")
+    A.write_csv(cleaned, path)
+    return rounded(A.read_export(spark, path, cleaned.schema))
+
+
 @register("column_stats", CAPPED + " UNION ALL ".join(
     f"SELECT '{c}' AS column, {O.r6(f'm_{c}')} AS median, {O.r6(f'q1_{c}')} AS q1, "
     f"{O.r6(f'q3_{c}')} AS q3 FROM _q, _med" for c in RAW_COLUMNS if c in NUMERIC))

@@ -175,6 +175,22 @@ def score_fixed_model(spark, sf_dir):
     return rounded(model.transform(_score_input(spark, sf_dir)))
 
 
+@register("pipeline_model_scores", _score_fixed_sql())
+def pipeline_model_scores(spark, sf_dir):
+    """The same chain from raw applicants, as one Spark ML ``PipelineModel``: built, saved, loaded, applied."""
+    from pyspark.ml import PipelineModel
+
+    from ..operators import clean as C
+    from ..operators import encode as E
+    from ..operators import features as FE
+    from .ml_stages import to_pipeline
+    fz = E.fit_featurizer(FE.derive(S.cleaned(spark, sf_dir)))
+    model = SC.ScoringModel(fz, FIXED_CLF_COLS, FIXED_REG_COLS, FIXED_CLASSIFIER, FIXED_REGRESSOR)
+    path = scratch_path(spark, "pipeline-model")
+    to_pipeline(model, S.fill_stats(spark, sf_dir)).write().save(path)
+    return rounded(PipelineModel.load(path).transform(C.dedupe(S.raw(spark, sf_dir))))
+
+
 @register("score_eligibility")
 def score_eligibility(spark, sf_dir):
     """Predicted class of every applicant (best classifier)."""

@@ -34,6 +34,27 @@ OWN_MODELS = (TreeModel, LinearModel)
 MODEL_COLS = list(FEATURES) + list(DERIVED) + [TARGET_CLASS, TARGET_AMOUNT]
 
 
+def derived_inputs(df: DataFrame) -> DataFrame:
+    """Logarithms of the skewed columns, then the derived features in their scoring form."""
+    out = df.withColumns({c: M.log1p(F.col(c).cast("double")) for c in SKEWED if c in df.columns})
+    return FE.derive(out, form="scoring")
+
+
+def classify(df: DataFrame, model, cols, target_codes: E.LabelCodes) -> DataFrame:
+    """``df`` with the predicted class number in the class column and its name as ``eligibility``."""
+    v = TR.assemble(df, cols, getattr(model, "learns_missing", False))
+    p = TR.predict_class(model, v, out="_cls_code").drop("features")
+    return E.decode(p.withColumn(TARGET_CLASS, F.col("_cls_code")), target_codes, TARGET_CLASS, "eligibility")
+
+
+def amounts(df: DataFrame, model, cols, mean: float, scale: float) -> DataFrame:
+    """(applicant_id, eligibility, max_monthly_emi): the predicted amount with its scaling undone."""
+    r = TR.assemble(df, cols, getattr(model, "learns_missing", False))
+    r = model.transform(r).withColumnRenamed("prediction", "_amt_scaled")
+    amt = F.col("_amt_scaled") * F.lit(float(scale)) + F.lit(float(mean))
+    return r.select(ID, "eligibility", M.clamp_amount(amt).alias("max_monthly_emi"))
+
+
 @dataclass
 class ScoringModel:
     featurizer: E.Featurizer
@@ -50,26 +71,15 @@ class ScoringModel:
         out = df
         if self.normalize_inputs:
             out = out.withColumns({c: X.clean_category(c) for c in TITLE_CASED if c in out.columns})
-        out = E.encode(out, self.featurizer.codes, unseen=0)
-        out = out.withColumns({c: M.log1p(F.col(c).cast("double")) for c in SKEWED if c in out.columns})
-        out = FE.derive(out, form="scoring")
-        out = E.standardize(out, self.featurizer.scaler, SCALED)
-        return out
+        out = derived_inputs(E.encode(out, self.featurizer.codes, unseen=0))
+        return E.standardize(out, self.featurizer.scaler, SCALED)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """(applicant_id, eligibility, max_monthly_emi)."""
         keep = [c for c in df.columns if c not in (TARGET_CLASS, TARGET_AMOUNT)]
-        f = self.features(df.select(*keep))
-        v = TR.assemble(f, self.clf_features, getattr(self.classifier, "learns_missing", False))
-        p = TR.predict_class(self.classifier, v, out="_cls_code").drop("features")
-        p = p.withColumn(TARGET_CLASS, F.col("_cls_code"))
-        p = E.decode(p, self.featurizer.target_codes, TARGET_CLASS, "eligibility")
-        r = TR.assemble(p, self.reg_features, getattr(self.regressor, "learns_missing", False))
-        r = self.regressor.transform(r).withColumnRenamed("prediction", "_amt_scaled")
+        p = classify(self.features(df.select(*keep)), self.classifier, self.clf_features, self.featurizer.target_codes)
         ts = self.featurizer.target_scaler
-        amt = F.col("_amt_scaled") * F.lit(float(ts.scale(TARGET_AMOUNT))) + F.lit(
-            float(ts.mean[TARGET_AMOUNT]))
-        return r.select(ID, "eligibility", M.clamp_amount(amt).alias("max_monthly_emi"))
+        return amounts(p, self.regressor, self.reg_features, ts.mean[TARGET_AMOUNT], ts.scale(TARGET_AMOUNT))
 
     # -- persistence ----------------------------------------------------------
     def save(self, path: str) -> None:

@@ -257,5 +257,15 @@ def write_csv(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
+def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``write_csv`` wrote, with the types of ``schema``; a header that
+    names other columns or another order is an error, as is a value that
+    isn't of its type. White space stays, doubles come back bit for bit.
+    Empty text and NULL are written alike and both come back as NULL."""
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
