@@ -141,8 +141,8 @@ def code_table(df: DataFrame, col: str, as_text: bool = True) -> DataFrame:
     """(value, code) for a column with many distinct values, without a
     single-partition window: distinct values are range-partitioned, ranked
     inside each partition, written to the shared folder, and offset by the
-    sizes of the earlier partitions (one small row per partition reaches
-    the driver)."""
+    sizes of the earlier partitions, one joined row per partition. A column
+    of more than 2^31 values is an error, as codes are INT."""
     from .clean import materialize
     w = Window.partitionBy("_p").orderBy("value")
     v = _as_text(col) if as_text else F.col(col).cast("string")
@@ -152,14 +152,12 @@ def code_table(df: DataFrame, col: str, as_text: bool = True) -> DataFrame:
                 .withColumn("_p", F.spark_partition_id())
                 .withColumn("_r", F.row_number().over(w)))
     ranked = materialize(ranked, f"codes-{col}")
-    sizes = {r["_p"]: r["n"] for r in ranked.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, acc = {}, 0
-    for p in sorted(sizes):
-        offsets[p] = acc
-        acc += sizes[p]
-    off = F.create_map(*[F.lit(x) for p, o in offsets.items() for x in (p, o)])
-    return ranked.select("value", (F.element_at(off, F.col("_p")) + F.col("_r") - 1)
-                         .cast("int").alias("code"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranked.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    # Broadcast: one row per shuffle partition, a count that the session's settings bound.
+    return (ranked.join(F.broadcast(offsets), "_p")
+            .select("value", (F.col("_before") + F.col("_r") - 1).cast("int").alias("code")))
 
 
 def encode_by_join(df: DataFrame, col: str, codes: DataFrame, unseen: int | None = None,

@@ -11,7 +11,7 @@ from ..operators.least_squares import LinearModel
 from ..operators.trees import Tree, TreeModel
 from ..schema import (ADVICE, BADGES, CATEGORICAL, DERIVED, FEATURES, ID, NO_PREDICTION_NOTICE,
                       SCALED, SKEWED, TARGET_AMOUNT, TARGET_CLASS)
-from ..session import scratch_path
+from ..session import AFTER_SCOPE, scratch_path
 from ..streaming.score_stream import start_scoring
 from . import oracle as O
 from . import score as SC
@@ -24,6 +24,7 @@ from .queries_features import (MODEL, RULE_AMOUNT_SQL, RULE_CLASS_SQL, rule_pred
 
 FILLED = O.filled_prefix()
 _FITS: dict = {}
+AFTER_SCOPE.append(_FITS.clear)
 
 
 def _fit(spark, sf_dir) -> SC.FitResult:

@@ -15,10 +15,11 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators import clean as C
 from ..operators import features as FE
-from ..session import file_listing, scratch_path, sf_table
+from ..session import AFTER_SCOPE, file_listing, scratch_path, sf_table
 from ..sources.applicants import load_applicants
 
 _STAGES: dict = {}
+AFTER_SCOPE.append(_STAGES.clear)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,7 +75,45 @@ def file_listing(spark: SparkSession, path: str) -> tuple:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if getattr(_SCOPES, "open", None):
+        _SCOPES.open[-1].append(path)
+    return path
+
+
+_SCOPES = threading.local()
+# Called after a scope's tables are gone, so that results kept in memory that read them are forgotten.
+AFTER_SCOPE: list[Callable[[], None]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the scratch tables that are made inside, once the block is left.
+
+    For a job that writes its result inside the block::
+
+        with scratch_scope(spark):
+            queries()["cleaned_correlation"](spark, folder).write.parquet(out)
+
+    Only paths that ``scratch_path`` gave to this thread in this block go,
+    also after an error; tables made before, the run table and a result
+    elsewhere stay. A plan built inside must not be read afterwards.
+    Scopes can be nested: each deletes its own.
+    """
+    made: list[str] = []
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    _SCOPES.open.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.open.pop()
+        for path in made:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        if made:
+            for forget in AFTER_SCOPE:
+                forget()
 
 
 def sf_table(sf_dir: str, name: str) -> str:
