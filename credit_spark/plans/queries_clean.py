@@ -69,6 +69,9 @@ _NOTE = ("CASE WHEN applicant_id % 5 = 0 THEN concat('first line', chr(10), 'sec
          "ELSE concat('n', CAST(applicant_id AS {text})) END")
 
 
+FILE_ROWS = 100_000
+
+
 def _ingested(spark, sf_dir):
     """The applicants as lines of such a file, written to the shared folder and taken in."""
     raw = S.raw(spark, sf_dir)
@@ -80,7 +83,8 @@ def _ingested(spark, sf_dir):
     line = F.when(F.expr(_SURPLUS), F.concat_ws(",", *fields, F.lit('"surplus"'))).when(
         F.expr(_SHORT), F.concat_ws(",", *fields[:6])).otherwise(F.concat_ws(",", *fields))
     path = scratch_path(spark, "foreign-csv")
-    raw.select(line.alias("value")).write.text(path)
+    # Such a file is read by one task, so there are many, however few tasks write them.
+    raw.select(line.alias("value")).write.option("maxRecordsPerFile", FILE_ROWS).text(path)
     return A.ingest_applicants_csv(spark, path, scratch_path(spark, "ingested"), [*RAW_COLUMNS, "note"])
 
 
