@@ -231,3 +231,76 @@ def test_split_of_nothing_and_of_copies(spark):
     assert SP.random_split(empty).count() == SP.stratified_split(empty, "y").count() == 0
     copies = spark.createDataFrame([(1, "a")] * 50, "applicant_id long, y string")
     assert {r.split for r in SP.random_split(copies).collect()} == {"test"}     # equal rows go together
+
+
+# --- speed and size of large trees --------------------------------------------
+
+def test_packed_trees_score_and_weigh_alike(spark, gappy, monkeypatch):
+    x, y, df = gappy
+    for est in (T.Forest("class", trees=3), T.Forest("value", trees=3, fit_rows=200)):
+        plain = est.fit(df)
+        with monkeypatch.context() as m:
+            m.setattr(T, "PACKED_NODES", 2)
+            packed = est.fit(df)
+            assert any(isinstance(t, T.Packed) for t in packed.trees)
+            path = scratch_path(spark, "packed")
+            packed.save(spark, path)
+            loaded = T.TreeModel.load(spark, path)
+            for model in (packed, loaded):
+                assert np.abs(model.scores(x) - plain.scores(x)).max() == 0
+                assert np.allclose(model.featureImportances, plain.featureImportances, rtol=1e-12, atol=0)
+                rows = model.transform(df, scores="s").orderBy("applicant_id").collect()
+                assert np.abs(np.array([r.s for r in rows]) - plain.scores(x)).max() == 0
+
+
+def test_histograms_and_sorted_orders_give_the_same_tree():
+    """The same bins, added up in a histogram or read in order of their values."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 30, (5000, 4)).astype(float)
+    x[rng.random(x.shape) < 0.05] = np.nan
+    y = np.nansum(x[:, :2], axis=1) % 7
+    stats = np.stack([y, np.ones(5000), np.ones(5000)], axis=1)
+    cuts = [np.arange(30.0)] * 4
+    grown = [T.grow(x, stats, y, T.Rule("newton", to_purity=False, min_child=1.0), 6, None, c, [1]) for c in (cuts, None)]
+    for part in ("feature", "missing_left", "left", "value"):
+        assert getattr(grown[0], part) == getattr(grown[1], part)
+
+
+def test_a_tree_sorts_each_feature_once(monkeypatch):
+    """Values are sorted once a feature, however many levels; later orders come from 16-bit sorts."""
+    rng = np.random.default_rng(5)
+    x, y = rng.random((3000, 6)), rng.random(3000)
+    stats, sort, wide = np.stack([y, np.ones(3000), np.ones(3000)], axis=1), np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda a, *k, **kw: (a.dtype.itemsize > 2 and wide.append(a.size), sort(a, *k, **kw))[1])
+    tree = T.grow(x, stats, y, T.Rule("newton", to_purity=True), None, None, None, [1])
+    assert len(tree.feature) == 2 * 3000 - 1 and tree.depth() > 10
+    assert sum(wide) <= 6 * 3000
+
+
+# --- no task takes all rows of a group -----------------------------------------
+
+def test_split_brackets_are_broadcast(spark):
+    df = spark.range(5000).selectExpr("id AS applicant_id", "IF(id % 3 = 0, 'x', 'y') AS label")
+    rows = df.selectExpr("0 AS g", "applicant_id * 7919 AS h", "applicant_id AS i")
+    plans = [SP.cut_offs(rows, [(0, 1000)]), SP.stratified_split(df, "label")]
+    for plan in plans:
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" in text and "SortMergeJoin" not in text and "CartesianProduct" not in text
+
+
+def test_scores_are_counted_batch_by_batch(spark):
+    """No table of scores grows in a task; ties that lie in many batches are still one."""
+    df = spark.range(0, 4000, 1, 3).selectExpr("'m' AS m", "CAST(id % 4 AS DOUBLE) AS score", "id % 3 = 0 AS positive")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = MT.rank_sum_auc(df, ["m"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = out.first().auc
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert "keys=[g#" in plan and ", s#" not in "".join(x for x in plan.splitlines() if "HashAggregate(keys" in x)
+    rows = [(float(k % 4), k % 3 == 0) for k in range(4000)]
+    pos, neg = [s for s, p in rows if p], [s for s, p in rows if not p]
+    won = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
+    assert got == pytest.approx(won / len(pos) / len(neg), abs=1e-12)
