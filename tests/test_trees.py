@@ -266,6 +266,28 @@ def test_histograms_and_sorted_orders_give_the_same_tree():
         assert getattr(grown[0], part) == getattr(grown[1], part)
 
 
+def test_rows_may_come_as_bins():
+    """A task that gets the numbers of bins grows the same tree, bit for bit, as from the values."""
+    rng = np.random.default_rng(4)
+    x = rng.random((4000, 3))
+    x[rng.random(x.shape) < 0.05] = np.nan
+    y = np.nansum(x, axis=1)
+    stats, rule = np.stack([y, np.ones(4000), np.ones(4000)], axis=1), T.Rule("newton", 1.0, 0.0, 1.0)
+    cuts = [np.linspace(0, 1, n) for n in (50, 9, 200)]
+    bins = T._bins_of(x, cuts)
+    assert bins.dtype == np.int16 and bins.max() == 201
+    assert T.grow(bins, stats, y, rule, 6, None, cuts, [1]) == T.grow(x, stats, y, rule, 6, None, cuts, [1])
+
+
+def test_trees_are_dealt_to_tasks_in_turn(spark, gappy, monkeypatch):
+    """No task gets two trees more than another, whatever their numbers hash to."""
+    found, write = {}, T.materialize
+    monkeypatch.setattr(T, "materialize", lambda df, name: (found.update({name: df}), write(df, name))[1])
+    T.Forest("class", trees=2 * spark.sparkContext.defaultParallelism + 3).fit(gappy[2].fillna(0))
+    got = [r["count"] for r in found["trees"].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(got) == 2 * spark.sparkContext.defaultParallelism and max(got) == 2
+
+
 def test_a_tree_sorts_each_feature_once(monkeypatch):
     """Values are sorted once a feature, however many levels; later orders come from 16-bit sorts."""
     rng = np.random.default_rng(5)
