@@ -94,3 +94,15 @@ def test_a_wrong_sketch_costs_rounds_only(spark):
         sizes["x"]["grid"] = grid
         got = Q.order_statistics(df, {"x": [0, 3, 700, 1500, 1999]}, sizes)["x"]
         assert got == {r: sorted(values)[r] for r in (0, 3, 700, 1500, 1999)}
+
+
+def test_rows_outside_the_brackets_are_only_counted(spark, monkeypatch):
+    """Ranks are found from the rows inside narrow brackets; a plain aggregate counts those below."""
+    a = np.random.default_rng(4).random(30_000)
+    df = spark.createDataFrame([(float(v),) for v in a], "a double").repartition(4)
+    seen, cells = [], Q._cells
+    monkeypatch.setattr(Q, "_cells", lambda rows, brackets, *few: seen.append(brackets) or cells(rows, brackets, *few))
+    got = Q.quantiles(df, ["a"], [0.25, 0.5, 0.75])["a"]
+    assert np.allclose(got, np.percentile(a, [25, 50, 75]), rtol=1e-12)
+    assert len(seen) == 1 and len(seen[0]) == 3
+    assert 0 < sum(((a >= lo) & (a <= hi)).sum() for _, lo, hi, _ in seen[0]) < 0.05 * len(a)
