@@ -326,3 +326,21 @@ def test_scores_are_counted_batch_by_batch(spark):
     pos, neg = [s for s, p in rows if p], [s for s, p in rows if not p]
     won = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
     assert got == pytest.approx(won / len(pos) / len(neg), abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["gini", "newton"])
+def test_sides_without_a_check_give_the_checked_tree(kind):
+    # A row that doesn't count brings the check of both sides back; it must not change the tree.
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.normal(size=900), rng.integers(0, 6, 900).astype(float), rng.normal(size=900)], axis=1)
+    y = (x[:, 0] + 0.5 * x[:, 1] > 1).astype(float) if kind == "gini" else np.round(8 * x[:, 0] * x[:, 1])
+    w = 1.0 + rng.integers(0, 3, 900)
+    cols = [w * (y == 0), w * (y == 1)] if kind == "gini" else [w * y, w]
+    stats = np.stack([*cols, np.ones(900)], axis=1)
+    rule = T.Rule(kind, to_purity=True)
+    for per_node in (None, 2):
+        fast = T.grow(x, stats, y, rule, None, per_node, None, [3])
+        more = T.grow(np.vstack([x, x[:1]]), np.vstack([stats, 0 * stats[:1]]), np.r_[y, y[0]], rule, None, per_node,
+                      None, [3])
+        assert vars(fast) == vars(more)
+    assert np.array_equal(rule.score(stats), rule.score(stats[:, :-1], False))
