@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from credit_spark.functions import math as M
 from credit_spark.functions import text as X
 
 
@@ -25,6 +26,25 @@ def test_numeric_text_rule(spark):
                                                None, None, None, 12.0, 100000.0, None]
 
 
+def test_numbers_with_odd_spaces_and_sizes(spark):
+    vals = ["\t12\n", "12\u2028", "12\u0085", "1 2", "+.5", "5.", "1e999", "-1e999", ".", "1e", "\n"]
+    got = one(spark, vals, lambda c: M.nullify_nonfinite(X.numeric_text(c)))
+    assert got == [12.0, None, None, None, 0.5, 5.0, None, None, None, None, None]
+
+
+def test_nonfinite_is_missing(spark):
+    vals = [float("nan"), float("inf"), float("-inf"), -0.5, 0.0, None]
+    assert one(spark, vals, M.nullify_nonfinite, "double") == [None, None, None, -0.5, 0.0, None]
+
+
+def test_repairs_name_their_input_few_times(spark):
+    """What a repair names again is compiled, and often run, again for every row."""
+    df = spark.createDataFrame([("1",)], "s string")
+    for fn, most in ((X.clean_gender, 1), (X.numeric_text, 1), (lambda c: M.nullify_nonfinite(X.numeric_text(c)), 2)):
+        top = df.select(fn(F.col("s")).alias("x"))._jdf.queryExecution().analyzed().toString().splitlines()[0]
+        assert 1 <= top.count("s#") <= most
+
+
 def test_numeric_text_strict(spark):
     got = one(spark, ["303200.0.0", "58.0", "1234.05", "3.00"], lambda c: X.numeric_text(c, strict=True))
     assert got == [303200.0, 58.0, 1234.05, 3.0]
