@@ -1,6 +1,8 @@
 """Physical-plan properties: pushdown, pruning, no Python in the hot path."""
 import re
 
+import pytest
+
 import __spark_entry__ as E
 from credit_spark.plans import stages as S
 from tests.conftest import SF_SMALL
@@ -37,3 +39,15 @@ def test_a_large_source_is_not_moved_before_the_dedupe(spark, monkeypatch):
     monkeypatch.setattr(A, "SPREAD_BYTES", 0)
     p = plan(C.clean_text(C.dedupe(A.load_applicants(spark, SF_SMALL))))
     assert re.findall(r"Exchange (\w+)", p) == ["hashpartitioning"]
+
+
+@pytest.mark.parametrize("name,step", [("select_by_correlation", "select_features"), ("prune_correlated", "select_features"),
+                                       ("correlation_matrix", "correlation_matrix")])
+def test_correlations_read_a_written_model_table(spark, monkeypatch, name, step):
+    """Several passes read every column; the cleaning and scaling expressions run in none of them."""
+    from credit_spark.plans import queries_features as QF
+    seen = []
+    plain = getattr(QF.K, step)
+    monkeypatch.setattr(QF.K, step, lambda df, *a, **k: (seen.append(df), plain(df, *a, **k))[1])
+    E.queries()[name](spark, SF_SMALL)
+    assert seen and all("model-table" in f for f in seen[0].inputFiles())
