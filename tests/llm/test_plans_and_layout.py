@@ -267,3 +267,23 @@ def test_a_pattern_has_one_verdict_in_every_mix():
             found = quality.estimate({p: c for p, c in counts.items() if c})
             assert {p for p, q in found.items() if q < quality.MIN_POSTERIOR} == {
                 p for p in found if p in (code(bad), code(("symbols",)))}, (bad, n, beside, size, unsure)
+
+
+def test_the_estimate_follows_the_documents():
+    """Shares and rates are those of the documents, not of the start; before, the share of good stayed near 0.6."""
+    names = [name for name, _, _ in quality.RULES]
+
+    def code(*bad):
+        return sum((0 if n in bad else 2) * 3 ** k for k, n in enumerate(names))
+
+    for times in (1, 100):
+        counts = {code(): 900, code("symbols"): 60, code("capitals", "exclamations"): 30, code("repetition"): 10}
+        q, share, rate = quality.fit({p: n * times for p, n in counts.items()})
+        kind = {name: 1 + k for k, name in enumerate(names)}
+        assert abs(share[0] - 0.9) < 0.01
+        assert abs(share[kind["symbols"]] - 0.06) < 0.01 and abs(share[kind["repetition"]] - 0.01) < 0.01
+        assert abs(share[kind["capitals"]] + share[kind["exclamations"]] - 0.03) < 0.01
+        assert rate[kind["capitals"], names.index("exclamations")] > 0.95
+        assert rate[kind["symbols"], names.index("capitals")] < 0.01
+        assert (rate >= rate[0]).all()
+        assert [x >= quality.MIN_POSTERIOR for x in q[:, 0]] == [True, False, False, False]
