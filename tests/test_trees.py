@@ -344,3 +344,32 @@ def test_sides_without_a_check_give_the_checked_tree(kind):
                       None, [3])
         assert vars(fast) == vars(more)
     assert np.array_equal(rule.score(stats), rule.score(stats[:, :-1], False))
+
+
+def test_large_trees_stay_out_of_memory(spark, gappy, monkeypatch):
+    """The driver maps packed trees from a file, and a model is sent, scored and saved part by part."""
+    import mmap
+
+    def origin(a):
+        while isinstance(a, np.ndarray):
+            a = a.base
+        return a.obj if isinstance(a, memoryview) else a
+    x, y, df = gappy
+    for est in (T.Forest("class", trees=4), T.Forest("value", trees=5, fit_rows=200)):
+        plain = est.fit(df)
+        with monkeypatch.context() as m:
+            m.setattr(T, "PACKED_NODES", 2)
+            m.setattr(T, "COMPILED_NODES", 0)
+            m.setattr(T, "FETCHED", 1)
+            m.setattr(T, "PART_BYTES", 1)
+            m.setattr(T, "PART_ROWS", 150)
+            large = est.fit(df)
+            path = scratch_path(spark, "parts")
+            large.save(spark, path)
+            for model in (large, T.TreeModel.load(spark, path)):
+                packed = [t for t in model.trees if isinstance(t, T.Packed)]
+                assert packed and all(isinstance(origin(t.cut), mmap.mmap) for t in packed)
+                rows = model.transform(df, scores="s").orderBy("applicant_id").collect()
+                assert len(model._on_workers(spark)) == len(model.trees)
+                assert np.abs(np.array([r.s for r in rows]) - plain.scores(x)).max() == 0
+                assert np.allclose(model.featureImportances, plain.featureImportances, rtol=1e-12, atol=0)
